@@ -116,11 +116,11 @@ def change_events(
     return (
         _with_changed(reports, anchors.key, ["_at", "_seq"], "_status")
         .where("_changed")
-        .selectExpr(
+        .select(
             *anchors.key,
             "_chunk",
             "_at",
-            "struct(_at as since, _seq as seq, _status as status) as _state",
+            F.expr("struct(_at as since, _seq as seq, _status as status)").alias("_state"),
         )
     )
 

@@ -1,0 +1,160 @@
+"""Edge rows with expected values worked out by hand."""
+
+from collections import Counter
+
+import anchorctx as ac
+from frames import ACTIVITY, ANCHORS, LOG, at, bag, frame
+
+PERIODS = [ac.Period("before", "before", 180), ac.Period("after", "after", 180)]
+NOON = at("00:10:00")
+ANCHOR_ROWS = [(1, "d", NOON), (2, "n", NOON), (3, None, NOON), (4, "e", NOON), (4, "f", NOON)]
+ACTIVITY_ROWS = [
+    ("d", at("00:06:59.999"), 0, "X"),
+    ("d", at("00:07:00.000"), 0, "X"),
+    ("d", at("00:08:00"), 0, "Y"),
+    ("d", at("00:08:30"), 401, "Y"),
+    ("d", at("00:10:00"), 200, None),
+    ("d", at("00:13:00.999"), 200, None),
+    ("d", at("00:13:01.000"), 0, "Y"),
+    ("e", at("00:09:00"), 200, None),
+    ("f", at("00:09:30"), 200, None),
+]
+LOG_ROWS = [
+    ("d", 1, at("00:01:00"), "ON"),
+    ("d", 2, at("00:02:00"), None),
+    ("d", 3, at("00:03:00"), None),
+    ("n", 4, at("00:01:00"), "ON"),
+    ("n", 5, at("00:10:00"), "OFF"),
+    ("e", 6, at("00:05:00"), "OFF"),
+    ("e", 7, at("00:05:00"), "ON"),
+    ("f", 8, at("00:04:00"), "ON"),
+]
+BEFORE = {
+    (1, 4, 0, 2, "X", 1),
+    (1, 4, 0, 2, "Y", 2),
+    (1, 4, 401, 1, "Y", 2),
+    (1, 4, 200, 1, None, 1),
+    (4, 2, 200, 2, None, 2),
+}
+AFTER = {(1, 2, 200, 2, None, 2)}
+STATES = {
+    (1, "d", None, at("00:03:00")),
+    (2, "n", "OFF", NOON),
+    (4, "f", "ON", at("00:04:00")),
+    (4, "e", "ON", at("00:05:00")),
+}
+
+
+def tables(spark, zoned=False):
+    return (
+        frame(spark, ANCHOR_ROWS, ANCHORS, zoned),
+        frame(spark, ACTIVITY_ROWS, ACTIVITY, zoned),
+        frame(spark, LOG_ROWS, LOG, zoned),
+    )
+
+
+def test_profile_without_and_with_pairs(spark):
+    for zoned in (False, True):
+        anchors, activity, _ = tables(spark, zoned)
+        for period, expected in zip(PERIODS, (BEFORE, AFTER)):
+            counts = ac.period_counts(anchors, activity, [period]).drop("period_of_time")
+            joined = ac.window_join(anchors, activity, period)
+            assert bag(counts) == Counter(expected)
+            assert bag(ac.window_profile(joined)) == Counter(expected)
+
+
+def test_empty_periods_keep_one_row_of_nulls(spark):
+    anchors, activity, _ = tables(spark)
+    rows = bag(ac.multi_period_profile(anchors, activity, PERIODS))
+    empty = Counter(row[:2] for row in rows if row[2:] == (None,) * 5)
+    assert empty == Counter(
+        [(2, "before"), (3, "before"), (2, "after"), (3, "after"), (4, "after")]
+    )
+    assert sum(rows.values()) == len(BEFORE) + len(AFTER) + 5
+
+
+def test_keep_all_anchors_keeps_each_anchor_row(spark):
+    anchors, activity, _ = tables(spark)
+    counts = ac.period_counts(anchors, activity, PERIODS[:1])
+    rows = bag(ac.keep_all_anchors(anchors, counts, "p"))
+    assert rows[(4, "p", 2, 200, 2, None, 2)] == 2
+    assert rows[(3, "p", None, None, None, None, None)] == 1
+
+
+def test_event_at_the_anchors_time_is_on_both_sides(spark):
+    anchors, activity, _ = tables(spark)
+    assert bag(ac.neighbours(anchors, activity)) == Counter(
+        [(1, NOON, NOON), (4, at("00:09:30"), None)]
+    )
+    assert bag(ac.previous_event(anchors, activity)) == Counter(
+        [(1, NOON), (4, at("00:09:30"))]
+    )
+    assert bag(ac.next_event(anchors, activity)) == Counter([(1, NOON)])
+
+
+def test_state_as_of(spark):
+    for zoned in (False, True):
+        anchors, _, log = tables(spark, zoned)
+        assert bag(ac.state_as_of(anchors, log)) == Counter(STATES)
+
+
+def test_repeated_report_is_no_change(spark):
+    log = frame(
+        spark,
+        [("d", n, at(f"00:0{n}:00"), s) for n, s in enumerate(["OFF", "OFF", "ON", "ON"])],
+        LOG,
+    )
+    changes = ac.state_changes(log)
+    assert bag(changes, "row_num", "status_change_time") == Counter(
+        [(0, at("00:00:00")), (1, None), (2, at("00:02:00")), (3, None)]
+    )
+    assert bag(ac.latest_change(changes)) == Counter([("d", "ON", at("00:02:00"))])
+    anchors = frame(spark, [(1, "d", at("00:09:00"))], ANCHORS)
+    assert bag(ac.state_as_of(anchors, log)) == Counter([(1, "d", "ON", at("00:02:00"))])
+
+
+def test_state_history(spark):
+    anchors, _, log = tables(spark)
+    rows = bag(ac.state_history(anchors, log, chunk_seconds=60))
+    assert sum(rows.values()) == 3 + 2 + 2 + 1
+    assert rows[(2, "n", NOON, "OFF")] == 1
+
+
+def test_unbounded_context_of_an_id_on_two_devices(spark):
+    anchors, activity, log = tables(spark)
+    assert bag(ac.unbounded_context(anchors, activity, log)) == Counter(
+        [
+            (1, None, at("00:03:00"), NOON, NOON),
+            (2, "OFF", NOON, None, None),
+            (4, "ON", at("00:04:00"), at("00:09:30"), None),
+            (4, "ON", at("00:05:00"), at("00:09:30"), None),
+        ]
+    )
+
+
+def test_column_names_are_free(spark):
+    anchors, activity, log = tables(spark)
+    renamed = ac.context_report(
+        anchors.toDF("the id", "a key", "a time"),
+        activity.toDF("a key", "e time", "dim one", "dim two"),
+        log.toDF("a key", "n", "s time", "st"),
+        PERIODS,
+        key="a key",
+        anchor_id="the id",
+        anchor_time="a time",
+        event_time="e time",
+        dims=["dim one"],
+        state_time="s time",
+        status="st",
+        seq="n",
+    )
+    plain = ac.context_report(anchors, activity, log, PERIODS, dims=["status_code"])
+    assert bag(renamed) == bag(plain)
+    assert renamed.columns[-2:] == ["dim one", "count_dim one"]
+
+
+def test_no_dims_gives_totals(spark):
+    anchors, activity, _ = tables(spark)
+    assert bag(ac.period_counts(anchors, activity, PERIODS, dims=[])) == Counter(
+        [(1, "before", 4), (4, "before", 2), (1, "after", 2)]
+    )
