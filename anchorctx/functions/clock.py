@@ -53,5 +53,10 @@ def at_second(seconds: str, ntz: bool) -> Column:
 
 
 def chunk_of(time: str, ntz: bool, chunk_seconds: int) -> Column:
-    """Number of the stretch of ``chunk_seconds`` that a time column falls in."""
-    return F.expr(f"floor({_seconds_sql(time, ntz)} / {int(chunk_seconds)})")
+    """Number of the stretch of ``chunk_seconds`` that a time column falls in.
+
+    The number is never NULL to Spark, so it puts no null check on it in front of
+    joins only, which would make otherwise equal inputs differ and run twice.
+    Rows without a time have to be left out before.
+    """
+    return F.expr(f"coalesce(floor({_seconds_sql(time, ntz)} / {int(chunk_seconds)}), 0)")

@@ -82,13 +82,14 @@ def event_counts(
 
 def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
     """Where running counts are read: (key, ``_at``, period, ``_chunk``, ``_cut``, ``_side``,
-    ``_sign``), so that the signed counts add up to the events of the period.
+    ``_sign``, ``_whole``).
 
     A period has one end at the moment itself and one at the full second where
     it is over. Rows of one time sort by ``_side``: a cut that leaves the events
-    of its own time out (0), the events (1), a cut that takes them in (2). If the
-    ends lie in different chunks, the full count of each chunk in between the
-    two, first one included, is added; that cut is NULL and sorts last.
+    of its own time out (0), the events (1), a cut that takes them in (2). The
+    period holds the running count at its end less the one at its start, and if
+    it ends in a later chunk than it starts, also the ``_whole`` count of the
+    first chunk and of those in between.
     """
     key, ntz, chunk_seconds = anchors.key, anchors.ntz, anchors.chunk_seconds
     around = F.array(
@@ -110,26 +111,37 @@ def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
         # Times are cut to seconds toward zero: up to 1970 a second begins just
         # after the full second below it.
         .withColumn("_full", F.expr("if(_far >= 1, _far, _far - 1)"))
-        .withColumn("_far_cut", at_second("_full", ntz))
-        .withColumn("_far_chunk", chunk_of("_far_cut", ntz, chunk_seconds))
+        .withColumn("_far_at", at_second("_full", ntz))
+        .withColumn("_far_chunk", chunk_of("_far_at", ntz, chunk_seconds))
+        .withColumn("_own_end", F.expr("struct(_chunk, _at as _cut, if(_period.before, 2, 0) as _side)"))
+        .withColumn(
+            "_far_end",
+            F.expr("struct(_far_chunk as _chunk, _far_at as _cut, if(_far >= 1, 0, 2) as _side)"),
+        )
+        .select(
+            *key,
+            "_at",
+            F.col("_period.name").alias(PERIOD),
+            F.expr("if(_period.before, _far_end, _own_end)").alias("_start"),
+            F.expr("if(_period.before, _own_end, _far_end)").alias("_end"),
+        )
     )
     return spans.select(
         *key,
         "_at",
-        F.col("_period.name").alias(PERIOD),
+        PERIOD,
         F.expr(
             """
             inline(concat(
               array(
-                struct(_chunk, _at as _cut, if(_period.before, 2, 0) as _side,
-                       if(_period.before, 1, -1) as _sign),
-                struct(_far_chunk as _chunk, _far_cut as _cut, if(_far >= 1, 0, 2) as _side,
-                       if(_period.before, -1, 1) as _sign)),
-              if(_chunk = _far_chunk, array(), transform(
-                sequence(least(_chunk, _far_chunk), greatest(_chunk, _far_chunk) - 1),
-                c -> struct(c as _chunk, cast(null as {time}) as _cut, 2 as _side, 1 as _sign)))
+                struct(_start._chunk, _start._cut, _start._side, -1 as _sign,
+                       _start._chunk < _end._chunk as _whole),
+                struct(_end._chunk, _end._cut, _end._side, 1 as _sign, false as _whole)),
+              if(_end._chunk - _start._chunk < 2, array(), transform(
+                sequence(_start._chunk + 1, _end._chunk - 1),
+                c -> struct(c as _chunk, _end._cut, 2 as _side, 0 as _sign, true as _whole)))
             ))
-            """.format(time="timestamp_ntz" if ntz else "timestamp")
+            """
         ),
     )
 
@@ -139,7 +151,7 @@ def profile_of(
 ) -> DataFrame:
     """``period_counts`` over the result of ``event_counts``."""
     key = anchors.key
-    seen = counts.select(*key, "_chunk", *dims).distinct()
+    seen = counts.groupBy(*key, "_chunk", *dims).agg(F.sum("_n").alias("_in_chunk"))
     timeline = counts.select(
         *key, "_chunk", *dims, F.col("_at").alias("_cut"), F.lit(1).alias("_side"), "_n"
     ).unionByName(
@@ -147,16 +159,16 @@ def profile_of(
     )
     running = (
         W.partitionBy(*key, "_chunk", *dims)
-        .orderBy(F.asc_nulls_last("_cut"), "_side")
+        .orderBy("_cut", "_side")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    # Both reads of a period in one chunk meet where the window has put them.
+    # The reads of a period in one chunk meet where the window has put them.
     # What they leave is never negative, so empty parts can be dropped here.
     per_moment = (
         timeline.withColumn("_n", F.sum("_n").over(running))
         .where("_sign is not null")
         .groupBy(*key, "_chunk", *dims, "_at", PERIOD)
-        .agg(F.sum(F.col("_sign") * F.col("_n")).alias("_n"))
+        .agg(F.expr("sum(_sign * coalesce(_n, 0) + if(_whole, _in_chunk, 0))").alias("_n"))
         .where("_n > 0")
         .drop("_chunk")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -125,8 +125,20 @@ def change_events(
     )
 
 
-def state_columns() -> list[Column]:
-    return [F.col("_state.status").alias(STATUS), F.col("_state.since").alias(SINCE)]
+def state_of(anchors: Anchors, changes: DataFrame) -> DataFrame:
+    """``state_as_of`` over the result of ``change_events``."""
+    per_moment = nearest(anchors, changes, latest=["_state"]).where("_state is not null")
+    return (
+        anchors.with_results(per_moment)
+        .groupBy(anchors.id, *anchors.key)
+        .agg(F.max("_state").alias("_state"))
+        .select(
+            anchors.id,
+            *anchors.key,
+            F.col("_state.status").alias(STATUS),
+            F.col("_state.since").alias(SINCE),
+        )
+    )
 
 
 def state_as_of(
@@ -147,14 +159,7 @@ def state_as_of(
     reports share a time, the highest ``seq`` counts.
     """
     asked = Anchors.against(log, state_time, anchors, key, anchor_id, anchor_time, chunk_seconds)
-    changes = change_events(asked, log, state_time, status, seq)
-    per_moment = nearest(asked, changes, latest=["_state"]).where("_state is not null")
-    return (
-        asked.with_results(per_moment)
-        .groupBy(anchor_id, *asked.key)
-        .agg(F.max("_state").alias("_state"))
-        .select(anchor_id, *asked.key, *state_columns())
-    )
+    return state_of(asked, change_events(asked, log, state_time, status, seq))
 
 
 def state_history(

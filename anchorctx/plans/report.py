@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from anchorctx.functions.clock import check_same_clock
-from anchorctx.functions.columns import any_known, names
+from anchorctx.functions.columns import all_known, names
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
-from anchorctx.operators.neighbours import NEXT, POOLED, PREVIOUS, both_sides
+from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors
+from anchorctx.operators.neighbours import NEXT, PREVIOUS, neighbours, neighbours_of
 from anchorctx.operators.profile import (
     DIMS,
     PERIOD,
@@ -21,37 +20,12 @@ from anchorctx.operators.profile import (
     event_counts,
     profile_of,
 )
-from anchorctx.operators.state import SINCE, STATUS, change_events, state_columns
+from anchorctx.operators.state import SINCE, STATUS, change_events, state_as_of, state_of
 
 
-def _context(anchors: Anchors, times: DataFrame, changes: DataFrame) -> DataFrame:
-    """State and neighbours per anchor id, both found in one pass over both histories."""
-    per_moment = nearest(
-        anchors,
-        both_sides(times).unionByName(changes, allowMissingColumns=True),
-        latest=[PREVIOUS, "_state"],
-        earliest=[NEXT],
-    )
-    found = [PREVIOUS, NEXT, "_state"]
-    # This aggregation is the input of both sides of the join below; since the
-    # filter reads all of its columns, Spark runs it once for the two.
-    per_key = (
-        anchors.with_results(per_moment)
-        .groupBy(anchors.id, *anchors.key)
-        .agg(
-            *[POOLED[side](side).alias(side) for side in (PREVIOUS, NEXT)],
-            F.max("_state").alias("_state"),
-        )
-        .where(any_known(found))
-    )
-    neighbours = (
-        per_key.groupBy(anchors.id)
-        .agg(*[POOLED[side](side).alias(side) for side in (PREVIOUS, NEXT)])
-        .where(any_known([PREVIOUS, NEXT]))
-    )
-    states = per_key.where("_state is not null").select(anchors.id, *state_columns())
-    return states.join(neighbours, anchors.id, "full").select(
-        anchors.id, STATUS, SINCE, PREVIOUS, NEXT
+def _context(states: DataFrame, neighbours: DataFrame, anchor_id: str) -> DataFrame:
+    return states.join(neighbours, anchor_id, "full").select(
+        anchor_id, STATUS, SINCE, PREVIOUS, NEXT
     )
 
 
@@ -73,14 +47,13 @@ def unbounded_context(
 
     An id used on several keys has one row per key with a state.
     """
-    check_same_clock(anchors, anchor_time, states, state_time)
-    asked = Anchors.against(
-        activity, event_time, anchors, key, anchor_id, anchor_time, chunk_seconds
+    anchor = dict(
+        key=key, anchor_id=anchor_id, anchor_time=anchor_time, chunk_seconds=chunk_seconds
     )
     return _context(
-        asked,
-        asked.dated(activity, event_time),
-        change_events(asked, states, state_time, status, seq),
+        state_as_of(anchors, states, state_time=state_time, status=status, seq=seq, **anchor),
+        neighbours(anchors, activity, event_time=event_time, **anchor),
+        anchor_id,
     )
 
 
@@ -106,7 +79,8 @@ def context_report(
     asked = Anchors.against(
         activity,
         event_time,
-        anchors,
+        # A missing id gets no counts and no context.
+        anchors.where(all_known([anchor_id])),
         key,
         anchor_id,
         anchor_time,
@@ -117,7 +91,11 @@ def context_report(
     # Reading `_n` here too makes this the same aggregation of the activity as
     # the profile's, so Spark runs it once and reuses its exchange.
     times = counts.where("_n > 0").select(*asked.key, "_chunk", "_at")
-    context = _context(asked, times, change_events(asked, states, state_time, status, seq))
+    context = _context(
+        state_of(asked, change_events(asked, states, state_time, status, seq)),
+        neighbours_of(asked, times),
+        anchor_id,
+    )
 
     by_dim = [column for dim in dims for column in (dim, f"count_{dim}")]
     ids = anchors.select(anchor_id).distinct().join(context, anchor_id, "left")
