@@ -34,29 +34,33 @@ def check_same_clock(left: DataFrame, left_time: str, right: DataFrame, right_ti
     return ntz
 
 
-def _seconds_sql(time: str, ntz: bool) -> str:
+def seconds_sql(time: str, ntz: bool) -> str:
+    """Seconds since 1970 of a column, fraction cut off (toward zero, as ``unix_timestamp``)."""
     if ntz:
         return f"cast({quoted(time)} - {_NTZ_EPOCH} as bigint)"
     return f"unix_timestamp({quoted(time)})"
 
 
-def whole_seconds(time: str, ntz: bool) -> Column:
-    """Seconds since 1970 of a column, fraction cut off (toward zero, as ``unix_timestamp``)."""
-    return F.expr(_seconds_sql(time, ntz))
-
-
-def at_second(seconds: str, ntz: bool) -> Column:
+def at_second_sql(seconds: str, ntz: bool) -> str:
     """The instant a column of seconds after 1970, in the given timestamp type."""
     if ntz:
-        return F.expr(f"{_NTZ_EPOCH} + make_dt_interval(0, 0, 0, {quoted(seconds)})")
-    return F.expr(f"timestamp_seconds({quoted(seconds)})")
+        return f"{_NTZ_EPOCH} + make_dt_interval(0, 0, 0, {quoted(seconds)})"
+    return f"timestamp_seconds({quoted(seconds)})"
 
 
-def chunk_of(time: str, ntz: bool, chunk_seconds: int) -> Column:
+def chunk_sql(time: str, ntz: bool, chunk_seconds: int) -> str:
     """Number of the stretch of ``chunk_seconds`` that a time column falls in.
 
     The number is never NULL to Spark, so it puts no null check on it in front of
     joins only, which would make otherwise equal inputs differ and run twice.
     Rows without a time have to be left out before.
     """
-    return F.expr(f"coalesce(floor({_seconds_sql(time, ntz)} / {int(chunk_seconds)}), 0)")
+    return f"coalesce(floor({seconds_sql(time, ntz)} / {int(chunk_seconds)}), 0)"
+
+
+def whole_seconds(time: str, ntz: bool) -> Column:
+    return F.expr(seconds_sql(time, ntz))
+
+
+def chunk_of(time: str, ntz: bool, chunk_seconds: int) -> Column:
+    return F.expr(chunk_sql(time, ntz, chunk_seconds))

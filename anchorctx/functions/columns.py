@@ -24,3 +24,8 @@ def all_known(columns: Sequence[str]) -> Column:
 
 def any_known(columns: Sequence[str]) -> Column:
     return F.expr(" or ".join(f"{quoted(c)} is not null" for c in columns))
+
+
+def listed(columns: Sequence[str]) -> str:
+    """The names as a list in a SQL expression."""
+    return ", ".join(map(quoted, columns))

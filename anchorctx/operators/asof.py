@@ -13,11 +13,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from anchorctx.functions.clock import check_same_clock, chunk_of
-from anchorctx.functions.columns import all_known, names
+from anchorctx.functions.columns import all_known, listed, names, quoted
 
 DEFAULT_CHUNK_SECONDS = 3600
 
@@ -74,20 +73,21 @@ def nearest(
     ``events`` has the key, ``_chunk``, ``_at`` and the named columns, whose values
     must not fall as ``_at`` rises. Moments without any event stay, with NULLs.
     """
-    key = anchors.key
+    key, keys = anchors.key, listed(anchors.key)
     points = anchors.moments.withColumn("_asked", F.lit(True)).unionByName(
         events.withColumn("_asked", F.lit(False)), allowMissingColumns=True
     )
 
+    def best(before: str, after: str) -> list[str]:
+        """The columns over a window that ends before, and one that begins after, a row."""
+        return [f"max({c}) over ({before}) as {c}" for c in latest] + [
+            f"min({c}) over ({after}) as {c}" for c in earliest
+        ]
+
     # All frames start at the edge of the partition, so Spark keeps a running
     # value; a frame that ends at the far edge would be recomputed for each row.
-    earlier_chunks = (
-        W.partitionBy(*key).orderBy(F.asc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
-    )
-    later_chunks = (
-        W.partitionBy(*key).orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
-    )
     # A carried row has no time of its own and sorts first in both directions.
+    other_chunks = "rows between unbounded preceding and 1 preceding"
     carried = (
         points.groupBy(*key, "_chunk")
         .agg(
@@ -95,29 +95,31 @@ def nearest(
             *[F.max(c).alias(c) for c in latest],
             *[F.min(c).alias(c) for c in earliest],
         )
-        .select(
-            *key,
+        .selectExpr(
+            *map(quoted, key),
             "_chunk",
             "_has_moment",
-            F.lit(False).alias("_asked"),
-            *[F.max(c).over(earlier_chunks).alias(c) for c in latest],
-            *[F.min(c).over(later_chunks).alias(c) for c in earliest],
+            "false as _asked",
+            *best(
+                f"partition by {keys} order by _chunk {other_chunks}",
+                f"partition by {keys} order by _chunk desc {other_chunks}",
+            ),
         )
         .where("_has_moment")
         .drop("_has_moment")
     )
 
-    in_chunk = W.partitionBy(*key, "_chunk").rangeBetween(W.unboundedPreceding, W.currentRow)
-    up_to = in_chunk.orderBy(F.asc_nulls_first("_at"))
-    onward = in_chunk.orderBy(F.desc_nulls_first("_at"))
+    up_to_row = "range between unbounded preceding and current row"
     return (
         points.unionByName(carried, allowMissingColumns=True)
-        .select(
-            *key,
+        .selectExpr(
+            *map(quoted, key),
             "_at",
             "_asked",
-            *[F.max(c).over(up_to).alias(c) for c in latest],
-            *[F.min(c).over(onward).alias(c) for c in earliest],
+            *best(
+                f"partition by {keys}, _chunk order by _at nulls first {up_to_row}",
+                f"partition by {keys}, _chunk order by _at desc nulls first {up_to_row}",
+            ),
         )
         .where("_asked")
         .drop("_asked")

@@ -15,22 +15,8 @@ PREVIOUS = "preceding_event_time"
 NEXT = "following_event_time"
 
 
-def neighbours_of(
-    anchors: Anchors, times: DataFrame, sides: Sequence[str] = (PREVIOUS, NEXT)
-) -> DataFrame:
-    """``neighbours`` over a table of (key, ``_chunk``, ``_at``)."""
-    per_moment = nearest(
-        anchors,
-        times.select("*", *[F.col("_at").alias(side) for side in sides]),
-        latest=[side for side in sides if side == PREVIOUS],
-        earliest=[side for side in sides if side == NEXT],
-    )
-    pooled = {PREVIOUS: F.max, NEXT: F.min}
-    return (
-        anchors.with_results(per_moment.where(any_known(sides)))
-        .groupBy(anchors.id)
-        .agg(*[pooled[side](side).alias(side) for side in sides])
-    )
+# Of anchor rows that share an id, the nearest event counts.
+POOLED = {PREVIOUS: F.max, NEXT: F.min}
 
 
 def neighbours(
@@ -47,14 +33,24 @@ def neighbours(
     """Per anchor id: time of the last event at or before and the first at or after it.
 
     Ids without an event on either side are left out. An event at the anchor's
-    own time is both. Of anchor rows that share an id, the nearest event counts.
+    own time is both. Anchor rows that share an id are pooled.
     """
     asked = Anchors.against(
         activity, event_time, anchors, key, anchor_id, anchor_time, chunk_seconds
     )
     # Copies of an event time are removed before they are shuffled.
     times = asked.dated(activity, event_time).distinct()
-    return neighbours_of(asked, times, sides)
+    per_moment = nearest(
+        asked,
+        times.select("*", *[F.col("_at").alias(side) for side in sides]),
+        latest=[side for side in sides if side == PREVIOUS],
+        earliest=[side for side in sides if side == NEXT],
+    )
+    return (
+        asked.with_results(per_moment.where(any_known(sides)))
+        .groupBy(anchor_id)
+        .agg(*[POOLED[side](side).alias(side) for side in sides])
+    )
 
 
 def previous_event(anchors: DataFrame, activity: DataFrame, **columns) -> DataFrame:

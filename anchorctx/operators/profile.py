@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from anchorctx.functions.clock import at_second, chunk_of, whole_seconds
-from anchorctx.functions.columns import names
+from anchorctx.functions.clock import at_second_sql, chunk_sql, seconds_sql
+from anchorctx.functions.columns import listed, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
 from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors
 
@@ -32,13 +31,11 @@ def chunk_for(periods: Sequence[Period]) -> int:
 
 def _marginals(counts: DataFrame, key: Sequence[str], dims: Sequence[str]) -> DataFrame:
     """Joint counts ``_n`` per key and dims, to the total and one marginal count per dim."""
-    columns = [F.sum("_n").over(W.partitionBy(*key)).alias(TOTAL)]
+    columns = [f"sum(_n) over (partition by {listed(key)}) as {TOTAL}"]
     for dim in dims:
-        columns += [
-            F.col(dim),
-            F.sum("_n").over(W.partitionBy(*key, dim)).alias(f"count_{dim}"),
-        ]
-    return counts.select(*key, *columns)
+        within = f"partition by {listed([*key, dim])}"
+        columns += [quoted(dim), f"sum(_n) over ({within}) as {quoted(f'count_{dim}')}"]
+    return counts.selectExpr(*map(quoted, key), *columns)
 
 
 def window_profile(
@@ -91,46 +88,42 @@ def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
     it ends in a later chunk than it starts, also the ``_whole`` count of the
     first chunk and of those in between.
     """
-    key, ntz, chunk_seconds = anchors.key, anchors.ntz, anchors.chunk_seconds
+    ntz, keys = anchors.ntz, list(map(quoted, anchors.key))
+    # Events in the second of the far end still belong to the period.
     around = F.array(
         *[
-            F.struct(
-                F.lit(period.name).alias("name"),
-                F.lit(period.direction == "before").alias("before"),
-                # Events in the second of the far end still belong to the period.
-                F.lit(-period.seconds if period.direction == "before" else period.seconds + 1)
-                .cast("bigint")
-                .alias("far"),
-            )
+            F.expr(f"struct(true as before, bigint({-period.seconds}) as far)")
+            if period.direction == "before"
+            else F.expr(f"struct(false as before, bigint({period.seconds + 1}) as far)")
             for period in periods
         ]
     )
-    spans = (
-        anchors.moments.select(*key, "_chunk", "_at", F.explode(around).alias("_period"))
-        .withColumn("_far", whole_seconds("_at", ntz) + F.col("_period.far"))
-        # Times are cut to seconds toward zero: up to 1970 a second begins just
-        # after the full second below it.
-        .withColumn("_full", F.expr("if(_far >= 1, _far, _far - 1)"))
-        .withColumn("_far_at", at_second("_full", ntz))
-        .withColumn("_far_chunk", chunk_of("_far_at", ntz, chunk_seconds))
-        .withColumn("_own_end", F.expr("struct(_chunk, _at as _cut, if(_period.before, 2, 0) as _side)"))
-        .withColumn(
-            "_far_end",
-            F.expr("struct(_far_chunk as _chunk, _far_at as _cut, if(_far >= 1, 0, 2) as _side)"),
+    period_names = F.array(*[F.lit(period.name) for period in periods])
+    return (
+        anchors.moments.select(
+            *anchors.key, "_chunk", "_at", F.explode(F.arrays_zip(period_names, around))
         )
-        .select(
-            *key,
+        .selectExpr(
+            *keys,
             "_at",
-            F.col("_period.name").alias(PERIOD),
-            F.expr("if(_period.before, _far_end, _own_end)").alias("_start"),
-            F.expr("if(_period.before, _own_end, _far_end)").alias("_end"),
+            f"col.`0` as {PERIOD}",
+            "col.`1`.before as _before",
+            f"{seconds_sql('_at', ntz)} + col.`1`.far as _far",
+            # Times are cut to seconds toward zero: up to 1970 a second begins
+            # just after the full second below it.
+            "if(_far >= 1, _far, _far - 1) as _full",
+            f"{at_second_sql('_full', ntz)} as _far_at",
+            f"{chunk_sql('_far_at', ntz, anchors.chunk_seconds)} as _far_chunk",
+            "struct(_chunk, _at as _cut, if(_before, 2, 0) as _side) as _own_end",
+            "struct(_far_chunk as _chunk, _far_at as _cut, if(_far >= 1, 0, 2) as _side)"
+            " as _far_end",
+            "if(_before, _far_end, _own_end) as _start",
+            "if(_before, _own_end, _far_end) as _end",
         )
-    )
-    return spans.select(
-        *key,
-        "_at",
-        PERIOD,
-        F.expr(
+        .selectExpr(
+            *keys,
+            "_at",
+            PERIOD,
             """
             inline(concat(
               array(
@@ -141,8 +134,8 @@ def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
                 sequence(_start._chunk + 1, _end._chunk - 1),
                 c -> struct(c as _chunk, _end._cut, 2 as _side, 0 as _sign, true as _whole)))
             ))
-            """
-        ),
+            """,
+        )
     )
 
 
@@ -158,14 +151,13 @@ def profile_of(
         _reads(anchors, periods).join(seen, [*key, "_chunk"]), allowMissingColumns=True
     )
     running = (
-        W.partitionBy(*key, "_chunk", *dims)
-        .orderBy("_cut", "_side")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+        f"partition by {listed([*key, '_chunk', *dims])} order by _cut, _side"
+        " rows between unbounded preceding and current row"
     )
     # The reads of a period in one chunk meet where the window has put them.
     # What they leave is never negative, so empty parts can be dropped here.
     per_moment = (
-        timeline.withColumn("_n", F.sum("_n").over(running))
+        timeline.withColumn("_n", F.expr(f"sum(_n) over ({running})"))
         .where("_sign is not null")
         .groupBy(*key, "_chunk", *dims, "_at", PERIOD)
         .agg(F.expr("sum(_sign * coalesce(_n, 0) + if(_whole, _in_chunk, 0))").alias("_n"))

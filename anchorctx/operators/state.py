@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from anchorctx.functions.clock import check_same_clock, chunk_of, is_ntz
-from anchorctx.functions.columns import all_known, names
+from anchorctx.functions.columns import all_known, listed, names, quoted
 from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
 
 # Names of the result columns.
@@ -24,22 +23,24 @@ def _with_changed(reports: DataFrame, key: list[str], order: list[str], status:
     runs per (key, ``_chunk``); the last report of each chunk is copied into the
     key's next chunk, where it sorts first and is what the first report follows.
     """
+    keys = listed(key)
     copies = (
         reports.groupBy(*key, "_chunk")
         .agg(F.max(F.struct(*order, status)).alias("_end"))
-        .select(
-            *key,
-            F.lead("_chunk").over(W.partitionBy(*key).orderBy("_chunk")).alias("_chunk"),
+        .selectExpr(
+            *map(quoted, key),
+            f"lead(_chunk) over (partition by {keys} order by _chunk) as _chunk",
             "_end.*",
-            F.lit(True).alias("_copy"),
+            "true as _copy",
         )
         .where("_chunk is not null")
     )
-    before = F.lag(status).over(W.partitionBy(*key, "_chunk").orderBy(*order, status))
+    one, in_order = quoted(status), listed([*order, status])
+    before = f"lag({one}) over (partition by {keys}, _chunk order by {in_order})"
     return (
         reports.withColumn("_copy", F.lit(False))
         .unionByName(copies)
-        .withColumn("_changed", ~F.coalesce(before == F.col(status), F.lit(False)))
+        .selectExpr("*", f"not coalesce({before} = {one}, false) as _changed")
         .where("not _copy")
         .drop("_copy")
     )
@@ -125,22 +126,6 @@ def change_events(
     )
 
 
-def state_of(anchors: Anchors, changes: DataFrame) -> DataFrame:
-    """``state_as_of`` over the result of ``change_events``."""
-    per_moment = nearest(anchors, changes, latest=["_state"]).where("_state is not null")
-    return (
-        anchors.with_results(per_moment)
-        .groupBy(anchors.id, *anchors.key)
-        .agg(F.max("_state").alias("_state"))
-        .select(
-            anchors.id,
-            *anchors.key,
-            F.col("_state.status").alias(STATUS),
-            F.col("_state.since").alias(SINCE),
-        )
-    )
-
-
 def state_as_of(
     anchors: DataFrame,
     log: DataFrame,
@@ -159,7 +144,19 @@ def state_as_of(
     reports share a time, the highest ``seq`` counts.
     """
     asked = Anchors.against(log, state_time, anchors, key, anchor_id, anchor_time, chunk_seconds)
-    return state_of(asked, change_events(asked, log, state_time, status, seq))
+    changes = change_events(asked, log, state_time, status, seq)
+    per_moment = nearest(asked, changes, latest=["_state"]).where("_state is not null")
+    return (
+        asked.with_results(per_moment)
+        .groupBy(anchor_id, *asked.key)
+        .agg(F.max("_state").alias("_state"))
+        .select(
+            anchor_id,
+            *asked.key,
+            F.col("_state.status").alias(STATUS),
+            F.col("_state.since").alias(SINCE),
+        )
+    )
 
 
 def state_history(

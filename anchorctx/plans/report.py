@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from anchorctx.functions.clock import check_same_clock
-from anchorctx.functions.columns import all_known, names
+from anchorctx.functions.columns import all_known, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors
-from anchorctx.operators.neighbours import NEXT, PREVIOUS, neighbours, neighbours_of
+from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
+from anchorctx.operators.neighbours import NEXT, POOLED, PREVIOUS
 from anchorctx.operators.profile import (
     DIMS,
     PERIOD,
@@ -20,12 +21,49 @@ from anchorctx.operators.profile import (
     event_counts,
     profile_of,
 )
-from anchorctx.operators.state import SINCE, STATUS, change_events, state_as_of, state_of
+from anchorctx.operators.state import SINCE, STATUS, change_events
 
 
-def _context(states: DataFrame, neighbours: DataFrame, anchor_id: str) -> DataFrame:
-    return states.join(neighbours, anchor_id, "full").select(
-        anchor_id, STATUS, SINCE, PREVIOUS, NEXT
+def _context(anchors: Anchors, times: DataFrame, changes: DataFrame) -> DataFrame:
+    """State and neighbours per anchor id, both found in one pass over both histories."""
+    sides = [PREVIOUS, NEXT]
+    events = times.select("*", *[F.col("_at").alias(side) for side in sides]).unionByName(
+        changes, allowMissingColumns=True
+    )
+    per_moment = nearest(anchors, events, latest=[PREVIOUS, "_state"], earliest=[NEXT])
+    pooled = [POOLED[side](side).alias(side) for side in sides]
+
+    # Both sides of the join read all columns of `per_key`, so that Spark sees
+    # the same input twice and runs it once. The neighbours of an id on one key
+    # are never nearer than those over all its keys, which come first.
+    per_key = (
+        anchors.with_results(per_moment)
+        .groupBy(anchors.id, *anchors.key)
+        .agg(*pooled, F.max("_state").alias("_state"))
+    )
+    states = per_key.where("_state is not null").selectExpr(
+        quoted(anchors.id),
+        f"_state.status as {STATUS}",
+        f"_state.since as {SINCE}",
+        f"{PREVIOUS} as _previous",
+        f"{NEXT} as _next",
+    )
+    around = (
+        per_key.groupBy(anchors.id)
+        .agg(*pooled, F.count("_state").alias("_states"))
+        .where(f"{PREVIOUS} is not null or {NEXT} is not null or _states > 0")
+    )
+    # A missing id matches nothing, so its states and neighbours stay apart.
+    return (
+        states.join(around, anchors.id, "full")
+        .where(f"{SINCE} is not null or {PREVIOUS} is not null or {NEXT} is not null")
+        .selectExpr(
+            quoted(anchors.id),
+            STATUS,
+            SINCE,
+            f"if(_states is null, null, coalesce({PREVIOUS}, _previous)) as {PREVIOUS}",
+            f"if(_states is null, null, coalesce({NEXT}, _next)) as {NEXT}",
+        )
     )
 
 
@@ -47,13 +85,14 @@ def unbounded_context(
 
     An id used on several keys has one row per key with a state.
     """
-    anchor = dict(
-        key=key, anchor_id=anchor_id, anchor_time=anchor_time, chunk_seconds=chunk_seconds
+    check_same_clock(anchors, anchor_time, states, state_time)
+    asked = Anchors.against(
+        activity, event_time, anchors, key, anchor_id, anchor_time, chunk_seconds
     )
     return _context(
-        state_as_of(anchors, states, state_time=state_time, status=status, seq=seq, **anchor),
-        neighbours(anchors, activity, event_time=event_time, **anchor),
-        anchor_id,
+        asked,
+        asked.dated(activity, event_time).distinct(),
+        change_events(asked, states, state_time, status, seq),
     )
 
 
@@ -91,11 +130,7 @@ def context_report(
     # Reading `_n` here too makes this the same aggregation of the activity as
     # the profile's, so Spark runs it once and reuses its exchange.
     times = counts.where("_n > 0").select(*asked.key, "_chunk", "_at")
-    context = _context(
-        state_of(asked, change_events(asked, states, state_time, status, seq)),
-        neighbours_of(asked, times),
-        anchor_id,
-    )
+    context = _context(asked, times, change_events(asked, states, state_time, status, seq))
 
     by_dim = [column for dim in dims for column in (dim, f"count_{dim}")]
     ids = anchors.select(anchor_id).distinct().join(context, anchor_id, "left")
