@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.functions.clock import at_second_sql, chunk_sql, seconds_sql
+from anchorctx.functions.clock import at_second_sql, seconds_sql
 from anchorctx.functions.columns import listed, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
 from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors
@@ -77,9 +77,24 @@ def event_counts(
     )
 
 
-def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
-    """Where running counts are read: (key, ``_at``, period, ``_chunk``, ``_cut``, ``_side``,
-    ``_sign``, ``_whole``).
+def _visits(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
+    """(key, ``_at``, ``_own_chunk``, ``_chunk``): the chunks that a moment's periods touch."""
+    second = seconds_sql("_at", anchors.ntz)
+    back = max([p.seconds + 1 for p in periods if p.direction == "before"], default=0)
+    ahead = max([p.seconds + 1 for p in periods if p.direction == "after"], default=0)
+    length = anchors.chunk_seconds
+    return anchors.moments.selectExpr(
+        *map(quoted, anchors.key),
+        "_at",
+        "_chunk as _own_chunk",
+        f"explode(sequence(floor(({second} - {back}) / {length}),"
+        f" floor(({second} + {ahead}) / {length}))) as _chunk",
+    )
+
+
+def _reads(visits: DataFrame, anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
+    """Where running counts of the visited chunk are read: the visit's columns with the
+    period, ``_cut``, ``_side``, ``_sign`` and ``_whole``.
 
     A period has one end at the moment itself and one at the full second where
     it is over. Rows of one time sort by ``_side``: a cut that leaves the events
@@ -88,7 +103,7 @@ def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
     it ends in a later chunk than it starts, also the ``_whole`` count of the
     first chunk and of those in between.
     """
-    ntz, keys = anchors.ntz, list(map(quoted, anchors.key))
+    ntz, length = anchors.ntz, anchors.chunk_seconds
     # Events in the second of the far end still belong to the period.
     around = F.array(
         *[
@@ -99,43 +114,41 @@ def _reads(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
         ]
     )
     period_names = F.array(*[F.lit(period.name) for period in periods])
+    kept = [quoted(c) for c in visits.columns if c != "_own_chunk"]
     return (
-        anchors.moments.select(
-            *anchors.key, "_chunk", "_at", F.explode(F.arrays_zip(period_names, around))
-        )
+        visits.select("*", F.explode(F.arrays_zip(period_names, around)).alias("_period"))
         .selectExpr(
-            *keys,
-            "_at",
-            f"col.`0` as {PERIOD}",
-            "col.`1`.before as _before",
-            f"{seconds_sql('_at', ntz)} + col.`1`.far as _far",
+            *kept,
+            f"_period.`0` as {PERIOD}",
+            "_period.`1`.before as _before",
+            f"{seconds_sql('_at', ntz)} + _period.`1`.far as _far",
             # Times are cut to seconds toward zero: up to 1970 a second begins
             # just after the full second below it.
             "if(_far >= 1, _far, _far - 1) as _full",
-            f"{at_second_sql('_full', ntz)} as _far_at",
-            f"{chunk_sql('_far_at', ntz, anchors.chunk_seconds)} as _far_chunk",
-            "struct(_chunk, _at as _cut, if(_before, 2, 0) as _side) as _own_end",
-            "struct(_far_chunk as _chunk, _far_at as _cut, if(_far >= 1, 0, 2) as _side)"
-            " as _far_end",
+            "struct(_own_chunk as chunk, _at as cut, if(_before, 2, 0) as side) as _own_end",
+            f"struct(floor(_full / {length}) as chunk, {at_second_sql('_full', ntz)} as cut,"
+            " if(_far >= 1, 0, 2) as side) as _far_end",
             "if(_before, _far_end, _own_end) as _start",
             "if(_before, _own_end, _far_end) as _end",
         )
         .selectExpr(
-            *keys,
-            "_at",
+            *kept,
             PERIOD,
             """
-            inline(concat(
-              array(
-                struct(_start._chunk, _start._cut, _start._side, -1 as _sign,
-                       _start._chunk < _end._chunk as _whole),
-                struct(_end._chunk, _end._cut, _end._side, 1 as _sign, false as _whole)),
-              if(_end._chunk - _start._chunk < 2, array(), transform(
-                sequence(_start._chunk + 1, _end._chunk - 1),
-                c -> struct(c as _chunk, _end._cut, 2 as _side, 0 as _sign, true as _whole)))
-            ))
+            explode(array(
+              case when _chunk = _start.chunk
+                   then struct(_start.cut as _cut, _start.side as _side, -1 as _sign,
+                               _start.chunk < _end.chunk as _whole)
+                   when _chunk > _start.chunk and _chunk < _end.chunk
+                   then struct(_end.cut as _cut, _end.side as _side, 0 as _sign, true as _whole)
+              end,
+              case when _chunk = _end.chunk
+                   then struct(_end.cut as _cut, _end.side as _side, 1 as _sign, false as _whole)
+              end)) as _read
             """,
         )
+        .where("_read is not null")
+        .selectExpr(*kept, PERIOD, "_read.*")
     )
 
 
@@ -148,7 +161,8 @@ def profile_of(
     timeline = counts.select(
         *key, "_chunk", *dims, F.col("_at").alias("_cut"), F.lit(1).alias("_side"), "_n"
     ).unionByName(
-        _reads(anchors, periods).join(seen, [*key, "_chunk"]), allowMissingColumns=True
+        _reads(_visits(anchors, periods).join(seen, [*key, "_chunk"]), anchors, periods),
+        allowMissingColumns=True,
     )
     running = (
         f"partition by {listed([*key, '_chunk', *dims])} order by _cut, _side"
