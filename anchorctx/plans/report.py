@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anchorctx.functions.clock import check_same_clock
-from anchorctx.functions.columns import all_known, names, quoted
+from anchorctx.functions.columns import all_known, any_known, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
 from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
 from anchorctx.operators.neighbours import NEXT, POOLED, PREVIOUS
@@ -24,47 +24,47 @@ from anchorctx.operators.profile import (
 from anchorctx.operators.state import SINCE, STATUS, change_events
 
 
-def _context(anchors: Anchors, times: DataFrame, changes: DataFrame) -> DataFrame:
-    """State and neighbours per anchor id, both found in one pass over both histories."""
+def _context(
+    anchors: Anchors, times: DataFrame, changes: DataFrame, unplaced: DataFrame | None = None
+) -> DataFrame:
+    """State and neighbours per anchor id, both found in one pass over both histories.
+
+    Every id of the anchors has a row, and so has every id of ``unplaced``, which
+    holds the id and key of anchors that cannot meet any event.
+    """
     sides = [PREVIOUS, NEXT]
     events = times.select("*", *[F.col("_at").alias(side) for side in sides]).unionByName(
         changes, allowMissingColumns=True
     )
     per_moment = nearest(anchors, events, latest=[PREVIOUS, "_state"], earliest=[NEXT])
-    pooled = [POOLED[side](side).alias(side) for side in sides]
+    per_anchor = anchors.with_results(per_moment).drop("_at")
+    if unplaced is not None:
+        per_anchor = per_anchor.unionByName(unplaced, allowMissingColumns=True)
 
-    # Both sides of the join read all columns of `per_key`, so that Spark sees
-    # the same input twice and runs it once. The neighbours of an id on one key
-    # are never nearer than those over all its keys, which come first.
-    per_key = (
-        anchors.with_results(per_moment)
-        .groupBy(anchors.id, *anchors.key)
-        .agg(*pooled, F.max("_state").alias("_state"))
-    )
-    states = per_key.where("_state is not null").selectExpr(
-        quoted(anchors.id),
-        f"_state.status as {STATUS}",
-        f"_state.since as {SINCE}",
-        f"{PREVIOUS} as _previous",
-        f"{NEXT} as _next",
-    )
-    around = (
-        per_key.groupBy(anchors.id)
-        .agg(*pooled, F.count("_state").alias("_states"))
-        .where(f"{PREVIOUS} is not null or {NEXT} is not null or _states > 0")
+    # States and neighbours below both read all columns of `per_key`, so that
+    # Spark sees the same input twice and runs it once. The neighbours of an id
+    # on one key are never nearer than those over all its keys, which come first.
+    pooled = [POOLED[side](side).alias(side) for side in sides]
+    per_key = per_anchor.groupBy(anchors.id, *anchors.key).agg(
+        *pooled, F.max("_state").alias("_state")
     )
-    # A missing id matches nothing, so its states and neighbours stay apart.
-    return (
-        states.join(around, anchors.id, "full")
-        .where(f"{SINCE} is not null or {PREVIOUS} is not null or {NEXT} is not null")
+    around = per_key.groupBy(anchors.id).agg(*pooled, F.count("_state").alias("_states"))
+    id_ = quoted(anchors.id)
+    # A missing id matches nothing: its states are without neighbours.
+    with_state = (
+        per_key.where("_state is not null")
+        .selectExpr(id_, "_state", f"{PREVIOUS} as _previous", f"{NEXT} as _next")
+        .join(around, anchors.id, "left")
         .selectExpr(
-            quoted(anchors.id),
-            STATUS,
-            SINCE,
+            id_,
+            f"_state.status as {STATUS}",
+            f"_state.since as {SINCE}",
             f"if(_states is null, null, coalesce({PREVIOUS}, _previous)) as {PREVIOUS}",
             f"if(_states is null, null, coalesce({NEXT}, _next)) as {NEXT}",
         )
     )
+    without_state = around.where(f"_states = 0 or {id_} is null").select(anchors.id, *sides)
+    return with_state.unionByName(without_state, allowMissingColumns=True)
 
 
 def unbounded_context(
@@ -93,7 +93,7 @@ def unbounded_context(
         asked,
         asked.dated(activity, event_time).distinct(),
         change_events(asked, states, state_time, status, seq),
-    )
+    ).where(any_known([SINCE, PREVIOUS, NEXT]))
 
 
 def context_report(
@@ -115,11 +115,13 @@ def context_report(
     """Profile of every anchor id and period, with the id's state and neighbours."""
     dims, periods = names(dims), check_periods(periods)
     check_same_clock(anchors, anchor_time, states, state_time)
+    key = names(key)
+    named = anchors.where(all_known([anchor_id]))
+    placed = all_known([*key, anchor_time])
     asked = Anchors.against(
         activity,
         event_time,
-        # A missing id gets no counts and no context.
-        anchors.where(all_known([anchor_id])),
+        named.where(placed),
         key,
         anchor_id,
         anchor_time,
@@ -129,13 +131,15 @@ def context_report(
     counts = event_counts(asked, activity, event_time, dims)
     # Reading `_n` here too makes this the same aggregation of the activity as
     # the profile's, so Spark runs it once and reuses its exchange.
-    times = counts.where("_n > 0").select(*asked.key, "_chunk", "_at")
-    context = _context(asked, times, change_events(asked, states, state_time, status, seq))
-
+    times = counts.where("_n > 0").select(*key, "_chunk", "_at")
+    changes = change_events(asked, states, state_time, status, seq)
+    context = _context(asked, times, changes, named.where(~placed).select(anchor_id, *key))
+    report = each_period(context, periods).join(
+        profile_of(asked, counts, periods, dims), [anchor_id, PERIOD], "left"
+    )
+    # A missing id gets no counts and no context, however many anchors lack one.
+    nameless = anchors.where(~all_known([anchor_id])).select(anchor_id).distinct()
     by_dim = [column for dim in dims for column in (dim, f"count_{dim}")]
-    ids = anchors.select(anchor_id).distinct().join(context, anchor_id, "left")
-    return (
-        each_period(ids, periods)
-        .join(profile_of(asked, counts, periods, dims), [anchor_id, PERIOD], "left")
-        .select(anchor_id, STATUS, SINCE, PREVIOUS, NEXT, PERIOD, TOTAL, *by_dim)
+    return report.unionByName(each_period(nameless, periods), allowMissingColumns=True).select(
+        anchor_id, STATUS, SINCE, PREVIOUS, NEXT, PERIOD, TOTAL, *by_dim
     )
