@@ -17,6 +17,13 @@ import anchorctx as ac
 from anchorctx.sources import schemas
 from anchorctx.sources.paths import scratch_folder
 
+try:
+    from anchorctx.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("anchorctx.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 NARROW = {"before": 180, "after": 180, "before_long": 3600}
 WIDE = {"before": 21600, "after": 21600, "before_long": 86400}
 PERIOD_NAMES = {
@@ -245,7 +252,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         )
         found[f"multi_period_profile{suffix}"] = partial(multi_period_profile, seconds=seconds)
         found[f"context_report{suffix}"] = partial(context_report, seconds=seconds)
-    return found
+    return found | (llm.queries() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -437,4 +444,4 @@ def oracle_sql() -> dict[str, str]:
             _multi_period(seconds), "select * from bounded"
         )
         found[f"context_report{suffix}"] = _report(seconds)
-    return found
+    return found | (llm.oracle_sql() if llm else {})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -66,11 +65,9 @@ class Location:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Without that setting only a local master has a folder that all of its tasks see.
+    Where that is unset, in the warehouse folder, which every executor sees as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
