@@ -18,9 +18,9 @@ from anchorctx.sources import schemas
 from anchorctx.sources.paths import scratch_folder
 
 try:
-    from anchorctx.llm import queries as llm
+    import anchorctx.llm.queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("anchorctx.llm", "corpus_pipeline"):
+    if missing.name not in ("anchorctx.llm", "anchorctx.llm.queries", "corpus_pipeline"):
         raise
     llm = None
 
