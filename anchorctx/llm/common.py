@@ -28,6 +28,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """The same for equal rows; 64 bits tell others apart."""
+    return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))
+
+
 def held_out(doc_id: str, mod: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % mod == remainder, F.lit(False))

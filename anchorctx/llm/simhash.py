@@ -5,10 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import connected_components, documents, saved
+from anchorctx.llm.common import connected_components, documents, row_key, saved
 
 BITS = 64
 SEED = 42
@@ -43,10 +43,6 @@ def fingerprint(text: bytes | None, shingle_words: int) -> int:
     return int(bits.view("<u8")[0])
 
 
-def row_key(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))
-
-
 def fingerprints(
     docs: DataFrame, shingle_words: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
