@@ -17,7 +17,17 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``saved`` tables that nothing will read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(text: str) -> Column:
@@ -71,7 +81,8 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
             )
             .where("a <> b").distinct()
         )
-        current = saved(small, f"{purpose}-edges")
+        older, current = current, saved(small, f"{purpose}-edges")
+        discard(older)
         state = tuple(
             current.agg(
                 F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from anchorctx.llm.common import (
     connected_components,
+    discard,
     documents,
     row_key,
     saved,
@@ -237,7 +238,6 @@ def line_components(
     different components against each other, in blocks of at most ``block`` lines, whose tasks
     pass on no more links than they join components.
     """
-    spark = docs.sparkSession
     # One exchange serves both the count and the members of the buckets.
     banded = _banded(docs, text).repartition("band")
     shared = (
@@ -299,10 +299,13 @@ def line_components(
         .applyInPandas(_links_across(similarity), "a bigint, b bigint")
     )
     more = saved(more, "lines-more")
+    discard(met, words, labelled)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return saved(connected_components(tree.unionByName(more), "lines"), "lines-all")
+    linked = saved(connected_components(tree.unionByName(more), "lines"), "lines-all")
+    discard(first, more)
+    return linked
 
 
 def repeated_lines(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +20,13 @@ from anchorctx.llm.common import documents, held_out, saved
 # Text of one chunk, the unit that is numbered, learned from and scored.
 CHUNK_BYTES = 8 << 20
 # Tokens whose probabilities are worked out at a time.
-TOKENS_AT_ONCE = 4096
+TOKENS_AT_ONCE = 1 << 14
 # The end of a text as a word; no word is empty.
 END = b""
-TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 31, 64, 32
+TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 15, 32, 16
 CLASSES = 1 + TOP_WORDS + TOP_PREFIXES + OTHER_CLASSES
-PREFIX = 3
-FEATURES = 4
+PREFIX = 2
+FEATURES = 3
 TABLE_ROWS = 1 << 13
 SLAB_ROWS = 256
 ROUNDS = 3
@@ -59,14 +60,13 @@ def _unpack_words(data: bytes) -> list[bytes]:
 
 def _chunk(number: int, docs: list[tuple]) -> pa.RecordBatch:
     """Numbers the words of some documents; ``docs`` holds (doc_id, held, body)."""
-    numbers: dict[bytes, int] = {END: 0}
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__  # a new word gets the next number
     texts = []
     for _, _, body in docs:
         words = body.lower().split()
         words.append(END)
-        texts.append(
-            np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-        )
+        texts.append(np.array(list(map(numbers.__getitem__, words)), dtype=np.int64))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     tokens = np.concatenate(texts)
     learned = np.repeat(np.array([not held for _, held, _ in docs]), sizes)
@@ -155,8 +155,8 @@ class Model:
 
 
 def _features(hashes: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Rows of the weight table for each token: the word before, the word two before, the
-    classes of both, and the classes one and three before. Texts begin with no words before."""
+    """Rows of the weight table for each token: the word before, the classes one and two before,
+    and the classes one and three before. Texts begin with no words before."""
     n = len(hashes)
     back_words, back_classes = [], []
     for back in (1, 2, 3):
@@ -168,7 +168,7 @@ def _features(hashes: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.
         back_words.append(w)
         back_classes.append(c)
     pairs = [(back_classes[0], back_classes[1]), (back_classes[0], back_classes[2])]
-    keys = back_words[:2] + [a * np.uint64(CLASSES + 1) + b for a, b in pairs]
+    keys = back_words[:1] + [a * np.uint64(CLASSES + 1) + b for a, b in pairs]
     rows = np.empty((FEATURES, n), dtype=np.int64)
     for f, key in enumerate(keys):
         mixed = (key + np.uint64(f + 1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -213,11 +213,32 @@ def _log_probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray)
     for r in rows[1:]:
         scores += weights[r]
     scores += bias
-    scores -= scores.max(axis=1, keepdims=True)
+    # Far beyond what weights reach; keeps the exponentials finite without a pass for the maximum.
+    np.clip(scores, -60, 60, out=scores)
     scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
     return scores
 
 
+def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and the sums of their lines of ``values``.
+
+    Sorted by row, neighbours of one row are added in pairs until each row has one line.
+    """
+    order = np.argsort(rows)
+    rows, values = rows[order], values[order]
+    while True:
+        place = np.arange(len(rows))
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = rows[1:] != rows[:-1]
+        if new.all():
+            return rows, values
+        place -= np.maximum.accumulate(np.where(new, place, 0))
+        odd = np.flatnonzero(place & 1)
+        values[odd - 1] += values[odd]
+        even = np.flatnonzero(place & 1 == 0)
+        rows, values = rows[even], values[even]
+
+
 def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias) -> int:
     """Steps of gradient ascent over a chunk's training texts; returns the tokens seen."""
     seen = 0
@@ -226,11 +247,7 @@ def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias) -> int:
         gradient = -np.exp(_log_probabilities(weights, bias, rows))
         gradient[np.arange(n), classes] += 1
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            arranged = r[order]
-            first = np.flatnonzero(np.diff(arranged, prepend=-1))
-            sums = np.add.reduceat(gradient[order], first, axis=0)
-            row = arranged[first]
+            row, sums = _sums(r, gradient)
             squares[row] += np.square(sums).mean(axis=1)
             weights[row] += (RATE / np.sqrt(squares[row] + 1.0))[:, None] * sums
         seen += n
@@ -391,8 +408,8 @@ def score_documents(
     model's log10 P(class | words before) and log10 P(word | class).
 
     A class is the end, a frequent word, a frequent beginning of words or a hash of the beginning.
-    P(class | words before) is a softmax of weights of hashed features (the words one and two
-    before, and pairs of classes up to three before); P(word | class) goes by counts. Every
+    P(class | words before) is a softmax of weights of hashed features (the word before, and the
+    pairs of classes one and two, and one and three before); P(word | class) goes by counts. Every
     training text is learned from: tasks go through their chunks in small steps from a common
     table of weights, whose changes are averaged. The table's size is fixed, so it may be
     collected and broadcast; words, counts and texts stay distributed.

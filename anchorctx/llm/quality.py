@@ -156,7 +156,7 @@ def score_quality(
     rows = saved(with_statistics(docs, STATISTICS, statistics, doc_id=doc_id, text=text), "quality")
     sample = labelled_sample(labels, label, mod, remainder, labelled_rows)
     # The sample's size is bounded.
-    known = saved(rows.join(F.broadcast(sample), "doc_id"), "quality-known").repartition(8)
+    known = saved(rows.join(F.broadcast(sample), "doc_id"), "quality-known").coalesce(8)
     ensemble = fit_rules(known, STATISTICS)
     return rows.select(
         "doc_id",

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import connected_components, documents, row_key, saved
+from anchorctx.llm.common import connected_components, discard, documents, row_key, saved
 
 BITS = 64
 SEED = 42
@@ -120,7 +120,6 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int, block: int = 4096) -
     ``block`` fingerprints, whose tasks pass on no more links than they join components. So no
     link that matters is missed, and no group's pairs are written out.
     """
-    spark = distinct.sparkSession
     masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(max_bits)])
     bucketed = distinct.select("fp", F.posexplode(masks).alias("table", "_mask")).select(
         "fp", "table", F.col("fp").bitwiseAND(F.col("_mask")).alias("bucket")
@@ -164,10 +163,13 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int, block: int = 4096) -
         .applyInPandas(_links_across(max_bits), "a bigint, b bigint")
     )
     more = saved(more, "simhash-more")
+    discard(met, labelled)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return saved(connected_components(tree.unionByName(more), "simhash"), "simhash-all")
+    linked = saved(connected_components(tree.unionByName(more), "simhash"), "simhash-all")
+    discard(first, more)
+    return linked
 
 
 def simhash_groups(
@@ -202,6 +204,7 @@ def simhash_groups(
         named.join(least, "component").select("fp", "component", "component_id"),
         "simhash-components",
     )
+    discard(per_fp, linked)
     return rows.join(component, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

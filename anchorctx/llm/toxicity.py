@@ -40,8 +40,8 @@ SECOND_PERSON = {
     vous toi ton ta votre vos
 """.split()
 }
-# Characters that stand for letters.
-LOOK_ALIKE = bytes.maketrans(b"01345@$!|", b"oleasasil")
+# Characters that stand for letters; 1 stands for two of them.
+LOOK_ALIKE = [bytes.maketrans(b"01345@$!|", letters) for letters in (b"oieasasil", b"oleasasil")]
 EDGES = b".,;:!?\"'()[]{}<>*_-#$%&@~|/\\"
 INNER = re.compile(rb"[.*_\-~+^#'`]+")
 
@@ -81,7 +81,7 @@ def feature_function(weights: dict[bytes, float]):
             w for w in plain if w and not w.isalpha() and w.isascii() and any(97 <= c <= 122 for c in w)
         ]
         hidden = sum(
-            INNER.sub(b"", w) in lexicon or INNER.sub(b"", w.translate(LOOK_ALIKE)) in lexicon
+            any(INNER.sub(b"", x) in lexicon for x in (w, *map(w.translate, LOOK_ALIKE)))
             for w in odd
         )
         return [
@@ -160,7 +160,7 @@ def score_toxicity(
         with_statistics(docs, FEATURES, feature_function(weights), doc_id=doc_id, text=text),
         "toxicity",
     )
-    known = saved(rows.join(F.broadcast(sample), "doc_id"), "toxicity-known").repartition(8)
+    known = saved(rows.join(F.broadcast(sample), "doc_id"), "toxicity-known").coalesce(8)
     score = _fitted(known)
     return (
         score(rows.withColumn("held_out", held_out("doc_id", mod, remainder)))

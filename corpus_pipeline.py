@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from anchorctx.llm.bpe import digests
-from anchorctx.llm.common import documents, saved
+from anchorctx.llm.common import discard, documents, saved
 from anchorctx.llm.decontaminate import decontaminate
 from anchorctx.llm.line_dedup import dedup_lines
 from anchorctx.llm.simhash import one_of_each_group
@@ -48,7 +48,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over the documents, each written and read again by the next."""
-    docs = documents(spark, sf_dir)
+    docs, older = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        discard(*older)
+        older = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

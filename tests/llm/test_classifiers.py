@@ -1,0 +1,133 @@
+"""The quality and toxicity classifiers."""
+
+import math
+import random
+from zlib import crc32
+
+import pytest
+from tables import AWKWARD, docs, given
+from pathlib import Path
+
+import __spark_entry__ as entry
+from anchorctx.llm import quality, toxicity
+from anchorctx.llm.training import byte_shares, labelled_sample
+
+SF = Path("/root/testdata/sf0.01")
+
+
+def auc(pairs):
+    good = sorted(s for s, y in pairs if y)
+    bad = sorted(s for s, y in pairs if not y)
+    wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad)
+    return wins / (len(good) * len(bad))
+
+
+@pytest.mark.parametrize(
+    "name, label, mod, remainder, threshold, least",
+    [("op3_quality", "quality", 5, 0, 0.3, 0.8), ("op7_toxicity", "toxic", 3, 1, 0.7, 0.85)],
+)
+def test_query_on_held_out_rows(spark, name, label, mod, remainder, threshold, least):
+    rows = entry.queries()[name](spark, str(SF)).collect()
+    table = spark.read.parquet(str(SF / "documents.parquet"))
+    assert len(rows) == table.count()
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(str(SF / "labels.parquet")).collect()}
+    for r in rows:
+        assert r.held_out == (crc32(str(r.doc_id).encode()) % mod == remainder)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= threshold)
+    pairs = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert auc(pairs) >= least
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int, text string")
+
+
+def texts(count, seed=1):
+    """Clean prose, shouting and insults in turn."""
+    choices = random.Random(seed)
+    rows, marks = [], []
+    for i in range(count):
+        words = ["".join(choices.choices("aeinrst", k=choices.randint(2, 7))) for _ in range(60)]
+        if i % 3 == 1:
+            words = [w.upper() + "!!" for w in words]
+        if i % 3 == 2:
+            for at in choices.sample(range(60), 6):
+                words[at] = choices.choice(["you idiot", "moron", "1d1ot", "LOSER"])
+        rows.append((100 + i, " ".join(words)))
+        marks.append((100 + i, int(i % 3 != 1), int(i % 3 == 2), "x"))
+    return rows, marks
+
+
+def test_awkward_rows(spark):
+    rows, marks = texts(300)
+    table = docs(spark, rows + AWKWARD)
+    marks += [(None, 1, 1, "x"), (1, None, None, "x"), (5, 0, 0, "x"), (5, 1, 1, "x"), (10**6, 1, 1, "x")]
+    for found, mod, remainder, label in (
+        (quality.score_quality(table, labels(spark, marks)), 5, 0, 1),
+        (toxicity.score_toxicity(table, labels(spark, marks)), 3, 1, 2),
+    ):
+        result = found.collect()
+        assert len(result) == len(rows) + len(AWKWARD)
+        assert all(0 <= r.score <= 1 for r in result)
+        assert not any(r.held_out for r in result if r.doc_id is None)
+        known = {m[0]: m[label] for m in marks}
+        pairs = [
+            (r.score, known[r.doc_id])
+            for r in result
+            if r.doc_id and r.doc_id >= 100 and crc32(str(r.doc_id).encode()) % mod == remainder
+        ]
+        assert auc(pairs) > 0.95
+    assert toxicity.without_toxic(table, labels(spark, marks)).columns == table.columns
+
+
+def test_no_rows_and_labels_of_one_kind(spark):
+    rows, marks = texts(20)
+    table = docs(spark, rows)
+    for one in ([], [(d, 1, 1, "x") for d, *_ in marks], marks[:2]):
+        for found in (
+            quality.score_quality(table, labels(spark, one)),
+            toxicity.score_toxicity(table, labels(spark, one)),
+        ):
+            assert len({r.score for r in found.collect()}) == 1
+    assert quality.score_quality(docs(spark, []), labels(spark, marks)).collect() == []
+    assert toxicity.score_toxicity(docs(spark, []), labels(spark, marks)).collect() == []
+
+
+def test_the_sample_leaves_held_out_rows_alone(spark):
+    marks = [(i, i % 2, 0, "x") for i in range(200)] + [(3, 1, 1, "x"), (4, None, 1, "x")]
+    sample = labelled_sample(labels(spark, marks), "quality", 5, 0, 1000).collect()
+    assert {r.doc_id for r in sample} == {i for i in range(200) if crc32(str(i).encode()) % 5}
+    assert len(sample) == len({r.doc_id for r in sample})
+    assert labelled_sample(labels(spark, marks), "quality", 5, 0, 7).count() == 7
+
+
+def test_rules_are_paths_and_compile(spark):
+    rule = quality.Rule(frozenset({("upper", True, 0.5), ("words", False, 3.0)}))
+    ensemble = quality.RuleEnsemble(-1.0, ((rule, 2.0),))
+    rows = spark.createDataFrame([(0.6, 2.0), (0.6, 4.0), (0.5, 2.0)], "upper double, words double")
+    found = [r[0] for r in rows.select(ensemble.column()).collect()]
+    wanted = [1 / (1 + math.exp(-x)) for x in (1.0, -1.0, -1.0)]
+    assert found == pytest.approx(wanted)
+
+
+def test_lasso_leaves_rules_out(spark):
+    rows, marks = texts(400)
+    stats = quality.with_statistics(docs(spark, rows), quality.STATISTICS, quality.statistics)
+    known = stats.join(labels(spark, marks).select("doc_id", "quality"), "doc_id")
+    known = known.withColumn("label", known.quality.cast("double"))
+    sizes = [
+        len(quality.fit_rules(known, quality.STATISTICS, lasso=x).rules) for x in (0.002, 1.0)
+    ]
+    assert sizes[0] > 0 and sizes[1] == 0
+
+
+def test_features_by_hand():
+    of = dict(zip(toxicity.FEATURES, toxicity.feature_function({b"zork": 3.0})(
+        b"You ZORK!! an id-iot, 1d1ot far away from here it goes idiot"), strict=True))
+    assert of["lexicon_distinct"] == 2
+    assert of["lexicon"] == 2 / 12 and of["lexicon_weight"] == pytest.approx(4 / 12)
+    assert of["near_second_person"] == 1 / 12 and of["obfuscated_lexicon"] == 2 / 12
+    assert of["capital_lexicon"] == 1 / 12 and of["runs_of_stops"] == 1 / 12
+    assert len(toxicity.feature_function({})(b"")) == len(toxicity.FEATURES)
+    assert len(quality.statistics(b"")) == len(quality.STATISTICS)
+    assert byte_shares("É a".encode())["letters"] == 0.75
