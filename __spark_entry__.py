@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import anchorctx as ac
 from anchorctx.sources import schemas
+from anchorctx.sources.csv_export import TIMESTAMP_NTZ
 from anchorctx.sources.paths import scratch_folder
 
 try:
@@ -131,15 +132,6 @@ def nearest_events(spark, sf_dir, operator):
     )
 
 
-def state_history(spark, sf_dir):
-    return ac.state_history(
-        view(spark, sf_dir, "anchor"),
-        view(spark, sf_dir, "state_log"),
-        state_time="state_time",
-        **ANCHOR,
-    )
-
-
 def state_change_points(spark, sf_dir):
     return ac.state_changes(view(spark, sf_dir, "state_log"), **STATE)
 
@@ -177,11 +169,16 @@ def context_report(spark, sf_dir, seconds=NARROW):
     )
 
 
+def write_csv(df: DataFrame, folder: str) -> None:
+    """With a header line and whole times; empty strings stay apart from NULLs."""
+    df.write.option("timestampNTZFormat", TIMESTAMP_NTZ).csv(folder, header=True)
+
+
 def csv_source_explicit_schema(spark, sf_dir):
     """All events through CSV files whose header names say nothing."""
     folder = scratch_folder(spark, "csv-source")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    events.toDF(*[f"c{i}" for i in range(len(events.columns))]).write.csv(folder, header=True)
+    write_csv(events.toDF(*[f"c{i}" for i in range(len(events.columns))]), folder)
     schema = (
         "event_id bigint, ts timestamp_ntz, user_id bigint,"
         " event_type string, value double, props string"
@@ -189,10 +186,10 @@ def csv_source_explicit_schema(spark, sf_dir):
     return ac.read_events_csv(spark, folder, schema)
 
 
-def csv_export(spark, sf_dir, single_file):
+def csv_export_folder(spark, sf_dir):
     path = f"{scratch_folder(spark, 'csv-export')}/report.csv"
     report = context_report(spark, sf_dir, WIDE)
-    ac.export_csv(report, path, single_file=single_file)
+    ac.export_csv(report, path)
     return ac.read_events_csv(spark, path, report.schema)
 
 
@@ -211,7 +208,7 @@ def context_job(spark, sf_dir):
         ),
     }
     for name, rows in inputs.items():
-        rows.write.csv(f"{folder}/data/{name}", header=True)
+        write_csv(rows, f"{folder}/data/{name}")
     path = ac.run(spark, f"{folder}/data/", f"{folder}/results/")
     result = ac.read_events_csv(
         spark, path, ac.report_from_csv(spark, f"{folder}/data/").schema
@@ -230,13 +227,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "previous_event": partial(nearest_events, operator=ac.previous_event),
         "next_event": partial(nearest_events, operator=ac.next_event),
         "neighbours": partial(nearest_events, operator=ac.neighbours),
-        "state_history": state_history,
         "state_change_points": state_change_points,
         "latest_change_per_device": latest_change_per_device,
         "state_as_of": state_as_of,
         "unbounded_context": unbounded_context,
-        "csv_export_single_file": partial(csv_export, single_file=True),
-        "csv_export_folder": partial(csv_export, single_file=False),
+        "csv_export_folder": csv_export_folder,
         "context_job": context_job,
     }
     for suffix, seconds in (("", NARROW), ("_wide", WIDE)):
@@ -262,15 +257,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 # --------------------------------------------------------------------------- oracle
 
-MILLISECONDS = "date_trunc('millisecond', {})"
-
 
-def _with_views(ctes: dict[str, str], result: str, millisecond_input: bool = False) -> str:
-    views = dict(VIEWS)
-    if millisecond_input:
-        source = "from (select * replace (date_trunc('millisecond', ts) as ts) from events)"
-        views = {name: text.replace("from events", source) for name, text in VIEWS.items()}
-    parts = ",\n".join(f"{name} as ({text})" for name, text in {**views, **ctes}.items())
+def _with_views(ctes: dict[str, str], result: str) -> str:
+    parts = ",\n".join(f"{name} as ({text})" for name, text in {**VIEWS, **ctes}.items())
     return f"with {parts}\n{result}"
 
 
@@ -329,106 +318,105 @@ def _multi_period(seconds: dict[str, int]) -> dict[str, str]:
     }
 
 
-PREVIOUS_SQL = """
-    select a.anchor_id, max(p.activity_time) as preceding_event_time
-    from anchor a join activity p using (device_id)
-    where p.activity_time <= a.anchor_time group by a.anchor_id
+# Each anchor's nearest rows, found by as-of joins. Ids of anchors are unique here.
+LAST_EVENT = """
+    asof left join activity last
+    on a.device_id = last.device_id and a.anchor_time >= last.activity_time
 """
-NEXT_SQL = """
-    select a.anchor_id, min(p.activity_time) as following_event_time
-    from anchor a join activity p using (device_id)
-    where p.activity_time >= a.anchor_time group by a.anchor_id
+FIRST_EVENT = """
+    asof left join activity first
+    on a.device_id = first.device_id and a.anchor_time <= first.activity_time
 """
-CHANGES_SQL = """
-    select device_id, state_time, seq, status,
-           case when lag(status) over (partition by device_id order by state_time, seq) = status
-                then null else state_time end as status_change_time
-    from state_log
+LAST_CHANGE = """
+    asof left join change c
+    on a.device_id = c.device_id and a.anchor_time >= c.status_change_time
 """
-CONTEXT_CTES = {
-    "previous": PREVIOUS_SQL,
-    "following": NEXT_SQL,
-    "around": """
-        select anchor_id, preceding_event_time, following_event_time
-        from previous full join following using (anchor_id)
+PREVIOUS = "last.activity_time as preceding_event_time"
+NEXT = "first.activity_time as following_event_time"
+STATE_COLUMNS = """
+    c.status as most_recent_status, c.status_change_time as most_recent_status_change_time
+"""
+# Reports by number, each next to the one numbered before.
+CHANGE_CTES = {
+    "numbered": """
+        select *, row_number() over (partition by device_id order by state_time, seq) as n
+        from state_log
     """,
-    "change": f"select * from ({CHANGES_SQL}) where status_change_time is not null",
-    "state": """
-        select a.anchor_id, a.device_id,
-               arg_max(c.status, c.status_change_time) as most_recent_status,
-               max(c.status_change_time) as most_recent_status_change_time
-        from anchor a join change c using (device_id)
-        where c.status_change_time <= a.anchor_time
-        group by a.anchor_id, a.device_id
+    "compared": """
+        select r.device_id, r.state_time, r.seq, r.status,
+               if(earlier.status = r.status, null, r.state_time) as status_change_time
+        from numbered r
+        left join numbered earlier on earlier.device_id = r.device_id and earlier.n = r.n - 1
     """,
-    "context": """
-        select anchor_id, most_recent_status, most_recent_status_change_time,
-               preceding_event_time, following_event_time
-        from state full join around using (anchor_id)
+    "change": "from compared where status_change_time is not null",
+}
+CONTEXT_CTES = {
+    **CHANGE_CTES,
+    "context": f"""
+        select a.anchor_id, {STATE_COLUMNS}, {PREVIOUS}, {NEXT}
+        from anchor a {LAST_EVENT} {FIRST_EVENT} {LAST_CHANGE}
+        where last.device_id is not null or first.device_id is not null
+              or c.device_id is not null
     """,
 }
 
 
-def _report(seconds: dict[str, int], milliseconds: bool = False, **options) -> str:
-    times = {
-        c: MILLISECONDS.format(c) if milliseconds else c
-        for c in (
-            "most_recent_status_change_time",
-            "preceding_event_time",
-            "following_event_time",
-        )
-    }
-    columns = ", ".join(f"{text} as {name}" for name, text in times.items())
+def _report(seconds: dict[str, int]) -> str:
     return _with_views(
         {**_multi_period(seconds), **CONTEXT_CTES},
-        f"""
-        select bounded.*, most_recent_status, {columns}
-        from bounded left join context using (anchor_id)
-        """,
-        **options,
+        "select * from bounded left join context using (anchor_id)",
     )
 
 
 def oracle_sql() -> dict[str, str]:
     """What each query should return, stated in DuckDB SQL without regard to cost."""
-    around = {name: CONTEXT_CTES[name] for name in ("previous", "following", "around")}
     found = {
-        "csv_source_explicit_schema": """
-            select event_id, date_trunc('millisecond', ts) as ts,
-                   user_id, event_type, value, props
-            from events
-        """,
+        "csv_source_explicit_schema": "select * from events",
         "window_profile_of_join": _with_views(
             _profile_ctes(["before_long"], NARROW), "select * from profile_before_long"
         ),
-        "previous_event": _with_views({}, PREVIOUS_SQL),
-        "next_event": _with_views({}, NEXT_SQL),
-        "neighbours": _with_views(around, "select * from around"),
-        "state_history": _with_views(
+        "previous_event": _with_views(
             {},
-            """
-            select a.anchor_id, a.device_id, s.state_time, s.status
-            from anchor a join state_log s using (device_id)
-            where s.state_time <= a.anchor_time
+            f"""
+            select a.anchor_id, {PREVIOUS} from anchor a {LAST_EVENT}
+            where last.device_id is not null
+            """,
+        ),
+        "next_event": _with_views(
+            {},
+            f"""
+            select a.anchor_id, {NEXT} from anchor a {FIRST_EVENT}
+            where first.device_id is not null
+            """,
+        ),
+        "neighbours": _with_views(
+            {},
+            f"""
+            select a.anchor_id, {PREVIOUS}, {NEXT} from anchor a {LAST_EVENT} {FIRST_EVENT}
+            where last.device_id is not null or first.device_id is not null
             """,
         ),
-        "state_change_points": _with_views({}, CHANGES_SQL),
+        "state_change_points": _with_views(CHANGE_CTES, "select * from compared"),
         "latest_change_per_device": _with_views(
-            {"change": CONTEXT_CTES["change"]},
+            CHANGE_CTES,
             """
-            select device_id, status as most_recent_status,
-                   status_change_time as most_recent_status_change_time
-            from change
-            qualify status_change_time = max(status_change_time) over (partition by device_id)
+            select device_id, arg_max(status, status_change_time) as most_recent_status,
+                   max(status_change_time) as most_recent_status_change_time
+            from change group by device_id
+            """,
+        ),
+        "state_as_of": _with_views(
+            CHANGE_CTES,
+            f"""
+            select a.anchor_id, a.device_id, {STATE_COLUMNS} from anchor a {LAST_CHANGE}
+            where c.device_id is not null
             """,
         ),
-        "state_as_of": _with_views(CONTEXT_CTES, "select * from state"),
         "unbounded_context": _with_views(CONTEXT_CTES, "select * from context"),
-        "csv_export_single_file": _report(WIDE, milliseconds=True),
-        "csv_export_folder": _report(WIDE, milliseconds=True),
-        "context_job": _report(NARROW, millisecond_input=True).replace(
-            "select bounded.*",
-            "select bounded.* exclude (anchor_id), cast(anchor_id as integer) as order_id",
+        "csv_export_folder": _report(WIDE),
+        "context_job": _report(NARROW).replace(
+            "select * from bounded", "select bounded.* exclude (anchor_id), anchor_id as order_id,"
+            " context.* exclude (anchor_id) from bounded"
         ),
     }
     for suffix, seconds in (("", NARROW), ("_wide", WIDE)):

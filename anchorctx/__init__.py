@@ -14,7 +14,7 @@ from anchorctx.operators.profile import (
     period_counts,
     window_profile,
 )
-from anchorctx.operators.state import latest_change, state_as_of, state_changes, state_history
+from anchorctx.operators.state import latest_change, state_as_of, state_changes
 from anchorctx.operators.window_join import window_join
 from anchorctx.plans.job import report_from_csv, run
 from anchorctx.plans.report import context_report, unbounded_context
@@ -41,7 +41,6 @@ __all__ = [
     "run",
     "state_as_of",
     "state_changes",
-    "state_history",
     "unbounded_context",
     "window_join",
     "window_profile",

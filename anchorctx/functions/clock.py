@@ -41,13 +41,6 @@ def seconds_sql(time: str, ntz: bool) -> str:
     return f"unix_timestamp({quoted(time)})"
 
 
-def at_second_sql(seconds: str, ntz: bool) -> str:
-    """The instant a column of seconds after 1970, in the given timestamp type."""
-    if ntz:
-        return f"{_NTZ_EPOCH} + make_dt_interval(0, 0, 0, {quoted(seconds)})"
-    return f"timestamp_seconds({quoted(seconds)})"
-
-
 def chunk_sql(time: str, ntz: bool, chunk_seconds: int) -> str:
     """Number of the stretch of ``chunk_seconds`` that a time column falls in.
 

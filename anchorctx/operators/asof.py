@@ -2,8 +2,8 @@
 
 A window over a key's whole history would put a busy key in one task. Here
 each history is cut into chunks of time, a window runs inside each
-(key, chunk), and one summary row per (key, chunk) carries the nearest values
-from the earlier and later chunks into it.
+(key, chunk), and one summary row per (key, chunk) tells what the earlier and
+later chunks hold.
 """
 
 from __future__ import annotations
@@ -33,7 +33,16 @@ class Anchors:
     chunk_seconds: int
 
     @classmethod
-    def against(cls, other: DataFrame, other_time: str, rows, key, id, time, chunk_seconds):
+    def against(
+        cls,
+        other: DataFrame,
+        other_time: str,
+        rows: DataFrame,
+        key: str | Sequence[str],
+        id: str,
+        time: str,
+        chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    ) -> Anchors:
         """Anchors whose time can be compared with the time of another table."""
         ntz = check_same_clock(rows, time, other, other_time)
         return cls(rows, names(key), id, time, ntz, chunk_seconds)
@@ -61,66 +70,98 @@ class Anchors:
         )
 
 
-def nearest(
-    anchors: Anchors,
-    events: DataFrame,
-    latest: Sequence[str] = (),
-    earliest: Sequence[str] = (),
+def surroundings(
+    anchors: Anchors, times: DataFrame | None = None, reports: DataFrame | None = None
 ) -> DataFrame:
-    """Per moment: the highest of each ``latest`` column over the key's events at or
-    before it, and the lowest of each ``earliest`` column over those at or after it.
+    """(key, ``_at``, ``_previous``, ``_next``, ``_state``) for every moment of the anchors.
 
-    ``events`` has the key, ``_chunk``, ``_at`` and the named columns, whose values
-    must not fall as ``_at`` rises. Moments without any event stay, with NULLs.
+    ``times`` has the key, ``_chunk`` and ``_at`` of events; ``_previous`` and ``_next`` are
+    the nearest of them on either side, a moment's own time being on both. ``reports``
+    also has ``_seq`` and ``_status``; ``_state`` is the latest report up to the moment whose
+    status differs from the key's report before (a NULL on either side differs), as a
+    struct of ``since``, ``seq`` and ``status``. Columns of a missing input are left out.
+
+    All rows of a (key, ``_chunk``) meet once, in one exchange. A summary of each such group is
+    read from the same exchange, and what earlier and later chunks hold comes back
+    to the group by a join, so the rows themselves are not shuffled again.
     """
     key, keys = anchors.key, listed(anchors.key)
-    points = anchors.moments.withColumn("_asked", F.lit(True)).unionByName(
-        events.withColumn("_asked", F.lit(False)), allowMissingColumns=True
-    )
-
-    def best(before: str, after: str) -> list[str]:
-        """The columns over a window that ends before, and one that begins after, a row."""
-        return [f"max({c}) over ({before}) as {c}" for c in latest] + [
-            f"min({c}) over ({after}) as {c}" for c in earliest
-        ]
+    points = anchors.moments.withColumn("_asked", F.lit(True))
+    if times is not None:
+        points = points.unionByName(
+            times.select(
+                *key, "_chunk", "_at", F.lit(False).alias("_asked"), F.col("_at").alias("_event")
+            ),
+            allowMissingColumns=True,
+        )
+    if reports is not None:
+        report = F.expr("struct(_at as since, _seq as seq, _status as status)")
+        points = points.unionByName(
+            reports.select(
+                *key, "_chunk", "_at", F.lit(False).alias("_asked"), report.alias("_report")
+            ),
+            allowMissingColumns=True,
+        )
+    points = points.repartition(*key, "_chunk")
 
     # All frames start at the edge of the partition, so Spark keeps a running
     # value; a frame that ends at the far edge would be recomputed for each row.
-    # A carried row has no time of its own and sorts first in both directions.
-    other_chunks = "rows between unbounded preceding and 1 preceding"
-    carried = (
-        points.groupBy(*key, "_chunk")
-        .agg(
-            F.max("_asked").alias("_has_moment"),
-            *[F.max(c).alias(c) for c in latest],
-            *[F.min(c).alias(c) for c in earliest],
+    # A moment sorts behind the events and reports of its own time, in both directions.
+    so_far = "rows between unbounded preceding and current row"
+    until = "rows between unbounded preceding and 1 preceding"
+    within = f"partition by {keys}, _chunk"
+    order = "order by _at, _asked" + (", _report" if reports is not None else "")
+    of_key = f"partition by {keys} order by _chunk"
+
+    found, totals, carried, results = [], [], [], []
+    if times is not None:
+        totals += ["max(_event) as _late", "min(_event) as _early"]
+        carried += [
+            f"max(_late) over ({of_key} {until}) as _previous_chunks",
+            f"min(_early) over ({of_key} desc {until}) as _next_chunks",
+        ]
+        results += [
+            f"coalesce(max(_event) over ({within} {order} {so_far}), _previous_chunks) as _previous",
+            f"coalesce(min(_event) over ({within} order by _at desc, _asked {so_far}),"
+            " _next_chunks) as _next",
+        ]
+    if reports is not None:
+        points = points.selectExpr(
+            "*", f"last_value(_report) ignore nulls over ({within} {order} {until}) as _before"
         )
-        .selectExpr(
-            *map(quoted, key),
-            "_chunk",
-            "_has_moment",
-            "false as _asked",
-            *best(
-                f"partition by {keys} order by _chunk {other_chunks}",
-                f"partition by {keys} order by _chunk desc {other_chunks}",
-            ),
+        found = ["not coalesce(_before.status = _report.status, false) as _differs"]
+        totals += [
+            "min(_report) as _first",
+            "max(_report) as _last",
+            "max(if(_before is not null and _differs, _report, null)) as _change",
+        ]
+        results += [
+            "coalesce(max(if(_differs and (_before is not null or _first_differs), _report, null))"
+            f" over ({within} {order} {so_far}), _state_chunks) as _state"
+        ]
+    points = points.selectExpr("*", *found)
+    summary = points.groupBy(*key, "_chunk").agg(
+        F.max("_asked").alias("_has_moment"), *map(F.expr, totals)
+    )
+    if reports is not None:
+        summary = summary.selectExpr(
+            "*", f"last_value(_last) ignore nulls over ({of_key} {until}) as _last_before"
+        ).selectExpr(
+            "*", "not coalesce(_last_before.status = _first.status, false) as _first_differs"
         )
+        carried += [
+            "_first_differs",
+            "max(coalesce(_change, if(_first_differs, _first, null)))"
+            f" over ({of_key} {until}) as _state_chunks",
+        ]
+    summary = (
+        summary.selectExpr(*map(quoted, key), "_chunk", "_has_moment", *carried)
         .where("_has_moment")
         .drop("_has_moment")
     )
-
-    up_to_row = "range between unbounded preceding and current row"
     return (
-        points.unionByName(carried, allowMissingColumns=True)
-        .selectExpr(
-            *map(quoted, key),
-            "_at",
-            "_asked",
-            *best(
-                f"partition by {keys}, _chunk order by _at nulls first {up_to_row}",
-                f"partition by {keys}, _chunk order by _at desc nulls first {up_to_row}",
-            ),
-        )
+        points.join(summary, [*key, "_chunk"])
+        .selectExpr(*map(quoted, key), "_at", "_asked", *results)
         .where("_asked")
         .drop("_asked")
     )

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anchorctx.functions.columns import any_known
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
+from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, surroundings
 
 # Names of the result columns.
 PREVIOUS = "preceding_event_time"
 NEXT = "following_event_time"
 
-
+FOUND = {"_previous": PREVIOUS, "_next": NEXT}
 # Of anchor rows that share an id, the nearest event counts.
 POOLED = {PREVIOUS: F.max, NEXT: F.min}
 
@@ -40,14 +40,9 @@ def neighbours(
     )
     # Copies of an event time are removed before they are shuffled.
     times = asked.dated(activity, event_time).distinct()
-    per_moment = nearest(
-        asked,
-        times.select("*", *[F.col("_at").alias(side) for side in sides]),
-        latest=[side for side in sides if side == PREVIOUS],
-        earliest=[side for side in sides if side == NEXT],
-    )
+    per_moment = surroundings(asked, times=times).withColumnsRenamed(FOUND).where(any_known(sides))
     return (
-        asked.with_results(per_moment.where(any_known(sides)))
+        asked.with_results(per_moment)
         .groupBy(anchor_id)
         .agg(*[POOLED[side](side).alias(side) for side in sides])
     )

@@ -1,9 +1,9 @@
 """How many events lie in periods around an anchor, split by their dimensions.
 
 ``window_profile`` counts pairs that were already joined. The other functions
-count without forming pairs: per chunk of a key's history a running count is
-kept for each combination of dimensions, and the number of events in a period
-is the running count at its end less the one at its start.
+count without forming pairs: events are added up in aligned blocks of 1, 4, 16
+and more seconds, and a period is put together from the fewest such blocks, so
+it meets some blocks per level, however long it is and however many events it holds.
 """
 
 from __future__ import annotations
@@ -13,20 +13,18 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.functions.clock import at_second_sql, seconds_sql
-from anchorctx.functions.columns import listed, names, quoted
+from anchorctx.functions.clock import seconds_sql
+from anchorctx.functions.columns import all_known, listed, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors
+from anchorctx.operators.asof import Anchors
 
 # Names of the result columns and the standard dimensions.
 PERIOD = "period_of_time"
 TOTAL = "count_polling_events"
 DIMS = ("status_code", "error_code")
 
-
-def chunk_for(periods: Sequence[Period]) -> int:
-    """Chunks as long as the longest period: then a period touches two of them at most."""
-    return max(DEFAULT_CHUNK_SECONDS, *[period.seconds for period in periods])
+# Blocks of a level are this many times as long as those of the level below.
+BASE = 4
 
 
 def _marginals(counts: DataFrame, key: Sequence[str], dims: Sequence[str]) -> DataFrame:
@@ -77,78 +75,87 @@ def event_counts(
     )
 
 
-def _visits(anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
-    """(key, ``_at``, ``_own_chunk``, ``_chunk``): the chunks that a moment's periods touch."""
+def _levels(periods: Sequence[Period]) -> range:
+    """Blocks have BASE ** level seconds; none is longer than the longest period."""
+    longest = max(period.seconds for period in periods)
+    level = 0
+    while BASE ** (level + 1) <= longest:
+        level += 1
+    return range(level + 1)
+
+
+def _blocks(anchors: Anchors, counts: DataFrame, levels: range, dims: Sequence[str]) -> DataFrame:
+    """(key, ``_level``, ``_block``, ``_exact``, dims, ``_n``): events added up in blocks.
+
+    On level -1 a block is a second whose events keep their times, for the anchors in it.
+    """
     second = seconds_sql("_at", anchors.ntz)
-    back = max([p.seconds + 1 for p in periods if p.direction == "before"], default=0)
-    ahead = max([p.seconds + 1 for p in periods if p.direction == "after"], default=0)
-    length = anchors.chunk_seconds
-    return anchors.moments.selectExpr(
-        *map(quoted, anchors.key),
-        "_at",
-        "_chunk as _own_chunk",
-        f"explode(sequence(floor(({second} - {back}) / {length}),"
-        f" floor(({second} + {ahead}) / {length}))) as _chunk",
+    sums = ", ".join(
+        f"struct({level} as _level, cast(floor(_second / {BASE**level}) as bigint) as _block,"
+        " null as _exact)"
+        for level in levels
     )
+    exact = "struct(-1 as _level, _second as _block, _at as _exact)"
+    return (
+        counts.selectExpr("*", f"{second} as _second")
+        .selectExpr(*map(quoted, [*anchors.key, *dims]), "_n", f"inline(array({exact}, {sums}))")
+        .groupBy(*anchors.key, "_level", "_block", "_exact", *dims)
+        .agg(F.sum("_n").alias("_n"))
+    )
+
 
+def _run(first: str, end: str) -> str:
+    return f"if({first} < {end}, sequence({first}, {end} - 1), array())"
 
-def _reads(visits: DataFrame, anchors: Anchors, periods: Sequence[Period]) -> DataFrame:
-    """Where running counts of the visited chunk are read: the visit's columns with the
-    period, ``_cut``, ``_side``, ``_sign`` and ``_whole``.
 
-    A period has one end at the moment itself and one at the full second where
-    it is over. Rows of one time sort by ``_side``: a cut that leaves the events
-    of its own time out (0), the events (1), a cut that takes them in (2). The
-    period holds the running count at its end less the one at its start, and if
-    it ends in a later chunk than it starts, also the ``_whole`` count of the
-    first chunk and of those in between.
+def _wanted(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataFrame:
+    """(key, ``_at``, period, ``_before``, ``_level``, ``_block``): the blocks that make up periods.
+
+    The full seconds of a period, ``_low`` up to but without ``_high``, hold on each level the
+    blocks from ``_first`` to ``_end``; those not in a whole block of the level above are
+    taken on their own. The second of the anchor itself is a block of level -1.
     """
-    ntz, length = anchors.ntz, anchors.chunk_seconds
-    # Events in the second of the far end still belong to the period.
-    around = F.array(
+    choices = F.array(
         *[
-            F.expr(f"struct(true as before, bigint({-period.seconds}) as far)")
-            if period.direction == "before"
-            else F.expr(f"struct(false as before, bigint({period.seconds + 1}) as far)")
+            F.struct(
+                F.lit(period.name).alias(PERIOD),
+                F.lit(period.direction == "before").alias("_before"),
+                F.lit(period.seconds).cast("bigint").alias("_length"),
+            )
             for period in periods
         ]
     )
-    period_names = F.array(*[F.lit(period.name) for period in periods])
-    kept = [quoted(c) for c in visits.columns if c != "_own_chunk"]
-    return (
-        visits.select("*", F.explode(F.arrays_zip(period_names, around)).alias("_period"))
-        .selectExpr(
-            *kept,
-            f"_period.`0` as {PERIOD}",
-            "_period.`1`.before as _before",
-            f"{seconds_sql('_at', ntz)} + _period.`1`.far as _far",
-            # Times are cut to seconds toward zero: up to 1970 a second begins
-            # just after the full second below it.
-            "if(_far >= 1, _far, _far - 1) as _full",
-            "struct(_own_chunk as chunk, _at as cut, if(_before, 2, 0) as side) as _own_end",
-            f"struct(floor(_full / {length}) as chunk, {at_second_sql('_full', ntz)} as cut,"
-            " if(_far >= 1, 0, 2) as side) as _far_end",
-            "if(_before, _far_end, _own_end) as _start",
-            "if(_before, _own_end, _far_end) as _end",
+    ends = [
+        expression
+        for level in levels
+        for expression in (
+            f"cast(-floor(-_low / {BASE**level}) as bigint) as _first{level}",
+            f"cast(floor(_high / {BASE**level}) as bigint) as _end{level}",
         )
+    ]
+    taken = ["array(struct(-1 as _level, _second as _block))"]
+    for level in levels:
+        first, end = f"_first{level}", f"_end{level}"
+        if level + 1 in levels:
+            inner, outer = f"{BASE} * _first{level + 1}", f"{BASE} * _end{level + 1}"
+            blocks = (
+                f"if({inner} < {outer}, concat({_run(first, inner)}, {_run(outer, end)}),"
+                f" {_run(first, end)})"
+            )
+        else:
+            blocks = _run(first, end)
+        taken.append(f"transform({blocks}, b -> struct({level} as _level, b as _block))")
+    key = list(map(quoted, anchors.key))
+    return (
+        anchors.moments.select(*anchors.key, "_at", F.inline(choices))
+        .selectExpr("*", f"{seconds_sql('_at', anchors.ntz)} as _second")
         .selectExpr(
-            *kept,
-            PERIOD,
-            """
-            explode(array(
-              case when _chunk = _start.chunk
-                   then struct(_start.cut as _cut, _start.side as _side, -1 as _sign,
-                               _start.chunk < _end.chunk as _whole)
-                   when _chunk > _start.chunk and _chunk < _end.chunk
-                   then struct(_end.cut as _cut, _end.side as _side, 0 as _sign, true as _whole)
-              end,
-              case when _chunk = _end.chunk
-                   then struct(_end.cut as _cut, _end.side as _side, 1 as _sign, false as _whole)
-              end)) as _read
-            """,
+            "*",
+            "if(_before, _second - _length, _second + 1) as _low",
+            "if(_before, _second, _second + _length + 1) as _high",
         )
-        .where("_read is not null")
-        .selectExpr(*kept, PERIOD, "_read.*")
+        .selectExpr(*key, "_at", PERIOD, "_before", "_second", *ends)
+        .selectExpr(*key, "_at", PERIOD, "_before", f"inline(concat({', '.join(taken)}))")
     )
 
 
@@ -156,27 +163,15 @@ def profile_of(
     anchors: Anchors, counts: DataFrame, periods: Sequence[Period], dims: Sequence[str]
 ) -> DataFrame:
     """``period_counts`` over the result of ``event_counts``."""
-    key = anchors.key
-    seen = counts.groupBy(*key, "_chunk", *dims).agg(F.sum("_n").alias("_in_chunk"))
-    timeline = counts.select(
-        *key, "_chunk", *dims, F.col("_at").alias("_cut"), F.lit(1).alias("_side"), "_n"
-    ).unionByName(
-        _reads(_visits(anchors, periods).join(seen, [*key, "_chunk"]), anchors, periods),
-        allowMissingColumns=True,
-    )
-    running = (
-        f"partition by {listed([*key, '_chunk', *dims])} order by _cut, _side"
-        " rows between unbounded preceding and current row"
-    )
-    # The reads of a period in one chunk meet where the window has put them.
-    # What they leave is never negative, so empty parts can be dropped here.
+    key, levels = anchors.key, _levels(periods)
     per_moment = (
-        timeline.withColumn("_n", F.expr(f"sum(_n) over ({running})"))
-        .where("_sign is not null")
-        .groupBy(*key, "_chunk", *dims, "_at", PERIOD)
-        .agg(F.expr("sum(_sign * coalesce(_n, 0) + if(_whole, _in_chunk, 0))").alias("_n"))
-        .where("_n > 0")
-        .drop("_chunk")
+        _wanted(anchors, periods, levels)
+        .join(_blocks(anchors, counts, levels, dims), [*key, "_level", "_block"])
+        .where("_exact is null or if(_before, _exact <= _at, _exact >= _at)")
+        .select(*key, "_at", PERIOD, *dims, "_n")
+        .repartition(*key, "_at")
+        .groupBy(*key, "_at", PERIOD, *dims)
+        .agg(F.sum("_n").alias("_n"))
     )
     per_anchor = (
         anchors.with_results(per_moment)
@@ -196,22 +191,13 @@ def period_counts(
     anchor_time: str = "order_creation_time",
     event_time: str = "polling_creation_time",
     dims: Sequence[str] = DIMS,
-    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """``window_profile`` of the ``window_join`` of each period, without the join's pairs.
 
     Anchor rows that share an id are pooled, an event counting once for each.
     """
     dims, periods = names(dims), check_periods(periods)
-    asked = Anchors.against(
-        activity,
-        event_time,
-        anchors,
-        key,
-        anchor_id,
-        anchor_time,
-        chunk_seconds or chunk_for(periods),
-    )
+    asked = Anchors.against(activity, event_time, anchors, key, anchor_id, anchor_time)
     return profile_of(asked, event_counts(asked, activity, event_time, dims), periods, dims)
 
 
@@ -229,7 +215,9 @@ def multi_period_profile(
 ) -> DataFrame:
     """``period_counts`` for every anchor id: a period without events is one row with NULLs."""
     periods = check_periods(periods)
-    counts = period_counts(anchors, activity, periods, anchor_id=anchor_id, **columns)
+    # Anchors without an id cannot be told what was counted for them.
+    named = anchors.where(all_known([anchor_id]))
+    counts = period_counts(named, activity, periods, anchor_id=anchor_id, **columns)
     return each_period(anchors.select(anchor_id).distinct(), periods).join(
         counts, [anchor_id, PERIOD], "left"
     )

@@ -7,45 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.functions.clock import check_same_clock, chunk_of, is_ntz
+from anchorctx.functions.clock import chunk_of, is_ntz
 from anchorctx.functions.columns import all_known, listed, names, quoted
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
+from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, surroundings
 
 # Names of the result columns.
 STATUS = "most_recent_status"
 SINCE = "most_recent_status_change_time"
 
 
-def _with_changed(reports: DataFrame, key: list[str], order: list[str], status: str) -> DataFrame:
-    """Add ``_changed``: the status differs from that of the key's report before.
-
-    A NULL on either side is a change, and so is the first report. The window
-    runs per (key, ``_chunk``); the last report of each chunk is copied into the
-    key's next chunk, where it sorts first and is what the first report follows.
-    """
-    keys = listed(key)
-    copies = (
-        reports.groupBy(*key, "_chunk")
-        .agg(F.max(F.struct(*order, status)).alias("_end"))
-        .selectExpr(
-            *map(quoted, key),
-            f"lead(_chunk) over (partition by {keys} order by _chunk) as _chunk",
-            "_end.*",
-            "true as _copy",
-        )
-        .where("_chunk is not null")
-    )
-    one, in_order = quoted(status), listed([*order, status])
-    before = f"lag({one}) over (partition by {keys}, _chunk order by {in_order})"
-    return (
-        reports.withColumn("_copy", F.lit(False))
-        .unionByName(copies)
-        .selectExpr("*", f"not coalesce({before} = {one}, false) as _changed")
-        .where("not _copy")
-        .drop("_copy")
-    )
-
-
 def state_changes(
     log: DataFrame,
     *,
@@ -62,19 +32,35 @@ def state_changes(
     or time belong to no history and are left out.
     """
     key = names(key)
-    reports = log.where(all_known([*key, state_time])).select(
-        *key,
-        state_time,
-        seq,
-        status,
-        chunk_of(state_time, is_ntz(log, state_time), chunk_seconds).alias("_chunk"),
+    keys, one = listed(key), quoted(status)
+    # One exchange of the log serves the reports and the last of each chunk.
+    reports = (
+        log.where(all_known([*key, state_time]))
+        .select(
+            *key,
+            state_time,
+            seq,
+            status,
+            chunk_of(state_time, is_ntz(log, state_time), chunk_seconds).alias("_chunk"),
+        )
+        .repartition(*key, "_chunk")
+    )
+    in_order = f"partition by {keys}, _chunk order by {listed([state_time, seq, status])}"
+    # The status goes in a struct, so that a NULL status and no report at all stay apart.
+    reports = reports.selectExpr(
+        "*",
+        f"lag(struct({one} as status)) over ({in_order}) as _before",
+        f"lead(true) over ({in_order}) as _followed",
+    )
+    chunks = reports.where("_followed is null").selectExpr(
+        *map(quoted, key),
+        "_chunk",
+        f"lag(struct({one} as status)) over (partition by {keys} order by _chunk) as _chunk_before",
     )
-    return _with_changed(reports, key, [state_time, seq], status).select(
-        *key,
-        state_time,
-        seq,
-        status,
-        F.when(F.col("_changed"), F.col(state_time)).alias("status_change_time"),
+    same = f"coalesce(coalesce(_before, _chunk_before).status = {one}, false)"
+    return reports.join(chunks, [*key, "_chunk"]).selectExpr(
+        *map(quoted, [*key, state_time, seq, status]),
+        f"if({same}, null, {quoted(state_time)}) as status_change_time",
     )
 
 
@@ -100,30 +86,20 @@ def latest_change(
     )
 
 
-def change_events(
+def reports_of(
     anchors: Anchors, log: DataFrame, state_time: str, status: str, seq: str
 ) -> DataFrame:
-    """(key, ``_chunk``, ``_at``, ``_state``): the reports that changed a key's state.
+    """(key, ``_chunk``, ``_at``, ``_seq``, ``_status``): the log as ``surroundings`` takes it.
 
-    Reports of a key with one time and status are first reduced to the one with
-    the highest ``seq``. This keeps the state after that time, and whether it
-    changed then, and removes copies before they are shuffled.
+    Reports of a key with one time and status are reduced to the one with the highest ``seq``.
+    This keeps the state after that time, and whether it changed then, and removes
+    copies before they are shuffled.
     """
-    reports = (
+    return (
         anchors.dated(log, state_time, F.col(seq).alias("_seq"), F.col(status).alias("_status"))
         .groupBy(*anchors.key, "_chunk", "_at", "_status")
         .agg(F.max("_seq").alias("_seq"))
     )
-    return (
-        _with_changed(reports, anchors.key, ["_at", "_seq"], "_status")
-        .where("_changed")
-        .select(
-            *anchors.key,
-            "_chunk",
-            "_at",
-            F.expr("struct(_at as since, _seq as seq, _status as status)").alias("_state"),
-        )
-    )
 
 
 def state_as_of(
@@ -144,8 +120,8 @@ def state_as_of(
     reports share a time, the highest ``seq`` counts.
     """
     asked = Anchors.against(log, state_time, anchors, key, anchor_id, anchor_time, chunk_seconds)
-    changes = change_events(asked, log, state_time, status, seq)
-    per_moment = nearest(asked, changes, latest=["_state"]).where("_state is not null")
+    reports = reports_of(asked, log, state_time, status, seq)
+    per_moment = surroundings(asked, reports=reports).where("_state is not null")
     return (
         asked.with_results(per_moment)
         .groupBy(anchor_id, *asked.key)
@@ -157,43 +133,3 @@ def state_as_of(
             F.col("_state.since").alias(SINCE),
         )
     )
-
-
-def state_history(
-    anchors: DataFrame,
-    log: DataFrame,
-    *,
-    key: str | Sequence[str] = "device_id",
-    anchor_id: str = "order_id",
-    anchor_time: str = "order_creation_time",
-    state_time: str = "cs_creation_time",
-    status: str = "status",
-    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-) -> DataFrame:
-    """One row per (anchor, report of its key at or before it).
-
-    The result itself is that large; ``state_as_of`` does not go through it. An
-    anchor is sent only to the chunks of its key's log that it looks back on, so
-    the work follows the result and a busy key is spread over its chunks.
-    """
-    key = names(key)
-    ntz = check_same_clock(anchors, anchor_time, log, state_time)
-    reports = log.where(all_known([*key, state_time])).select(
-        *key, state_time, status, chunk_of(state_time, ntz, chunk_seconds).alias("_chunk")
-    )
-    visits = (
-        anchors.where(all_known([*key, anchor_time]))
-        .select(
-            *key,
-            anchor_id,
-            anchor_time,
-            chunk_of(anchor_time, ntz, chunk_seconds).alias("_own_chunk"),
-        )
-        .join(reports.select(*key, "_chunk").distinct(), key)
-        .where("_chunk <= _own_chunk")
-    )
-    return (
-        visits.join(reports, [*key, "_chunk"])
-        .where(F.col(anchor_time) >= F.col(state_time))
-        .select(anchor_id, *key, state_time, status)
-    )

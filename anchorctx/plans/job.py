@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from anchorctx.plans.report import context_report
 from anchorctx.sources import schemas
@@ -20,16 +21,26 @@ def in_folder(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
-def report_from_csv(spark: SparkSession, input_path: str = INPUT_FOLDER, **options) -> DataFrame:
-    """The context report of the three files in a folder; options go to ``context_report``."""
+def report_from_csv(
+    spark: SparkSession,
+    input_path: str = INPUT_FOLDER,
+    orders: StructType | str = schemas.ORDERS,
+    polling: StructType | str = schemas.POLLING,
+    connectivity_status: StructType | str = schemas.CONNECTIVITY_STATUS,
+    **options,
+) -> DataFrame:
+    """The context report of the three files in a folder; options go to ``context_report``.
+
+    Schemas with other names than the standard ones need these names among the options.
+    """
 
     def read(name, schema):
         return read_events_csv(spark, in_folder(input_path, name), schema)
 
     return context_report(
-        read(schemas.ORDERS_FILE, schemas.ORDERS),
-        read(schemas.POLLING_FILE, schemas.POLLING),
-        read(schemas.CONNECTIVITY_STATUS_FILE, schemas.CONNECTIVITY_STATUS),
+        read(schemas.ORDERS_FILE, orders),
+        read(schemas.POLLING_FILE, polling),
+        read(schemas.CONNECTIVITY_STATUS_FILE, connectivity_status),
         **options,
     )
 
@@ -38,12 +49,11 @@ def run(
     spark: SparkSession,
     input_path: str = INPUT_FOLDER,
     output_path: str = OUTPUT_FOLDER,
-    single_file: bool = True,
     **options,
 ) -> str:
-    """Read, report and export; returns the path of the report."""
+    """Read, report and export; returns the path of the report, a folder of part files."""
     path = in_folder(output_path, schemas.REPORT_FILE)
-    export_csv(report_from_csv(spark, input_path, **options), path, single_file=single_file)
+    export_csv(report_from_csv(spark, input_path, **options), path)
     return path
 
 

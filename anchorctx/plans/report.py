@@ -10,22 +10,21 @@ from pyspark.sql import functions as F
 from anchorctx.functions.clock import check_same_clock
 from anchorctx.functions.columns import all_known, any_known, names, quoted
 from anchorctx.functions.periods import STANDARD_PERIODS, Period, check_periods
-from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, nearest
-from anchorctx.operators.neighbours import NEXT, POOLED, PREVIOUS
+from anchorctx.operators.asof import DEFAULT_CHUNK_SECONDS, Anchors, surroundings
+from anchorctx.operators.neighbours import FOUND, NEXT, POOLED, PREVIOUS
 from anchorctx.operators.profile import (
     DIMS,
     PERIOD,
     TOTAL,
-    chunk_for,
     each_period,
     event_counts,
     profile_of,
 )
-from anchorctx.operators.state import SINCE, STATUS, change_events
+from anchorctx.operators.state import SINCE, STATUS, reports_of
 
 
 def _context(
-    anchors: Anchors, times: DataFrame, changes: DataFrame, unplaced: DataFrame | None = None
+    anchors: Anchors, times: DataFrame, reports: DataFrame, unplaced: DataFrame | None = None
 ) -> DataFrame:
     """State and neighbours per anchor id, both found in one pass over both histories.
 
@@ -33,10 +32,7 @@ def _context(
     holds the id and key of anchors that cannot meet any event.
     """
     sides = [PREVIOUS, NEXT]
-    events = times.select("*", *[F.col("_at").alias(side) for side in sides]).unionByName(
-        changes, allowMissingColumns=True
-    )
-    per_moment = nearest(anchors, events, latest=[PREVIOUS, "_state"], earliest=[NEXT])
+    per_moment = surroundings(anchors, times, reports).withColumnsRenamed(FOUND)
     per_anchor = anchors.with_results(per_moment).drop("_at")
     if unplaced is not None:
         per_anchor = per_anchor.unionByName(unplaced, allowMissingColumns=True)
@@ -92,7 +88,7 @@ def unbounded_context(
     return _context(
         asked,
         asked.dated(activity, event_time).distinct(),
-        change_events(asked, states, state_time, status, seq),
+        reports_of(asked, states, state_time, status, seq),
     ).where(any_known([SINCE, PREVIOUS, NEXT]))
 
 
@@ -110,7 +106,7 @@ def context_report(
     state_time: str = "cs_creation_time",
     status: str = "status",
     seq: str = "row_num",
-    chunk_seconds: int | None = None,
+    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
 ) -> DataFrame:
     """Profile of every anchor id and period, with the id's state and neighbours."""
     dims, periods = names(dims), check_periods(periods)
@@ -125,15 +121,15 @@ def context_report(
         key,
         anchor_id,
         anchor_time,
-        chunk_seconds or chunk_for(periods),
+        chunk_seconds,
     )
 
     counts = event_counts(asked, activity, event_time, dims)
     # Reading `_n` here too makes this the same aggregation of the activity as
     # the profile's, so Spark runs it once and reuses its exchange.
     times = counts.where("_n > 0").select(*key, "_chunk", "_at")
-    changes = change_events(asked, states, state_time, status, seq)
-    context = _context(asked, times, changes, named.where(~placed).select(anchor_id, *key))
+    reports = reports_of(asked, states, state_time, status, seq)
+    context = _context(asked, times, reports, named.where(~placed).select(anchor_id, *key))
     report = each_period(context, periods).join(
         profile_of(asked, counts, periods, dims), [anchor_id, PERIOD], "left"
     )

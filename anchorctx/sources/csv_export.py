@@ -1,52 +1,31 @@
-"""CSV output under one name."""
+"""CSV output as a folder of part files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from anchorctx.sources.paths import Location
-
-# A single file is written by a single task, so its size has to stay bounded.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
-
-def _write_csv(df: DataFrame, path: str) -> None:
-    # Empty strings look like NULLs in the file.
-    df.write.csv(path, header=True, emptyValue="", mode="errorifexists")
+# The layout of times, with all their digits.
+TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def export_csv(
     df: DataFrame,
     path: str,
-    single_file: bool = False,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
+    timestamp_format: str = TIMESTAMP,
+    timestamp_ntz_format: str = TIMESTAMP_NTZ,
 ) -> None:
-    """Write ``df`` with a header line to ``path``; something older there is replaced.
+    """Write ``df`` to the folder ``path``, each part file with a header line.
 
-    ``path`` becomes a folder of part files, written in parallel. With
-    ``single_file`` it becomes one plain file if the result proves to be no
-    larger than ``single_file_bytes`` (as Parquet); a larger one still becomes a
-    folder, complete and under the same name, which Spark reads just the same.
+    Empty strings look like NULLs in the files. Times are written in the session's zone to the
+    microsecond; ``"yyyy-MM-dd'T'HH:mm:ss.SSSXXX"`` cuts them to milliseconds.
 
-    The result is first written beside ``path`` and moved when it is whole.
+    What is at ``path`` is replaced, by Spark's own committer: it is removed when the run
+    starts to write, so a run that fails later leaves no result. To keep the old one until
+    the new one is whole, write to a new name.
     """
-    spark = df.sparkSession
-    target = Location(spark, path)
-    target.make_parent()
-    staged = target.beside("csv")
-    computed = target.beside("parquet")
-    try:
-        if single_file:
-            df.write.parquet(str(computed))
-            result = spark.read.schema(df.schema).parquet(str(computed))
-            if computed.size() <= single_file_bytes:
-                _write_csv(result.coalesce(1), str(staged))
-                (part,) = staged.part_files()
-                part.replace(target)
-                return
-            df = result
-        _write_csv(df, str(staged))
-        staged.replace(target)
-    finally:
-        staged.delete()
-        computed.delete()
+    (
+        df.write.option("timestampFormat", timestamp_format)
+        .option("timestampNTZFormat", timestamp_ntz_format)
+        .csv(path, header=True, emptyValue="", mode="overwrite")
+    )

@@ -1,4 +1,4 @@
-"""Files and folders on whatever file system a path names, through Spark's Hadoop client."""
+"""Folders that all executors see."""
 
 from __future__ import annotations
 
@@ -7,61 +7,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-class Location:
-    """A path together with its file system."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark = spark
-        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def __str__(self) -> str:
-        return self._path.toString()
-
-    def beside(self, purpose: str) -> Location:
-        """A new hidden name in the same folder, so that a rename stays on one file system."""
-        parent = self._path.getParent()
-        name = f".{self._path.getName()}.{purpose}-{uuid.uuid4().hex}"
-        target = self._spark._jvm.org.apache.hadoop.fs.Path(parent, name)
-        return Location(self._spark, target.toString())
-
-    def exists(self) -> bool:
-        return self._fs.exists(self._path)
-
-    def size(self) -> int:
-        return self._fs.getContentSummary(self._path).getLength()
-
-    def part_files(self) -> list[Location]:
-        found = self._fs.globStatus(
-            self._spark._jvm.org.apache.hadoop.fs.Path(self._path, "part-*")
-        )
-        return [Location(self._spark, status.getPath().toString()) for status in found]
-
-    def rename_to(self, target: Location) -> None:
-        if not self._fs.rename(self._path, target._path):
-            raise OSError(f"could not move {self} to {target}")
-
-    def delete(self) -> None:
-        self._fs.delete(self._path, True)
-
-    def make_parent(self) -> None:
-        self._fs.mkdirs(self._path.getParent())
-
-    def replace(self, target: Location) -> None:
-        """Move this to ``target``. What is there now is kept until the move has worked."""
-        old = target.beside("old") if target.exists() else None
-        if old:
-            target.rename_to(old)
-        try:
-            self.rename_to(target)
-        except Exception:
-            if old:
-                old.rename_to(target)
-            raise
-        if old:
-            old.delete()
-
-
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name in the shared folder that ``spark.checkpoint.dir`` names.
 

@@ -1,12 +1,13 @@
 """Column layouts of the three CSV inputs, matched by position."""
 
-# Names, types and order of the columns.
-ORDERS = "row_num int, order_creation_time timestamp, order_id int, device_id string"
+# Names, types and order of the columns. Ids and row numbers are wide, so that
+# none becomes NULL for its size.
+ORDERS = "row_num bigint, order_creation_time timestamp, order_id bigint, device_id string"
 POLLING = (
-    "row_num int, polling_creation_time timestamp, device_id string,"
+    "row_num bigint, polling_creation_time timestamp, device_id string,"
     " error_code string, status_code int"
 )
-CONNECTIVITY_STATUS = "row_num int, cs_creation_time timestamp, status string, device_id string"
+CONNECTIVITY_STATUS = "row_num bigint, cs_creation_time timestamp, status string, device_id string"
 
 # Names of the files.
 ORDERS_FILE = "orders.csv"

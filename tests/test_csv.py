@@ -2,11 +2,10 @@
 
 from datetime import datetime
 from pathlib import Path
-
-import pytest
+from types import SimpleNamespace
 
 import anchorctx as ac
-from anchorctx.sources.paths import Location, scratch_folder
+from anchorctx.sources.paths import scratch_folder
 
 SCHEMA = "row_num int, t timestamp, code string"
 
@@ -45,65 +44,56 @@ def small(spark, n=3):
     )
 
 
-def test_single_file_replaces_and_leaves_nothing_else(spark, tmp_path):
+def lines(folder):
+    return [p.read_text().splitlines() for p in sorted(Path(folder).glob("part-*.csv"))]
+
+
+def test_export_replaces_and_keeps_microseconds(spark, tmp_path):
     target = tmp_path / "out" / "report.csv"
     for n in (1, 3):
-        ac.export_csv(small(spark, n).repartition(2), str(target), single_file=True)
-    lines = target.read_text().splitlines()
-    assert lines[0] == "row_num,t,code"
-    assert sorted(lines[1:]) == [
-        "0,2020-01-01T00:00:00.123Z,",
-        "1,2020-01-01T00:00:00.123Z,",
-        "2,2020-01-01T00:00:00.123Z,c",
+        ac.export_csv(small(spark, n).repartition(2), str(target))
+    parts = lines(target)
+    assert {part[0] for part in parts} == {"row_num,t,code"}
+    assert sorted(line for part in parts for line in part[1:]) == [
+        "0,2020-01-01T00:00:00.123456Z,",
+        "1,2020-01-01T00:00:00.123456Z,",
+        "2,2020-01-01T00:00:00.123456Z,c",
     ]
     assert files(target.parent) == ["report.csv"]
+    back = ac.read_events_csv(spark, str(target), SCHEMA)
+    assert back.where("t = timestamp'2020-01-01 00:00:00.123456'").count() == 3
 
 
-def test_session_zone_is_written(spark, tmp_path, clock):
-    clock("+01:00")
-    target = tmp_path / "report.csv"
-    ac.export_csv(spark.sql("select timestamp'2020-02-26 09:29:19.784' t"), str(target), True)
-    assert target.read_text() == "t\n2020-02-26T09:29:19.784+01:00\n"
-
-
-def test_empty_result_is_a_header(spark, tmp_path):
-    target = tmp_path / "report.csv"
-    ac.export_csv(small(spark).where("false"), str(target), single_file=True)
-    assert target.read_text() == "row_num,t,code\n"
+def test_times_without_zone_keep_microseconds(spark, tmp_path):
+    target = str(tmp_path / "report.csv")
+    ac.export_csv(spark.sql("select timestamp_ntz'2020-01-01 00:00:00.000001' t"), target)
+    back = ac.read_events_csv(spark, target, "t timestamp_ntz")
+    assert back.first()[0] == datetime(2020, 1, 1, 0, 0, 0, 1)
 
 
-def test_larger_result_becomes_a_whole_folder(spark, tmp_path):
-    target = tmp_path / "report.csv"
-    target.write_text("old")
-    df = small(spark, 1000).repartition(3)
-    ac.export_csv(df, str(target), single_file=True, single_file_bytes=10)
-    assert target.is_dir()
-    assert ac.read_events_csv(spark, str(target), SCHEMA).count() == 1000
-    ac.export_csv(small(spark, 5), str(target))
-    assert target.is_dir()
-    assert ac.read_events_csv(spark, str(target), SCHEMA).count() == 5
-    assert files(tmp_path) == ["report.csv"]
-
-
-def test_failed_export_keeps_the_old_result(spark, tmp_path):
+def test_session_zone_and_format_are_written(spark, tmp_path, clock):
+    clock("+01:00")
     target = tmp_path / "report.csv"
-    target.write_text("old")
-    broken = spark.range(3).selectExpr("raise_error('no') as x")
-    for single_file in (True, False):
-        with pytest.raises(Exception, match="no"):
-            ac.export_csv(broken.selectExpr("cast(x as string)"), str(target), single_file)
-        assert target.read_text() == "old"
-        assert files(tmp_path) == ["report.csv"]
+    df = spark.sql("select timestamp'2020-02-26 09:29:19.784' t")
+    ac.export_csv(df, str(target))
+    assert lines(target) == [["t", "2020-02-26T09:29:19.784000+01:00"]]
+    ac.export_csv(df, str(target), timestamp_format="yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    assert lines(target) == [["t", "2020-02-26T09:29:19.784+01:00"]]
 
 
-def test_failed_move_brings_the_old_result_back(spark, tmp_path):
+def test_empty_result_is_a_header(spark, tmp_path):
     target = tmp_path / "report.csv"
-    target.write_text("old")
-    with pytest.raises(Exception, match="missing"):
-        Location(spark, str(tmp_path / "missing")).replace(Location(spark, str(target)))
-    assert target.read_text() == "old"
+    ac.export_csv(small(spark).where("false"), str(target))
+    assert lines(target) == [["row_num,t,code"]]
 
 
 def test_scratch_folder_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_folder(spark, "x").startswith(shared.rstrip("/") + "/x-")
+
+
+def test_scratch_folder_without_the_setting_is_in_the_warehouse():
+    """The setting cannot be taken from a running session, so one is made up."""
+    settings = {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}
+    session = SimpleNamespace(conf=settings)
+    assert scratch_folder(session, "x").startswith("hdfs://store/warehouse/_scratch/x-")

@@ -113,13 +113,6 @@ def test_repeated_report_is_no_change(spark):
     assert bag(ac.state_as_of(anchors, log)) == Counter([(1, "d", "ON", at("00:02:00"))])
 
 
-def test_state_history(spark):
-    anchors, _, log = tables(spark)
-    rows = bag(ac.state_history(anchors, log, chunk_seconds=60))
-    assert sum(rows.values()) == 3 + 2 + 2 + 1
-    assert rows[(2, "n", NOON, "OFF")] == 1
-
-
 def test_unbounded_context_of_an_id_on_two_devices(spark):
     anchors, activity, log = tables(spark)
     assert bag(ac.unbounded_context(anchors, activity, log)) == Counter(

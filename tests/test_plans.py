@@ -29,7 +29,10 @@ def plan(spark):
         spark.conf.set(name, value)
 
 
-NO_FILES = sorted(n for n in entry.queries() if "csv" not in n and "job" not in n)
+OTHERS = set(entry.llm.queries()) if entry.llm else set()
+NO_FILES = sorted(
+    n for n in set(entry.queries()) - OTHERS if "csv" not in n and "job" not in n
+)
 
 
 @pytest.mark.parametrize("name", NO_FILES)
@@ -77,3 +80,16 @@ def test_events_are_added_up_before_they_are_shuffled(plan):
             above = [re.sub(r"^[\s:+-]*(\*\(\d+\) )?", "", x) for x in lines[:number][::-1]]
             first = next(x for x in above if x.startswith(("HashAggregate", "Exchange")))
             assert first.startswith("HashAggregate")
+
+
+def test_state_changes_scan_the_log_once(plan):
+    text = plan("state_change_points")
+    assert sum("FileScan" in line for line in text.splitlines()) == 1
+    assert "ReusedExchange" in text
+
+
+def test_chunks_do_not_follow_the_periods(plan):
+    """The wide report looks a day back, its histories are cut into hours all the same."""
+    for name in ("context_report", "context_report_wide"):
+        chunks = set(re.findall(r"/ (\d+)(?:\.0)?\b[^,]*?\), 0\) AS _chunk", plan(name)))
+        assert chunks == {"3600"}

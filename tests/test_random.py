@@ -86,7 +86,7 @@ def test_window_join(case):
 def test_profile_forms_agree_with_loops(case):
     (anchors, activity, _), (a, p, _), chunk = case
     expected = Counter(brute.profile(anchors, activity, PERIODS))
-    assert bag(ac.period_counts(a, p, periods(), chunk_seconds=chunk)) == expected
+    assert bag(ac.period_counts(a, p, periods())) == expected
     for name, *rest in PERIODS[1:3]:
         joined = ac.window_join(a, p, ac.Period(name, *rest))
         one = Counter((r[0], *r[2:]) for r in expected.elements() if r[1] == name)
@@ -116,17 +116,6 @@ def test_states(case):
     assert got == Counter(brute.state(anchors, log))
 
 
-def test_state_history(case):
-    (anchors, _, log), (a, _, s), chunk = case
-    expected = Counter(
-        (i, device, r[2], r[3])
-        for i, device, time in anchors
-        for r in log
-        if None not in (device, time, r[2]) and r[0] == device and r[2] <= time
-    )
-    assert bag(ac.state_history(a, s, chunk_seconds=chunk)) == expected
-
-
 def test_context(case):
     (anchors, activity, log), (a, p, s), chunk = case
     expected = Counter(brute.context(anchors, activity, log))

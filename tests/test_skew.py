@@ -46,7 +46,7 @@ def tables(spark):
 
 def test_counts_equal_the_counted_pairs(spark, tables):
     anchors, activity, _ = tables
-    counts = ac.period_counts(anchors, activity, PERIODS, chunk_seconds=600)
+    counts = ac.period_counts(anchors, activity, PERIODS)
     pairs = spark.sql(
         """
         select order_id, period, status_code, error_code, count(*) n
@@ -120,3 +120,59 @@ def test_no_group_of_the_windows_grows_with_copies(tables):
     assert largest <= 600 * 4
     assert counts.agg(F.sum("_n")).first()[0] == activity.count()
     assert asked.moments.groupBy("device_id", "_chunk").count().agg(F.max("count")).first()[0] <= 600
+
+
+def met_rows(spark, anchors, activity, periods, dims):
+    """Block rows that the profile's join of anchors and activity meets, and the largest group."""
+    from anchorctx.operators import profile
+    from anchorctx.operators.asof import Anchors
+
+    asked = Anchors.against(activity, "t", anchors, "device_id", "id", "t")
+    levels = profile._levels(periods)
+    counts = profile.event_counts(asked, activity, "t", dims)
+    blocks = profile._blocks(asked, counts, levels, dims)
+    wanted = profile._wanted(asked, periods, levels)
+    key = ["device_id", "_level", "_block"]
+    return (
+        wanted.join(blocks, key).count(),
+        wanted.groupBy(*key).count().agg(F.max("count")).first()[0],
+        blocks.groupBy(*key).count().agg(F.max("count")).first()[0],
+        wanted.groupBy("device_id", "_at", "period_of_time").count().agg(F.max("count")).first()[0],
+    )
+
+
+def busy(spark, n, step, page):
+    """One device, a row each ``step`` milliseconds."""
+    return spark.range(n).selectExpr(
+        "1 as device_id", "id",
+        f"timestamp_millis(1700000000000 + id * {step})::timestamp_ntz as t",
+        f"{page} as page",
+    )
+
+
+def test_rows_met_follow_the_result_with_many_dim_values(spark):
+    """An hour, 1,000 anchors, 2,000 events with a page each, a period of a second."""
+    anchors, activity = busy(spark, 1000, 3600, "0"), busy(spark, 2000, 1800, "id")
+    period = [ac.Period("s", "before", 1)]
+    pairs = ac.window_join(
+        anchors.select("device_id", "id", "t"),
+        activity.select("device_id", "page", F.col("t").alias("e")),
+        period[0],
+        anchor_time="t",
+        event_time="e",
+    ).count()
+    rows = met_rows(spark, anchors.drop("page"), activity.drop("id"), period, ["page"])
+    assert pairs / 4 <= rows[0] <= 2 * pairs
+
+
+def test_no_group_grows_with_the_period(spark):
+    """One device with 20,000 times over 30 days: periods of an hour and of 30 days."""
+    anchors, activity = busy(spark, 2000, 1296000, "0"), busy(spark, 20000, 129600, "id % 3")
+    hour, month = (
+        met_rows(spark, anchors.drop("page"), activity.drop("id"), [ac.Period("p", "before", n)], ["page"])
+        for n in (3600, 30 * 86400)
+    )
+    # Blocks of a second hold no more rows; blocks one moment asks for grow by levels.
+    assert month[2] <= 3
+    assert month[3] <= 7 * 12
+    assert hour[3] <= 7 * 7
