@@ -26,8 +26,11 @@ BANDS, ROWS = 14, 4
 SEED = 42
 # A blank line, for Spark and for Python alike.
 BLANK = r"^[\x20\t\x0B\f\r]*$"
-# Text whose signatures are made at a time.
+# Text whose distinct lines are collected, and characters whose signatures are made, at a time.
 TEXT_AT_ONCE = 2 << 20
+SIGNED_AT_ONCE = 1 << 16
+# Rows of buckets that are compared in one call.
+SLOT_ROWS = 4096
 # Bits of the filter that spares lines without candidates a shuffle.
 FILTER_BITS = 1 << 27
 EMPTY = np.uint64(0xFFFFFFFF)
@@ -43,12 +46,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def shingle_hashes(line: str) -> np.ndarray:
-    """Hashes of the distinct shingles of a line; a shorter line is one shingle."""
-    codes = np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    if len(codes) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(line.encode(), 1)], dtype=np.uint64)
-    return np.unique(_rolled(codes))
+def shingles(line: str) -> set[str]:
+    """The shingles of a line; a shorter line is one shingle."""
+    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
 def _rolled(codes: np.ndarray) -> np.ndarray:
@@ -60,27 +60,41 @@ def _rolled(codes: np.ndarray) -> np.ndarray:
     return h
 
 
-def band_hashes(lines: list[str]) -> np.ndarray:
-    """One row per line, one 64-bit hash per band.
-
-    One-permutation MinHash: a shingle's hash names its bin and its value there; a bin
-    without shingles takes the value of another bin, found by probing bins in an order
-    that is the same for all lines.
-    """
-    bins = BANDS * ROWS
+def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all lines, repeats included, and the line of each."""
     codes = np.frombuffer("\n".join(lines).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(sizes + 1) - sizes - 1
     counts = np.maximum(sizes - SHINGLE + 1, 0)
     which = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[which]
+    at = np.arange(len(which)) + np.repeat(starts - np.cumsum(counts) + counts, counts)
     hashes = _mixed(_rolled(codes)[at]) if len(at) else np.zeros(0, np.uint64)
     short = np.flatnonzero(counts == 0)
     whole = np.array(
         [xxhash.xxh64_intdigest(lines[i].encode(), 1) for i in short], dtype=np.uint64
     )
-    hashes = np.concatenate([hashes, _mixed(whole)])
-    which = np.concatenate([which, short])
+    return np.concatenate([hashes, _mixed(whole)]), np.concatenate([which, short])
+
+
+def distinct_shingles(lines: list[str]) -> list[np.ndarray]:
+    """The hashes of each line's distinct shingles."""
+    hashes, which = _shingle_hashes(lines)
+    _, first = np.unique(_mixed(hashes ^ (which.astype(np.uint64) * ODD[6])), return_index=True)
+    hashes, which = hashes[first], which[first]
+    order = np.argsort(which, kind="stable")
+    ends = np.cumsum(np.bincount(which, minlength=len(lines)))
+    return np.split(hashes[order], ends[:-1])
+
+
+def band_hashes(lines: list[str]) -> np.ndarray:
+    """One row per line, one 64-bit hash per band.
+
+    One-permutation MinHash: a shingle's hash names its bin and its value there; a bin
+    without shingles takes the value of another bin, found by probing bins in an order
+    that is the same for all lines.
+    """
+    bins = BANDS * ROWS
+    hashes, which = _shingle_hashes(lines)
     bin_ = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     least = np.full(len(lines) * bins, EMPTY, dtype=np.uint64)
     np.minimum.at(least, which * bins + bin_.astype(np.int64), hashes & np.uint64(0xFFFFFFFE))
@@ -100,6 +114,19 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     return bands
 
 
+def _parts(lines: list[str]) -> Iterator[list[str]]:
+    """Consecutive lines of some SIGNED_AT_ONCE characters, so that arrays stay in the cache."""
+    part, size = [], 0
+    for line in lines:
+        part.append(line)
+        size += len(line)
+        if size >= SIGNED_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _banded(docs: DataFrame, text: str) -> DataFrame:
     """(line, band): the bands of each distinct line of a stretch of documents."""
 
@@ -120,7 +147,10 @@ def _banded(docs: DataFrame, text: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.repeat(keys, BANDS).view(np.int64)),
-                            pa.array(band_hashes(lines).reshape(-1).view(np.int64)),
+                            pa.array(
+                                np.concatenate([band_hashes(part) for part in _parts(lines)])
+                                .reshape(-1).view(np.int64)
+                            ),
                         ],
                         ["line", "band"],
                     )
@@ -129,6 +159,43 @@ def _banded(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, "line bigint, band bigint")
 
 
+def _met(banded: DataFrame) -> DataFrame:
+    """(band, line, least): the lines of bands that several share, with the least of them.
+
+    Bands arrive sorted and pass by; of the last one only its first and last line are kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # band, least line, last line, whether the least has been passed on
+        for batch in batches:
+            band, line = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+            fresh = np.ones(len(band), dtype=bool)
+            fresh[1:] = (band[1:] != band[:-1]) | (line[1:] != line[:-1])
+            if held is not None and len(band):
+                fresh[0] = (band[0], line[0]) != (held[0], held[2])
+            band, line = band[fresh], line[fresh]
+            if not len(band):
+                continue
+            last_line, passed = line[-1], False
+            if held is not None:
+                band, line = np.append(held[0], band), np.append(held[1], line)
+                passed = held[3]
+            starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            sizes = np.diff(np.append(starts, len(band)))
+            several = sizes > 1
+            shown = np.repeat(several, sizes)
+            shown[0] &= not passed
+            least = np.repeat(line[starts], sizes)
+            # The last bucket may go on; its least line alone waits for another.
+            passed = bool(several[-1]) or (passed and len(starts) == 1)
+            held = (band[-1], least[-1], last_line, passed)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[shown]) for x in (band, line, least)], ["band", "line", "least"]
+            )
+
+    return banded.mapInArrow(run, "band bigint, line bigint, least bigint")
+
+
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return (
         docs.select(
@@ -178,50 +245,74 @@ def _maybe_in(keys: DataFrame, bits: int) -> Column:
     return maybe(F.col("line"))
 
 
-def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-        return False
-    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-    return both >= similarity * (len(a) + len(b) - both) - 1e-9
-
-
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, set[str]] = {}
 
-        def of(line: str) -> np.ndarray:
+        def of(line: str) -> set[str]:
             if line not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[line] = shingle_hashes(line)
+                known[line] = shingles(line)
             return known[line]
 
-        return pd.Series([_similar(of(x), of(y), similarity) for x, y in zip(a, b, strict=True)])
+        def near(x: set[str], y: set[str]) -> bool:
+            small, large = sorted((len(x), len(y)))
+            if small < similarity * large:
+                return False
+            both = len(x & y)
+            return both >= similarity * (small + large - both) - 1e-9
+
+        return pd.Series([near(of(x), of(y)) for x, y in zip(a, b, strict=True)], dtype=bool)
 
     return pairs.where(similar("words_a", "words_b"))
 
 
+def _joining(lines: list[int], parts: list[int], hashes: list[np.ndarray], similarity: float):
+    """Links between lines of different components, each joining two that were apart."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            x = up
+        return x
+
+    sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
+    starts = np.cumsum(sizes) - sizes
+    ids = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+    own = np.zeros(len(ids), dtype=np.int32)
+    for i in range(1, len(lines)):
+        if len({find(part) for part in parts[: i + 1]}) == 1:
+            continue
+        mine = ids[starts[i] : starts[i] + sizes[i]]
+        own[mine] = 1
+        both = np.add.reduceat(own[ids[: starts[i]]], starts[:i])
+        own[mine] = 0
+        near = both >= similarity * (sizes[:i] + sizes[i] - both) - 1e-9
+        for j in np.flatnonzero(near).tolist():
+            x, y = find(parts[i]), find(parts[j])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                yield lines[i], lines[j]
+
+
 def _links_across(similarity: float):
-    """For one block pair of a bucket: links that join its components, each once."""
+    """For the block pairs of some buckets: links that join their components, each once."""
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
+        key = ["band", "_one", "_two"]
+        rows = rows.sort_values([*key, "line"], kind="stable")
+        number, first = np.unique(rows["line"].to_numpy(), return_index=True)
+        hashes = distinct_shingles(rows["words"].iloc[first].tolist())
+        of = np.searchsorted(number, rows["line"].to_numpy())
         lines, parts = rows["line"].tolist(), rows["component"].tolist()
-        hashes = [shingle_hashes(w) for w in rows["words"]]
-        root: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (up := root.get(x, x)) != x:
-                x = up
-            return x
-
+        values = rows[key].to_numpy()
+        edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
         found = []
-        for i in range(1, len(lines)):
-            for j in range(i):
-                x, y = find(parts[i]), find(parts[j])
-                if x != y and _similar(hashes[i], hashes[j], similarity):
-                    root[max(x, y)] = min(x, y)
-                    found.append((lines[i], lines[j]))
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+            mine = [hashes[i] for i in of[a:b].tolist()]
+            found += _joining(lines[a:b], parts[a:b], mine, similarity)
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return links
@@ -238,17 +329,8 @@ def line_components(
     different components against each other, in blocks of at most ``block`` lines, whose tasks
     pass on no more links than they join components.
     """
-    # One exchange serves both the count and the members of the buckets.
-    banded = _banded(docs, text).repartition("band")
-    shared = (
-        banded.groupBy("band").agg(F.min("line").alias("least"), F.max("line").alias("most"))
-        .where("least <> most")
-        .select("band", "least")
-    )
-    met = saved(
-        banded.join(shared.hint("merge"), "band").select("band", "line", "least").distinct(),
-        "lines-met",
-    )
+    sorted_bands = _banded(docs, text).repartition("band").sortWithinPartitions("band", "line")
+    met = saved(_met(sorted_bands.select("band", "line")), "lines-met")
     keys = met.select("line").distinct()
     words = saved(
         _lines(docs, doc_id, text)
@@ -285,7 +367,10 @@ def line_components(
         .groupBy("members", "_lines").agg(F.min("band").alias("band"))
         .select("band", "members")
     )
+    mixed = saved(mixed, "lines-mixed")
     blocks = F.ceil(F.col("members") / block)
+    rows = mixed.agg(F.sum(F.col("members") * blocks)).first()[0] or 0
+    slot = F.pmod(F.xxhash64("band", "_one", "_two"), F.lit(rows // SLOT_ROWS + 1))
     more = (
         labelled.join(mixed, "band")
         .join(words, "line")
@@ -295,11 +380,11 @@ def line_components(
             "band", "line", "component", "words",
             F.least("_own", "_other").alias("_one"), F.greatest("_own", "_other").alias("_two"),
         )
-        .groupBy("band", "_one", "_two")
+        .groupBy(slot.alias("_slot"))
         .applyInPandas(_links_across(similarity), "a bigint, b bigint")
     )
     more = saved(more, "lines-more")
-    discard(met, words, labelled)
+    discard(met, words, labelled, mixed)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -326,11 +411,13 @@ def repeated_lines(
         .withColumn("component", F.coalesce("component", "line"))
         .withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key", "at"))
     )
-    first = (
+    # A table of its own, so that the join on a common line's component can be split.
+    first = saved(
         named.groupBy("component")
         .agg(F.min("place").alias("first"), F.max("place").alias("last"))
         .where("first <> last")
-        .select("component", "first")
+        .select("component", "first"),
+        "lines-kept",
     )
     return (
         named.join(first, "component")
