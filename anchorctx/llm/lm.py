@@ -20,7 +20,7 @@ from anchorctx.llm.common import documents, held_out, saved
 # Text of one chunk, the unit that is numbered, learned from and scored.
 CHUNK_BYTES = 8 << 20
 # Tokens whose probabilities are worked out at a time.
-TOKENS_AT_ONCE = 1 << 14
+TOKENS_AT_ONCE = 1 << 13
 # The end of a text as a word; no word is empty.
 END = b""
 TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 15, 32, 16
@@ -66,7 +66,7 @@ def _chunk(number: int, docs: list[tuple]) -> pa.RecordBatch:
     for _, _, body in docs:
         words = body.lower().split()
         words.append(END)
-        texts.append(np.array(list(map(numbers.__getitem__, words)), dtype=np.int64))
+        texts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     tokens = np.concatenate(texts)
     learned = np.repeat(np.array([not held for _, held, _ in docs]), sizes)
@@ -207,16 +207,21 @@ class Coded:
                 yield at, rows[:, use], self.classes[at:high][use]
 
 
-def _log_probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the classes' probabilities, one line per token."""
-    scores = weights[rows[0]]
+def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The classes' exponents, one line per token."""
+    scores = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        scores += weights[r]
+        scores += weights.take(r, axis=0)
     scores += bias
     # Far beyond what weights reach; keeps the exponentials finite without a pass for the maximum.
-    np.clip(scores, -60, 60, out=scores)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-    return scores
+    return np.clip(scores, -60, 60, out=scores)
+
+
+def log_probabilities(weights, bias, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities of one class for each token."""
+    scores = _scores(weights, bias, rows)
+    chosen = scores[np.arange(len(classes)), classes].astype(np.float64)
+    return chosen - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +230,7 @@ def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     Sorted by row, neighbours of one row are added in pairs until each row has one line.
     """
     order = np.argsort(rows)
-    rows, values = rows[order], values[order]
+    rows, values = rows[order], values.take(order, axis=0)
     while True:
         place = np.arange(len(rows))
         new = np.ones(len(rows), dtype=bool)
@@ -234,9 +239,9 @@ def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             return rows, values
         place -= np.maximum.accumulate(np.where(new, place, 0))
         odd = np.flatnonzero(place & 1)
-        values[odd - 1] += values[odd]
+        values[odd - 1] += values.take(odd, axis=0)
         even = np.flatnonzero(place & 1 == 0)
-        rows, values = rows[even], values[even]
+        rows, values = rows[even], values.take(even, axis=0)
 
 
 def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias) -> int:
@@ -244,7 +249,9 @@ def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias) -> int:
     seen = 0
     for _, rows, classes in coded.parts(learned):
         n = len(classes)
-        gradient = -np.exp(_log_probabilities(weights, bias, rows))
+        gradient = _scores(weights, bias, rows)
+        np.exp(gradient, out=gradient)
+        gradient *= (-1 / gradient.sum(axis=1))[:, None]
         gradient[np.arange(n), classes] += 1
         for r in rows:
             row, sums = _sums(r, gradient)
@@ -324,8 +331,7 @@ def _scored(model: Model):
                 inside = m.in_class(counts, coded.word_classes)
                 score = inside[coded.tokens]
                 for at, rows, classes in coded.parts():
-                    found = _log_probabilities(m.weights, bias, rows)
-                    found = found[np.arange(len(classes)), classes].astype(np.float64)
+                    found = log_probabilities(m.weights, bias, rows, classes)
                     score[at : at + len(classes)] += found / np.log(10)
                 yield pd.DataFrame(
                     {
