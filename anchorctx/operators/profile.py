@@ -1,7 +1,7 @@
 """How many events lie in periods around an anchor, split by their dimensions.
 
 ``window_profile`` counts pairs that were already joined. The other functions
-count without forming pairs: events are added up in aligned blocks of 1, 4, 16
+count without forming pairs: events are added up in aligned blocks of 1, 8, 64
 and more seconds, and a period is put together from the fewest such blocks, so
 it meets some blocks per level, however long it is and however many events it holds.
 """
@@ -24,7 +24,7 @@ TOTAL = "count_polling_events"
 DIMS = ("status_code", "error_code")
 
 # Blocks of a level are this many times as long as those of the level below.
-BASE = 4
+BASE = 8
 
 
 def _marginals(counts: DataFrame, key: Sequence[str], dims: Sequence[str]) -> DataFrame:
@@ -108,23 +108,67 @@ def _run(first: str, end: str) -> str:
     return f"if({first} < {end}, sequence({first}, {end} - 1), array())"
 
 
-def _wanted(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataFrame:
-    """(key, ``_at``, period, ``_before``, ``_level``, ``_block``): the blocks that make up periods.
+def _coarse(period: Period, levels: range) -> int:
+    """The level whose blocks a period is first cut into: some two to sixteen of them."""
+    return max(level for level in levels if level == 0 or BASE**level <= period.seconds / 2)
 
-    The full seconds of a period, ``_low`` up to but without ``_high``, hold on each level the
-    blocks from ``_first`` to ``_end``; those not in a whole block of the level above are
-    taken on their own. The second of the anchor itself is a block of level -1.
+
+def _wanted(
+    anchors: Anchors, counts: DataFrame, periods: Sequence[Period], levels: range
+) -> DataFrame:
+    """(key, ``_at``, ``_period``, ``_level``, ``_block``): the blocks that make up periods.
+
+    The full seconds of a period, ``_low`` up to but without ``_high``, are cut by the blocks
+    of its coarse level. Where one is cut off and has any events, the rest of it is
+    put together from smaller blocks: on each level those from ``_first`` to ``_end`` that are
+    not in a whole block of the level above. The second of the anchor itself is a block
+    of level -1.
     """
+    key, on = list(map(quoted, anchors.key)), [*anchors.key, "_level", "_block"]
     choices = F.array(
         *[
             F.struct(
-                F.lit(period.name).alias(PERIOD),
+                F.lit(number).alias("_period"),
                 F.lit(period.direction == "before").alias("_before"),
                 F.lit(period.seconds).cast("bigint").alias("_length"),
+                F.lit(_coarse(period, levels)).alias("_level"),
+                F.lit(BASE ** _coarse(period, levels)).cast("bigint").alias("_size"),
             )
-            for period in periods
+            for number, period in enumerate(periods)
         ]
     )
+    spans = (
+        anchors.moments.select(*anchors.key, "_at", F.inline(choices))
+        .selectExpr("*", f"{seconds_sql('_at', anchors.ntz)} as _second")
+        .selectExpr(
+            *key, "_at", "_period", "_level", "_size", "_second",
+            "if(_before, _second - _length, _second + 1) as _low",
+            "if(_before, _second, _second + _length + 1) as _high",
+        )
+    )
+    # Never NULL to Spark, so that no null check makes this read the moments anew.
+    own = spans.selectExpr(*key, "_at", "_period", "-1 as _level", "coalesce(_second, 0) as _block")
+    parts = spans.where("_low < _high").selectExpr(
+        "*", "explode(sequence(floor(_low / _size), floor((_high - 1) / _size))) as _block"
+    ).selectExpr(
+        *key, "_at", "_period", "_level", "_block", "_size",
+        "greatest(_low, _block * _size) as _low",
+        "least(_high, (_block + 1) * _size) as _high",
+    )
+    whole = parts.where("_high - _low = _size").select(*anchors.key, "_at", *own.columns[-3:])
+
+    coarse = ", ".join(
+        f"struct({level} as _level, cast(floor(_second / {BASE**level}) as bigint) as _block)"
+        for level in sorted({_coarse(period, levels) for period in periods})
+    )
+    # Reading `_n` makes this the same aggregation of the activity as that of the blocks.
+    with_events = (
+        counts.where("_n > 0")
+        .selectExpr(*key, f"{seconds_sql('_at', anchors.ntz)} as _second")
+        .selectExpr(*key, f"inline(array({coarse}))")
+        .distinct()
+    )
+    cut = parts.where("_high - _low < _size").join(with_events, on, "left_semi")
     ends = [
         expression
         for level in levels
@@ -133,30 +177,22 @@ def _wanted(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataF
             f"cast(floor(_high / {BASE**level}) as bigint) as _end{level}",
         )
     ]
-    taken = ["array(struct(-1 as _level, _second as _block))"]
+    taken = []
     for level in levels:
         first, end = f"_first{level}", f"_end{level}"
         if level + 1 in levels:
             inner, outer = f"{BASE} * _first{level + 1}", f"{BASE} * _end{level + 1}"
-            blocks = (
+            run = (
                 f"if({inner} < {outer}, concat({_run(first, inner)}, {_run(outer, end)}),"
                 f" {_run(first, end)})"
             )
         else:
-            blocks = _run(first, end)
-        taken.append(f"transform({blocks}, b -> struct({level} as _level, b as _block))")
-    key = list(map(quoted, anchors.key))
-    return (
-        anchors.moments.select(*anchors.key, "_at", F.inline(choices))
-        .selectExpr("*", f"{seconds_sql('_at', anchors.ntz)} as _second")
-        .selectExpr(
-            "*",
-            "if(_before, _second - _length, _second + 1) as _low",
-            "if(_before, _second, _second + _length + 1) as _high",
-        )
-        .selectExpr(*key, "_at", PERIOD, "_before", "_second", *ends)
-        .selectExpr(*key, "_at", PERIOD, "_before", f"inline(concat({', '.join(taken)}))")
+            run = _run(first, end)
+        taken.append(f"transform({run}, b -> struct({level} as _level, b as _block))")
+    fine = cut.selectExpr(*key, "_at", "_period", *ends).selectExpr(
+        *key, "_at", "_period", f"inline(concat({', '.join(taken)}))"
     )
+    return own.unionByName(whole).unionByName(fine)
 
 
 def profile_of(
@@ -164,18 +200,24 @@ def profile_of(
 ) -> DataFrame:
     """``period_counts`` over the result of ``event_counts``."""
     key, levels = anchors.key, _levels(periods)
+    blocks = _blocks(anchors, counts, levels, dims)
+    before = F.array(*[F.lit(period.direction == "before") for period in periods])
+    inside = F.when(F.get(before, F.col("_period")), F.col("_exact") <= F.col("_at")).otherwise(
+        F.col("_exact") >= F.col("_at")
+    )
     per_moment = (
-        _wanted(anchors, periods, levels)
-        .join(_blocks(anchors, counts, levels, dims), [*key, "_level", "_block"])
-        .where("_exact is null or if(_before, _exact <= _at, _exact >= _at)")
-        .select(*key, "_at", PERIOD, *dims, "_n")
+        _wanted(anchors, counts, periods, levels)
+        .join(blocks, [*key, "_level", "_block"])
+        .where(F.col("_exact").isNull() | inside)
+        .select(*key, "_at", "_period", *dims, "_n")
         .repartition(*key, "_at")
-        .groupBy(*key, "_at", PERIOD, *dims)
+        .groupBy(*key, "_at", "_period", *dims)
         .agg(F.sum("_n").alias("_n"))
     )
+    named = F.get(F.array(*[F.lit(period.name) for period in periods]), F.col("_period"))
     per_anchor = (
         anchors.with_results(per_moment)
-        .groupBy(anchors.id, PERIOD, *dims)
+        .groupBy(anchors.id, named.alias(PERIOD), *dims)
         .agg(F.sum("_n").alias("_n"))
     )
     return _marginals(per_anchor, [anchors.id, PERIOD], dims)

@@ -131,13 +131,13 @@ def met_rows(spark, anchors, activity, periods, dims):
     levels = profile._levels(periods)
     counts = profile.event_counts(asked, activity, "t", dims)
     blocks = profile._blocks(asked, counts, levels, dims)
-    wanted = profile._wanted(asked, periods, levels)
+    wanted = profile._wanted(asked, counts, periods, levels)
     key = ["device_id", "_level", "_block"]
     return (
         wanted.join(blocks, key).count(),
         wanted.groupBy(*key).count().agg(F.max("count")).first()[0],
         blocks.groupBy(*key).count().agg(F.max("count")).first()[0],
-        wanted.groupBy("device_id", "_at", "period_of_time").count().agg(F.max("count")).first()[0],
+        wanted.groupBy("device_id", "_at", "_period").count().agg(F.max("count")).first()[0],
     )
 
 
@@ -172,7 +172,7 @@ def test_no_group_grows_with_the_period(spark):
         met_rows(spark, anchors.drop("page"), activity.drop("id"), [ac.Period("p", "before", n)], ["page"])
         for n in (3600, 30 * 86400)
     )
-    # Blocks of a second hold no more rows; blocks one moment asks for grow by levels.
-    assert month[2] <= 3
-    assert month[3] <= 7 * 12
-    assert hour[3] <= 7 * 7
+    # A block has a row per combination of dims; what one moment asks for grows by levels.
+    assert month[2] <= 3 and hour[2] <= 3
+    assert hour[3] <= 14 * 4 + 17
+    assert month[3] <= 14 * 7 + 17
