@@ -53,8 +53,8 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
 
     Alternating large-star and small-star steps: each replaces the edges of a node by
     edges to the least node it knows of, until every node has one edge, to the least
-    of its component. Each round is a table in the scratch folder; only two
-    numbers per round reach the driver. The rounds grow with the logarithm of the
+    of its component, which has none itself. Each round is a table in the scratch folder, and
+    only whether another is needed reaches the driver. The rounds grow with the logarithm of the
     longest chain. Edges with a null end are ignored.
     """
     current = saved(
@@ -62,7 +62,6 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
         .distinct(),
         f"{purpose}-edges",
     )
-    before = None
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         nearest = both.groupBy("a").agg(F.min("b").alias("_least"))
@@ -83,13 +82,16 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
         )
         older, current = current, saved(small, f"{purpose}-edges")
         discard(older)
-        state = tuple(
-            current.agg(
-                F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-            ).first()
+        ends = current.select(
+            F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("head")
+        ).unionByName(
+            current.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("head"))
         )
-        if state == before:
+        unfinished = (
+            ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("head").alias("head"))
+            .where("up > 1 or (up = 1 and head = 1)")
+        )
+        if unfinished.isEmpty():
             break
-        before = state
     heads = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(heads)

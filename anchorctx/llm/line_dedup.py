@@ -46,11 +46,6 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def shingles(line: str) -> set[str]:
-    """The shingles of a line; a shorter line is one shingle."""
-    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
-
-
 def _rolled(codes: np.ndarray) -> np.ndarray:
     """A polynomial of each SHINGLE (eight) codes, by doubling."""
     h, width = codes, 1
@@ -76,14 +71,42 @@ def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([hashes, _mixed(whole)]), np.concatenate([which, short])
 
 
-def distinct_shingles(lines: list[str]) -> list[np.ndarray]:
-    """The hashes of each line's distinct shingles."""
+def shingle_ids(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of each line's distinct shingles, line after line, and how many each line has.
+
+    Equal shingles of the lines have equal numbers, from 0 without gaps.
+    """
     hashes, which = _shingle_hashes(lines)
-    _, first = np.unique(_mixed(hashes ^ (which.astype(np.uint64) * ODD[6])), return_index=True)
-    hashes, which = hashes[first], which[first]
-    order = np.argsort(which, kind="stable")
-    ends = np.cumsum(np.bincount(which, minlength=len(lines)))
-    return np.split(hashes[order], ends[:-1])
+    order = np.argsort(hashes)
+    arranged = hashes[order]
+    ids = np.empty(len(hashes), dtype=np.int64)
+    ids[order] = np.cumsum(np.append(False, arranged[1:] != arranged[:-1]))
+    total = int(ids.max()) + 1
+    pairs = np.sort(which * total + ids)
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+    which, ids = np.divmod(pairs, total)
+    return ids, np.bincount(which, minlength=len(lines))
+
+
+class Shingled:
+    """Lines that are compared with each other by the Jaccard similarity of their shingles."""
+
+    def __init__(self, lines: list[str], similarity: float):
+        self.ids, self.sizes = shingle_ids(lines)
+        self.ends = np.cumsum(self.sizes)
+        self.marks = np.zeros(int(self.ids.max()) + 1, dtype=np.int32)
+        self.similarity = similarity
+
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which of the ``others`` are as similar to ``one`` as asked for."""
+        sizes = self.sizes[others]
+        at = np.cumsum(sizes) - sizes
+        places = np.arange(int(sizes.sum())) + np.repeat(self.ends[others] - sizes - at, sizes)
+        mine = self.ids[self.ends[one] - self.sizes[one] : self.ends[one]]
+        self.marks[mine] = 1
+        both = np.add.reduceat(self.marks[self.ids[places]], at)
+        self.marks[mine] = 0
+        return both >= self.similarity * (sizes + self.sizes[one] - both) - 1e-9
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
@@ -160,40 +183,38 @@ def _banded(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _met(banded: DataFrame) -> DataFrame:
-    """(band, line, least): the lines of bands that several share, with the least of them.
+    """(band, line, pivot): the lines of bands that several share, with one of them, the pivot.
 
-    Bands arrive sorted and pass by; of the last one only its first and last line are kept.
+    Rows arrive sorted by band and pass by; of the last band only its pivot is kept. A line may
+    come out more than once in a band.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # band, least line, last line, whether the least has been passed on
+        held = None  # the last band, its pivot, whether other lines have been met
         for batch in batches:
             band, line = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            fresh = np.ones(len(band), dtype=bool)
-            fresh[1:] = (band[1:] != band[:-1]) | (line[1:] != line[:-1])
-            if held is not None and len(band):
-                fresh[0] = (band[0], line[0]) != (held[0], held[2])
-            band, line = band[fresh], line[fresh]
             if not len(band):
                 continue
-            last_line, passed = line[-1], False
+            met = False
             if held is not None:
                 band, line = np.append(held[0], band), np.append(held[1], line)
-                passed = held[3]
+                met = held[2]
             starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
             sizes = np.diff(np.append(starts, len(band)))
-            several = sizes > 1
-            shown = np.repeat(several, sizes)
-            shown[0] &= not passed
-            least = np.repeat(line[starts], sizes)
-            # The last bucket may go on; its least line alone waits for another.
-            passed = bool(several[-1]) or (passed and len(starts) == 1)
-            held = (band[-1], least[-1], last_line, passed)
+            pivot = np.repeat(line[starts], sizes)
+            others = line != pivot
+            several = np.add.reduceat(others, starts) > 0
+            shown = others.copy()
+            # The pivot is shown once, with the first other line.
+            shown[starts] = several
+            shown[0] &= not met
+            several[0] |= met
+            held = (band[-1], pivot[-1], bool(several[-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[shown]) for x in (band, line, least)], ["band", "line", "least"]
+                [pa.array(x[shown]) for x in (band, line, pivot)], ["band", "line", "pivot"]
             )
 
-    return banded.mapInArrow(run, "band bigint, line bigint, least bigint")
+    return banded.mapInArrow(run, "band bigint, line bigint, pivot bigint")
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -248,52 +269,34 @@ def _maybe_in(keys: DataFrame, bits: int) -> Column:
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[str, set[str]] = {}
-
-        def of(line: str) -> set[str]:
-            if line not in known:
-                if len(known) > 1000:
-                    known.clear()
-                known[line] = shingles(line)
-            return known[line]
-
-        def near(x: set[str], y: set[str]) -> bool:
-            small, large = sorted((len(x), len(y)))
-            if small < similarity * large:
-                return False
-            both = len(x & y)
-            return both >= similarity * (small + large - both) - 1e-9
-
-        return pd.Series([near(of(x), of(y)) for x, y in zip(a, b, strict=True)], dtype=bool)
+        if not len(a):
+            return pd.Series([], dtype=bool)
+        numbers, lines = pd.factorize(pd.concat([a, b], ignore_index=True))
+        shingled = Shingled(lines.tolist(), similarity)
+        one, other = numbers[len(a) :], numbers[: len(a)]
+        found = np.zeros(len(a), dtype=bool)
+        order = np.argsort(one, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(one[order])) + 1):
+            found[rows] = shingled.near(one[rows[0]], other[rows])
+        return pd.Series(found)
 
     return pairs.where(similar("words_a", "words_b"))
 
 
-def _joining(lines: list[int], parts: list[int], hashes: list[np.ndarray], similarity: float):
+def _joining(lines: np.ndarray, roots: np.ndarray, of: np.ndarray, shingled: Shingled):
     """Links between lines of different components, each joining two that were apart."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            x = up
-        return x
-
-    sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-    starts = np.cumsum(sizes) - sizes
-    ids = np.unique(np.concatenate(hashes), return_inverse=True)[1]
-    own = np.zeros(len(ids), dtype=np.int32)
+    roots = roots.copy()
+    left = len(np.unique(roots))
     for i in range(1, len(lines)):
-        if len({find(part) for part in parts[: i + 1]}) == 1:
+        if left == 1:
+            return
+        apart = np.flatnonzero(roots[:i] != roots[i])
+        if not len(apart):
             continue
-        mine = ids[starts[i] : starts[i] + sizes[i]]
-        own[mine] = 1
-        both = np.add.reduceat(own[ids[: starts[i]]], starts[:i])
-        own[mine] = 0
-        near = both >= similarity * (sizes[:i] + sizes[i] - both) - 1e-9
-        for j in np.flatnonzero(near).tolist():
-            x, y = find(parts[i]), find(parts[j])
-            if x != y:
-                root[max(x, y)] = min(x, y)
+        for j in apart[shingled.near(of[i], of[apart])].tolist():
+            if roots[j] != roots[i]:
+                roots[roots == roots[j]] = roots[i]
+                left -= 1
                 yield lines[i], lines[j]
 
 
@@ -303,16 +306,14 @@ def _links_across(similarity: float):
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         key = ["band", "_one", "_two"]
         rows = rows.sort_values([*key, "line"], kind="stable")
-        number, first = np.unique(rows["line"].to_numpy(), return_index=True)
-        hashes = distinct_shingles(rows["words"].iloc[first].tolist())
-        of = np.searchsorted(number, rows["line"].to_numpy())
-        lines, parts = rows["line"].tolist(), rows["component"].tolist()
+        line, parts = rows["line"].to_numpy(), rows["component"].to_numpy()
+        number, first, of = np.unique(line, return_index=True, return_inverse=True)
+        shingled = Shingled(rows["words"].iloc[first].tolist(), similarity)
         values = rows[key].to_numpy()
         edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
         found = []
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
-            mine = [hashes[i] for i in of[a:b].tolist()]
-            found += _joining(lines[a:b], parts[a:b], mine, similarity)
+            found += _joining(line[a:b], parts[a:b], of[a:b], shingled)
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return links
@@ -324,23 +325,24 @@ def line_components(
 ) -> DataFrame:
     """(node, component) of the lines, by hash, that have a line of another text near them.
 
-    Lines that share a band are candidates. First each bucket's lines are held against its
-    least one; then, in buckets that are not one component yet, members of
+    Lines that share a band are candidates. First each bucket's lines are held against one
+    of them; then, in buckets that are not one component yet, members of
     different components against each other, in blocks of at most ``block`` lines, whose tasks
     pass on no more links than they join components.
     """
-    sorted_bands = _banded(docs, text).repartition("band").sortWithinPartitions("band", "line")
+    sorted_bands = _banded(docs, text).repartition("band").sortWithinPartitions("band")
     met = saved(_met(sorted_bands.select("band", "line")), "lines-met")
     keys = met.select("line").distinct()
     words = saved(
         _lines(docs, doc_id, text)
         .select("line", "words")
         .where(_maybe_in(keys, FILTER_BITS))
-        .join(keys, "line", "left_semi")
-        .groupBy("line").agg(F.min("words").alias("words")),
+        # Copies of a common line are one before they are shuffled.
+        .groupBy("line").agg(F.min("words").alias("words"))
+        .join(keys, "line", "left_semi"),
         "lines-words",
     )
-    pairs = met.where("line <> least").select(F.col("line").alias("a"), F.col("least").alias("b"))
+    pairs = met.where("line <> pivot").select(F.col("line").alias("a"), F.col("pivot").alias("b"))
     texts = (
         pairs.distinct()
         .join(words.select(F.col("line").alias("a"), F.col("words").alias("words_a")), "a")
@@ -350,7 +352,8 @@ def line_components(
     first = saved(connected_components(stars, "lines"), "lines-first")
 
     labelled = saved(
-        met.join(first.withColumnRenamed("node", "line"), "line", "left")
+        met.select("band", "line").distinct()
+        .join(first.withColumnRenamed("node", "line"), "line", "left")
         .select("band", "line", F.coalesce("component", "line").alias("component")),
         "lines-labelled",
     )

@@ -8,10 +8,11 @@ import __spark_entry__ as entry
 from anchorctx.llm.common import row_key
 from anchorctx.llm.line_dedup import (
     SHINGLE,
+    _met,
     band_hashes,
     dedup_lines,
     line_components,
-    shingle_hashes,
+    shingle_ids,
 )
 
 BLANK = " \t\v\f\r"
@@ -166,7 +167,28 @@ def test_recall_of_the_bands(length):
 
 def test_shingles_and_bands_of_odd_lines():
     lines = ["", "a", "漢字𝒳", "x" * 5000, "abcdefgh", "abcdefghi"]
-    assert [len(shingle_hashes(x)) for x in lines] == [1, 1, 1, 1, 1, 2]
+    assert shingle_ids(lines)[1].tolist() == [1, 1, 1, 1, 1, 2]
     bands = band_hashes(lines)
     assert bands.shape[0] == len(lines) and len(np.unique(bands, axis=0)) == len(lines)
     assert (band_hashes(lines[::-1])[::-1] == bands).all()
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 100])
+def test_buckets_across_batches(spark, rows):
+    """Buckets that begin, end or go on at the edges of batches."""
+    choices = random.Random(rows)
+    table = [(choices.randrange(30), choices.randrange(6)) for _ in range(120)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        banded = spark.createDataFrame(table, "band bigint, line bigint").coalesce(1)
+        found = _met(banded.sortWithinPartitions("band")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    buckets = {}
+    for band, line in table:
+        buckets.setdefault(band, set()).add(line)
+    wanted = {(b, x) for b, m in buckets.items() if len(m) > 1 for x in m}
+    assert {(r.band, r.line) for r in found} == wanted
+    pivots = {(r.band, r.pivot) for r in found}
+    assert len(pivots) == len({b for b, _ in wanted}) and pivots <= wanted
