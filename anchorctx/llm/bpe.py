@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 from anchorctx.llm.common import documents
 
 # Pieces whose ids a worker remembers; beyond that it starts anew, so memory stays bounded.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Longer pieces are rarely met twice.
-REMEMBERED_BYTES = 64
+REMEMBERED_LENGTH = 64
+# Characters of texts that are encoded together, bytes of pieces that share steps, and their number.
+TEXT_AT_ONCE = 1 << 19
+SHORT, PIECES_AT_ONCE = 64, 4096
 NONE = 1 << 62
 
 
@@ -89,29 +93,143 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class Encoder:
-    """Encodes whole texts, piece by piece; remembers a bounded number of pieces."""
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens that make a token, as left * n + right in order, and its rank."""
+    n = max(ranks.values()) + 1
+    found = {
+        ranks[left] * n + ranks[right]: rank
+        for token, rank in ranks.items()
+        for left, right in ((token[:k], token[k:]) for k in range(1, len(token)))
+        if left in ranks and right in ranks
+    }
+    keys = np.array(sorted(found), dtype=np.int64)
+    return keys, np.array([found[k] for k in keys.tolist()], dtype=np.int64)
+
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+class Merger:
+    """``merge`` for many short pieces at once: a row of arrays per piece, a step per merge."""
+
+    def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray]):
         self.ranks = ranks
+        self.count = max(ranks.values()) + 1
+        self.keys, self.merged = pairs
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.count + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.merged[at], -1)
+
+    def __call__(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece."""
+        found: list = [None] * len(pieces)
+        by_size: dict[int, list[int]] = {}
+        for p, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                found[p] = [whole]
+            elif len(piece) > SHORT:
+                found[p] = merge(piece, self.ranks)
+            else:
+                by_size.setdefault(1 << (len(piece) - 1).bit_length(), []).append(p)
+        for leaves, places in by_size.items():
+            for at in range(0, len(places), PIECES_AT_ONCE):
+                part = places[at : at + PIECES_AT_ONCE]
+                ids, counts = self._merged([pieces[p] for p in part], leaves)
+                ends = np.cumsum(counts).tolist()
+                for p, start, end in zip(part, [0, *ends], ends, strict=False):
+                    found[p] = ids[start:end]
+        return found
+
+    def _merged(self, pieces: list[bytes], leaves: int) -> tuple[list[int], np.ndarray]:
+        """Ids, piece after piece, and how many each has; ``leaves`` is a power of 2."""
+        count, width = len(pieces), leaves + 1
+        sizes = np.fromiter(map(len, pieces), np.int64, count)
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)
+        token = self.bytes[raw.reshape(count, width)]
+        place = np.arange(width)
+        live = place < sizes[:, None]
+        after = np.tile(place + 1, (count, 1))
+        before = np.tile(place - 1, (count, 1))
+        first = self.rank(token[:, :-1], token[:, 1:])
+        valid = (first >= 0) & (place[:-1] < sizes[:, None] - 1)
+        tree = np.full((count, 2 * leaves), NONE, dtype=np.int64)
+        tree[:, leaves:] = np.where(valid, first * width + place[:-1], NONE)
+        level = leaves
+        while level > 1:
+            np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2],
+                       out=tree[:, level // 2 : level])
+            level //= 2
+        rows = np.arange(count)
+        while True:
+            best = tree[rows, 1]
+            going = best != NONE
+            rows, best = rows[going], best[going]
+            if not len(rows):
+                break
+            new, i = np.divmod(best, width)
+            gone = after[rows, i]
+            end = after[rows, gone]
+            token[rows, i], after[rows, i] = new, end
+            live[rows, gone] = False
+            more = end < sizes[rows]
+            next_ = np.minimum(end, leaves)
+            before[rows[more], end[more]] = i[more]
+            rank = np.where(more, self.rank(new, token[rows, next_]), -1)
+            left = before[rows, i]
+            has = left >= 0
+            left_rows, left = rows[has], left[has]
+            left_rank = self.rank(token[left_rows, left], new[has])
+            # The three renewed leaves, then their paths to the root, level by level.
+            tree[rows, leaves + gone] = NONE
+            tree[rows, leaves + i] = np.where(rank >= 0, rank * width + i, NONE)
+            tree[left_rows, leaves + left] = np.where(
+                left_rank >= 0, left_rank * width + left, NONE
+            )
+            of = np.concatenate([rows, rows, left_rows])
+            node = np.concatenate([gone, i, left]) + leaves
+            while node[0] > 1:
+                node >>= 1
+                tree[of, node] = np.minimum(tree[of, 2 * node], tree[of, 2 * node + 1])
+        return token[live].tolist(), live.sum(axis=1)
+
+
+class Encoder:
+    """Encodes whole texts; remembers the ids of a bounded number of pieces."""
+
+    def __init__(self, ranks: dict[bytes, int], pairs: tuple, pattern: str):
+        self.merge = Merger(ranks, pairs)
         self.pieces = regex.compile(pattern).findall
         self.known: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of some texts, whose new pieces are merged together."""
+        cut = [self.pieces(text) for text in texts]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         known = self.known
-        for piece in self.pieces(text):
-            found = known.get(piece)
-            if found is None:
-                found = merge(piece.encode(), self.ranks)
-                if len(piece) <= REMEMBERED_BYTES:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[piece] = found
-            ids += found
+        new = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
+        known.update(zip(new, self.merge([p.encode() for p in new]), strict=True))
+        ids = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+        for piece in new:
+            if len(piece) > REMEMBERED_LENGTH:
+                del known[piece]
         return ids
 
 
+def _stretches(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of some TEXT_AT_ONCE characters."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= TEXT_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
@@ -131,21 +249,26 @@ def encode_documents(
     and has no ids; null ids, repeated rows and an empty table come out as they are; very long
     pieces cost n log n. Other columns are not read.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    ranks = read_ranks(ranks_path)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The encoder outlives the task, so that its pieces serve the worker's next ones.
         key = (ranks_path, pattern)
         if key not in _encoders:
-            _encoders[key] = Encoder(ranks.value, pattern)
+            _encoders[key] = Encoder(*shared.value, pattern)
         encode = _encoders[key].encode
         for batch in batches:
-            found = [encode(text or "") for text in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            ids = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            at = 0
+            for part in _stretches([text or "" for text in batch.column(1).to_pylist()]):
+                found = encode(part)
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+                offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+                ids = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+                own = batch.column(0).slice(at, len(part))
+                yield pa.RecordBatch.from_arrays([own, ids], ["doc_id", "ids"])
+                at += len(part)
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -157,10 +280,10 @@ def decode_column(docs: DataFrame, ranks_path: str, ids: str = "ids") -> Column:
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens: dict[int, bytes] = {i: token for token, i in ranks.value.items()}
+        token = {i: token for token, i in ranks.value.items()}.__getitem__
         for batch in batches:
             yield pd.Series(
-                [None if x is None else b"".join([tokens[i] for i in x.tolist()]) for x in batch],
+                [None if x is None else b"".join(map(token, x.tolist())) for x in batch],
                 dtype=object,
             )
 

@@ -7,11 +7,12 @@ import tiktoken
 from tables import AWKWARD, docs, given
 
 import __spark_entry__ as entry
-from anchorctx.llm.bpe import Encoder, decode_column, encode_documents, merge, read_ranks
+from anchorctx.llm.bpe import Encoder, Merger, decode_column, encode_documents, merge, pair_table, read_ranks
 from tables import SF_DIR
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS = read_ranks(PATH)
+PAIRS = pair_table(RANKS)
 THEIRS = tiktoken.Encoding(
     "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
 )
@@ -40,13 +41,28 @@ def test_awkward_rows(spark):
     assert measured(spark, docs(spark, [])) == []
 
 
+def encoder():
+    return Encoder(RANKS, PAIRS, public_tokenizers.PATTERN)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_random_pieces(seed):
+    """One by one and many at once."""
+    choices = random.Random(seed)
+    pieces = ["".join(choices.choices("abeinrst éß漢 \t0!", k=choices.randint(1, 40))) for _ in range(300)]
+    wanted = [THEIRS.encode_ordinary(p) for p in pieces]
+    assert encoder().encode(pieces) == wanted
+    assert [encoder().encode([p])[0] for p in pieces[:20]] == wanted[:20]
+    single = [p.encode()[: choices.randint(1, 90)] for p in pieces]
+    assert Merger(RANKS, PAIRS)(single) == [merge(p, RANKS) for p in single]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_white_space(seed):
     choices = random.Random(seed)
-    for _ in range(300):
-        piece = "".join(choices.choices("abeinrst éß漢 \t0!", k=choices.randint(1, 40)))
-        encoder = Encoder(RANKS, public_tokenizers.PATTERN)
-        assert encoder.encode(piece) == THEIRS.encode_ordinary(piece)
+    parts = ["a", "the", "'s", "1", "!?", "é", " ", "  ", "\n", " \n", "\u3000", "\xa0", "\x1c", "\x85", "\t"]
+    texts = ["".join(choices.choices(parts, k=choices.randint(0, 12))) for _ in range(2000)]
+    assert encoder().encode(texts) == [THEIRS.encode_ordinary(t) for t in texts]
 
 
 def test_a_very_long_piece():
@@ -59,9 +75,13 @@ def test_memory_is_bounded(monkeypatch):
     import anchorctx.llm.bpe as module
 
     monkeypatch.setattr(module, "REMEMBERED", 10)
-    encoder = Encoder(RANKS, public_tokenizers.PATTERN)
-    text = " ".join(f"word{i}" for i in range(100))
-    assert encoder.encode(text) == THEIRS.encode_ordinary(text) and len(encoder.known) <= 10
+    monkeypatch.setattr(module, "TEXT_AT_ONCE", 40)
+    texts = [f"word{i} of {'x' * 70}{i}" for i in range(100)]
+    own, ids = encoder(), []
+    for part in module._stretches(texts):
+        ids += own.encode(part)
+        assert len(own.known) <= 10 + 8 * len(part)
+    assert ids == [THEIRS.encode_ordinary(t) for t in texts]
 
 
 def test_query(spark):
