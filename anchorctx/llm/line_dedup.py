@@ -29,8 +29,9 @@ BLANK = r"^[\x20\t\x0B\f\r]*$"
 # Text whose distinct lines are collected, and characters whose signatures are made, at a time.
 TEXT_AT_ONCE = 2 << 20
 SIGNED_AT_ONCE = 1 << 16
-# Rows of buckets that are compared in one call.
-SLOT_ROWS = 4096
+# Rows of buckets, and pairs, that are compared in one call, so that arrays stay in the cache.
+SLOT_ROWS = 1024
+PAIRS_AT_ONCE = 256
 # Bits of the filter that spares lines without candidates a shuffle.
 FILTER_BITS = 1 << 27
 EMPTY = np.uint64(0xFFFFFFFF)
@@ -269,15 +270,18 @@ def _maybe_in(keys: DataFrame, bits: int) -> Column:
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        numbers, lines = pd.factorize(pd.concat([a, b], ignore_index=True))
-        shingled = Shingled(lines.tolist(), similarity)
-        one, other = numbers[len(a) :], numbers[: len(a)]
         found = np.zeros(len(a), dtype=bool)
-        order = np.argsort(one, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(one[order])) + 1):
-            found[rows] = shingled.near(one[rows[0]], other[rows])
+        # Pairs of one pivot lie together, so its shingles are numbered about once.
+        order = np.argsort(pd.factorize(b)[0], kind="stable")
+        for at in range(0, len(order), PAIRS_AT_ONCE):
+            part = order[at : at + PAIRS_AT_ONCE]
+            both = pd.concat([a.iloc[part], b.iloc[part]], ignore_index=True)
+            numbers, lines = pd.factorize(both)
+            shingled = Shingled(lines.tolist(), similarity)
+            other, one = numbers[: len(part)], numbers[len(part) :]
+            edges = np.flatnonzero(np.diff(one)) + 1
+            for rows in np.split(np.arange(len(part)), edges):
+                found[part[rows]] = shingled.near(one[rows[0]], other[rows])
         return pd.Series(found)
 
     return pairs.where(similar("words_a", "words_b"))
