@@ -197,10 +197,13 @@ def scan(
 
 def op5_secrets(spark, sf_dir):
     found = scan(documents(spark, sf_dir))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{kind.name}")
-        for k, kind in enumerate(BASE)
-    ]
+
+    def count(kind: Kind) -> Column:
+        # A second argument of the function would be the index of the element.
+        mine = F.filter("base", lambda s: s["kind"] == KINDS.index(kind))
+        return F.size(mine).cast("bigint").alias(f"n_{kind.name}")
+
+    counts = [count(kind) for kind in BASE]
     return found.select(
         "doc_id", *counts, F.sha2(as_text("base"), 256).alias("base_sha256"), as_text("spans").alias("spans")
     )

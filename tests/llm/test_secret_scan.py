@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import duckdb
+import pytest
 from tables import AWKWARD, SF_DIR, docs, given
 from pyspark.sql import functions as F
 
@@ -72,11 +73,12 @@ def test_given_documents(spark):
     assert measured(table) == expected([(r.doc_id, r.text) for r in table.collect()])
 
 
-def test_query_against_sql(spark):
+@pytest.mark.parametrize("folder", [SF_DIR, SF_DIR.parent / "sf0.01"])
+def test_query_against_sql(spark, folder):
     connection = duckdb.connect()
-    connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    connection.execute(f"create view documents as select * from '{folder}/documents.parquet'")
     wanted = connection.sql(entry.oracle_sql()["op5_secrets"])
-    df = entry.queries()["op5_secrets"](spark, str(SF_DIR))
+    df = entry.queries()["op5_secrets"](spark, str(folder))
     assert sorted(map(tuple, df.select(*wanted.columns).collect())) == sorted(wanted.fetchall())
     assert {t for c, t in df.dtypes if c.startswith("n_")} == {"bigint"}
     row = df.where("spans = ''").first()
