@@ -14,9 +14,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import documents
+from anchorctx.llm.common import documents, prepare
 
-# Pieces whose ids a worker remembers; beyond that it starts anew, so memory stays bounded.
+# Pieces whose ids a task remembers; beyond that it starts anew, so memory stays bounded.
 REMEMBERED = 200_000
 # Longer pieces are rarely met twice.
 REMEMBERED_LENGTH = 64
@@ -230,9 +230,6 @@ def _stretches(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encode_documents(
     docs: DataFrame,
     ranks_path: str,
@@ -249,15 +246,12 @@ def encode_documents(
     and has no ids; null ids, repeated rows and an empty table come out as they are; very long
     pieces cost n log n. Other columns are not read.
     """
+    prepare(docs.sparkSession)
     ranks = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The encoder outlives the task, so that its pieces serve the worker's next ones.
-        key = (ranks_path, pattern)
-        if key not in _encoders:
-            _encoders[key] = Encoder(*shared.value, pattern)
-        encode = _encoders[key].encode
+        encode = Encoder(*shared.value, pattern).encode
         for batch in batches:
             at = 0
             for part in _stretches([text or "" for text in batch.column(1).to_pylist()]):

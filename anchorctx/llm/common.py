@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     tasks it was running; and it is computed once, however often it is read.
     """
     spark = df.sparkSession
+    prepare(spark)
     path = scratch_folder(spark, purpose)
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
@@ -34,7 +38,28 @@ def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+# What Spark sends to Python at a time, where the session has not chosen; texts may be long.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+DEFAULT_BATCH, SMALL_BATCH = "67108864b", "8m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Small batches for Python workers, and the package on their path.
+
+    They look for it where the driver has it, which serves local runs and shared folders;
+    elsewhere the package is installed or sent with ``--py-files``.
+    """
+    if spark.conf.get(BATCH) == DEFAULT_BATCH:
+        spark.conf.set(BATCH, SMALL_BATCH)
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -25,17 +25,11 @@ IN_WORD = np.array([b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 for b in range(2
 BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) for b in range(256)], dtype=np.uint64)
 BASE = 0x9E3779B97F4A7C15
 
-_powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
-
-
-def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64 for i up to ``size``."""
-    if len(_powers["up"]) < size:
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["up"][:size], _powers["down"][:size]
+def _powers(base: int, size: int) -> np.ndarray:
+    """base**i modulo 2**64 for i below ``size``."""
+    table = np.full(size, base, dtype=np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -45,10 +39,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = IN_WORD[raw]
     edges = np.flatnonzero(np.diff(inside, prepend=False))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _power_table(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[raw] * up[:-1], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
+    np.cumsum(BYTE_VALUES[raw] * _powers(BASE, len(raw)), out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * _powers(pow(BASE, -1, 1 << 64), len(raw))[starts]
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(BYTE_VALUES[1] | np.uint64(1))
     hashes ^= hashes >> np.uint64(29)
