@@ -118,20 +118,15 @@ def fingerprint_documents(
     rows = rows.withColumn("key", row_key("doc_id", "body"))
     following = _next_documents(rows.withColumn("n_chars", F.char_length("body")))
     rows = with_sketch(rows, "body", "sketch", scale, shingle_words)
-    # Both joins read the same exchange of the texts, so they take the same columns.
-    others = rows.select(
-        F.col("key").alias("next_key"),
-        F.col("doc_id").alias("next_doc_id"),
-        F.col("body").alias("next_body"),
-        F.col("sketch").alias("next_sketch"),
-    )
+    # Both joins read one exchange of the texts, as neither side has names of its own in it.
     heads = (
-        following.join(others, "next_key")
+        following.alias("pair")
+        .join(rows.alias("other"), F.col("pair.next_key") == F.col("other.key"))
         .select(
-            "key",
-            "next_doc_id",
-            F.expr("substring(next_body, 1, need)").alias("head"),
-            "next_sketch",
+            F.col("pair.key"),
+            F.col("other.doc_id").alias("next_doc_id"),
+            F.expr("substring(other.body, 1, pair.need)").alias("head"),
+            F.col("other.sketch").alias("next_sketch"),
         )
         # The next document may be in the table more than once.
         .groupBy("key").agg(
