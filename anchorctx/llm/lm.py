@@ -23,11 +23,12 @@ CHUNK_BYTES = 8 << 20
 TOKENS_AT_ONCE = 1 << 13
 # The end of a text as a word; no word is empty.
 END = b""
-TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 15, 32, 16
+TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 31, 64, 32
 CLASSES = 1 + TOP_WORDS + TOP_PREFIXES + OTHER_CLASSES
-PREFIX = 2
-FEATURES = 3
-TABLE_ROWS = 1 << 13
+PREFIX = 3
+FEATURES = 4
+# Rows of the weight table: as many as distinct features, between these two.
+TABLE_ROWS, MOST_ROWS = 1 << 13, 1 << 16
 SLAB_ROWS = 256
 ROUNDS = 3
 RATE = 0.3
@@ -140,7 +141,7 @@ class Model:
     distinct: int  # distinct training tokens
     class_counts: np.ndarray  # training tokens of each class
     class_words: np.ndarray  # distinct training words of each class
-    weights: np.ndarray  # TABLE_ROWS x CLASSES
+    weights: np.ndarray  # table_rows() x CLASSES
 
     @property
     def bias(self) -> np.ndarray:
@@ -154,9 +155,17 @@ class Model:
         return np.where(classes <= len(self.classes.words) - 1, 0.0, share)
 
 
-def _features(hashes: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Rows of the weight table for each token: the word before, the classes one and two before,
-    and the classes one and three before. Texts begin with no words before."""
+def table_rows(total: int, distinct: int) -> int:
+    """Rows for the features that so many tokens, so many of them distinct, can have."""
+    features = 2 * distinct + 2 * min(total, (CLASSES + 1) ** 2)
+    return min(max(TABLE_ROWS, 1 << (features - 1).bit_length()), MOST_ROWS)
+
+
+def _features(
+    hashes: np.ndarray, classes: np.ndarray, first: np.ndarray, size: int = TABLE_ROWS
+) -> np.ndarray:
+    """Rows of the weight table for each token: the words one and two before, the classes one and
+    two before, and the classes one and three before. Texts begin with no words before."""
     n = len(hashes)
     back_words, back_classes = [], []
     for back in (1, 2, 3):
@@ -168,20 +177,21 @@ def _features(hashes: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.
         back_words.append(w)
         back_classes.append(c)
     pairs = [(back_classes[0], back_classes[1]), (back_classes[0], back_classes[2])]
-    keys = back_words[:1] + [a * np.uint64(CLASSES + 1) + b for a, b in pairs]
+    keys = back_words[:2] + [a * np.uint64(CLASSES + 1) + b for a, b in pairs]
     rows = np.empty((FEATURES, n), dtype=np.int64)
     for f, key in enumerate(keys):
         mixed = (key + np.uint64(f + 1)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(31)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        rows[f] = (mixed >> np.uint64(40)).astype(np.int64) % TABLE_ROWS
+        rows[f] = (mixed >> np.uint64(40)).astype(np.int64) % size
     return rows
 
 
 class Coded:
     """A chunk row as arrays over its tokens."""
 
-    def __init__(self, row, classes: Classes):
+    def __init__(self, row, classes: Classes, table: int = TABLE_ROWS):
+        self.table = table
         self.sizes = np.asarray(row.sizes, dtype=np.int64)
         self.tokens = _unpack(row.tokens)
         vocab = _unpack_words(row.vocab)
@@ -200,7 +210,7 @@ class Coded:
             # Three more tokens before, for the features that look back.
             low, high = max(0, at - 3), min(len(self.tokens), at + TOKENS_AT_ONCE)
             rows = _features(
-                self.hashes[low:high], self.classes[low:high], self.first[low:high] - low
+                self.hashes[low:high], self.classes[low:high], self.first[low:high] - low, self.table
             )[:, at - low :]
             use = wanted[at:high]
             if use.any():
@@ -265,7 +275,7 @@ def _trained(chunks: DataFrame, model: Model) -> Model:
     """Rounds of updates: tasks learn from their chunks, and their changes are averaged by tokens.
 
     Each training chunk is gone through once, in one of ROUNDS rounds. The driver gets the table
-    of weights alone, whose size is fixed.
+    of weights alone, whose size has a limit.
     """
     spark = chunks.sparkSession
     for round_ in range(ROUNDS):
@@ -274,16 +284,18 @@ def _trained(chunks: DataFrame, model: Model) -> Model:
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             model = shared.value
             weights, bias = model.weights.copy(), model.bias
-            squares = np.zeros(TABLE_ROWS, dtype=np.float32)
+            squares = np.zeros(len(weights), dtype=np.float32)
             seen = 0
             for batch in batches:
                 for row in batch.itertuples(index=False):
                     learned = ~np.asarray(row.held, dtype=bool)
                     if learned.any():
-                        seen += _learn(Coded(row, model.classes), learned, weights, squares, bias)
+                        coded = Coded(row, model.classes, len(weights))
+                        seen += _learn(coded, learned, weights, squares, bias)
             if seen:
-                change = (weights - model.weights) * np.float32(seen)
-                slabs = change.reshape(-1, SLAB_ROWS, CLASSES)
+                weights -= model.weights
+                weights *= np.float32(seen)
+                slabs = weights.reshape(-1, SLAB_ROWS, CLASSES)
                 yield pd.DataFrame(
                     {
                         "slab": np.arange(len(slabs)),
@@ -323,7 +335,7 @@ def _scored(model: Model):
         bias = m.bias
         for batch in batches:
             for row in batch.itertuples(index=False):
-                coded = Coded(row, m.classes)
+                coded = Coded(row, m.classes, len(m.weights))
                 counts = np.zeros(len(coded.word_classes), dtype=np.int64)
                 if row.places is not None:
                     counts[np.asarray(row.places)] = np.asarray(row.totals)
@@ -398,7 +410,8 @@ def _model(totals: DataFrame) -> Model:
         totals.groupBy(class_of("word")).agg(F.sum("total"), F.count("*")).collect()
     ):
         counts[c], words[c] = total, distinct
-    weights = np.zeros((TABLE_ROWS, CLASSES), dtype=np.float32)
+    rows = table_rows(int(counts.sum()), int(words.sum()))
+    weights = np.zeros((rows, CLASSES), dtype=np.float32)
     return Model(classes, int(counts.sum()), int(words.sum()), counts, words, weights)
 
 
@@ -414,11 +427,12 @@ def score_documents(
     model's log10 P(class | words before) and log10 P(word | class).
 
     A class is the end, a frequent word, a frequent beginning of words or a hash of the beginning.
-    P(class | words before) is a softmax of weights of hashed features (the word before, and the
-    pairs of classes one and two, and one and three before); P(word | class) goes by counts. Every
+    P(class | words before) is a softmax of weights of hashed features (the words one and two
+    before, and the pairs of classes one and two, and one and three before); P(word | class) goes by
+    counts. Every
     training text is learned from: tasks go through their chunks in small steps from a common
-    table of weights, whose changes are averaged. The table's size is fixed, so it may be
-    collected and broadcast; words, counts and texts stay distributed.
+    table of weights, whose changes are averaged. The table has a row for each distinct feature, up to
+    MOST_ROWS, beyond which features share rows; so it may be collected and broadcast; words, counts and texts stay distributed.
 
     A null text is empty and has the end alone. Null ids, repeated rows and an empty table come out
     as they are. Without training texts N and V are 0. Other columns are not read.

@@ -134,3 +134,19 @@ def test_learning_raises_the_probability():
     for _ in range(20):
         assert lm._learn(coded, np.array([True]), m.weights, squares, m.bias) == 4000
     assert total() > before + 1000
+
+
+def test_the_word_two_back_is_a_feature():
+    """Texts that differ in that word alone, not in classes."""
+    classes = np.array([5, 5, 5, 0])
+    first = np.zeros(4, dtype=np.int64)
+    one, two = (
+        lm._features(np.array([9, w, 7, 1], dtype=np.uint64), classes, first)[:, 3] for w in (20, 21)
+    )
+    assert lm.CLASSES == 128 and (one != two).sum() == 1
+
+
+def test_the_table_grows_with_the_features():
+    assert lm.table_rows(0, 0) == lm.TABLE_ROWS
+    assert lm.table_rows(10**9, 10_000) == 1 << 16
+    assert lm.table_rows(10**6, 10**6) == lm.MOST_ROWS
