@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorctx.llm.common import (
@@ -20,7 +21,9 @@ from anchorctx.llm.common import (
     text_or_empty,
 )
 
-SHINGLE = 8
+# Characters of a shingle, a power of two. Four, so that a character changed inside a line of forty
+# leaves it near: the change spoils four shingles, and (37 - 4) / (37 + 4) is 0.805.
+SHINGLE = 4
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 4
 SEED = 42
@@ -32,6 +35,9 @@ SIGNED_AT_ONCE = 1 << 16
 # Rows of buckets, and pairs, that are compared in one call, so that arrays stay in the cache.
 SLOT_ROWS = 1024
 PAIRS_AT_ONCE = 256
+# Lines whose sketches are made at a time, and bits of a sketch.
+SKETCHED_AT_ONCE = 512
+SKETCH_BITS = 256
 # Bits of the filter that spares lines without candidates a shuffle.
 FILTER_BITS = 1 << 27
 EMPTY = np.uint64(0xFFFFFFFF)
@@ -47,24 +53,24 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _rolled(codes: np.ndarray) -> np.ndarray:
-    """A polynomial of each SHINGLE (eight) codes, by doubling."""
+def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
+    """A polynomial of each ``size`` codes, a power of two, by doubling."""
     h, width = codes, 1
-    while width < SHINGLE:
+    while width < size:
         h = h[:-width] * ODD[2 + width] + h[width:]
         width *= 2
     return h
 
 
-def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all lines, repeats included, and the line of each."""
     codes = np.frombuffer("\n".join(lines).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(sizes + 1) - sizes - 1
-    counts = np.maximum(sizes - SHINGLE + 1, 0)
+    counts = np.maximum(sizes - size + 1, 0)
     which = np.repeat(np.arange(len(lines)), counts)
     at = np.arange(len(which)) + np.repeat(starts - np.cumsum(counts) + counts, counts)
-    hashes = _mixed(_rolled(codes)[at]) if len(at) else np.zeros(0, np.uint64)
+    hashes = _mixed(_rolled(codes, size)[at]) if len(at) else np.zeros(0, np.uint64)
     short = np.flatnonzero(counts == 0)
     whole = np.array(
         [xxhash.xxh64_intdigest(lines[i].encode(), 1) for i in short], dtype=np.uint64
@@ -72,12 +78,12 @@ def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([hashes, _mixed(whole)]), np.concatenate([which, short])
 
 
-def shingle_ids(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def shingle_ids(lines: list[str], size: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of each line's distinct shingles, line after line, and how many each line has.
 
     Equal shingles of the lines have equal numbers, from 0 without gaps.
     """
-    hashes, which = _shingle_hashes(lines)
+    hashes, which = _shingle_hashes(lines, size)
     order = np.argsort(hashes)
     arranged = hashes[order]
     ids = np.empty(len(hashes), dtype=np.int64)
@@ -93,7 +99,7 @@ class Shingled:
     """Lines that are compared with each other by the Jaccard similarity of their shingles."""
 
     def __init__(self, lines: list[str], similarity: float):
-        self.ids, self.sizes = shingle_ids(lines)
+        self.ids, self.sizes = shingle_ids(lines, SHINGLE)
         self.ends = np.cumsum(self.sizes)
         self.marks = np.zeros(int(self.ids.max()) + 1, dtype=np.int32)
         self.similarity = similarity
@@ -118,7 +124,7 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     that is the same for all lines.
     """
     bins = BANDS * ROWS
-    hashes, which = _shingle_hashes(lines)
+    hashes, which = _shingle_hashes(lines, SHINGLE)
     bin_ = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     least = np.full(len(lines) * bins, EMPTY, dtype=np.uint64)
     np.minimum.at(least, which * bins + bin_.astype(np.int64), hashes & np.uint64(0xFFFFFFFE))
@@ -138,6 +144,49 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     return bands
 
 
+def sketches(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's number of distinct shingles, and SKETCH_BITS bits: whether an odd number of these
+    shingles fall to the bit. Two lines differ in no fewer shingles than their sketches in bits.
+    """
+    sizes = np.zeros(len(lines), dtype=np.int32)
+    bits = np.zeros((len(lines), SKETCH_BITS // 64), dtype=np.int64)
+    for at in range(0, len(lines), SKETCHED_AT_ONCE):
+        part = lines[at : at + SKETCHED_AT_ONCE]
+        hashes, which = _shingle_hashes(part, SHINGLE)
+        # One number of the line and 54 bits of the hash, so that one sort does.
+        keys = np.sort((which.astype(np.uint64) << np.uint64(54)) | (hashes >> np.uint64(10)))
+        keys = keys[np.append(True, keys[1:] != keys[:-1])]
+        which = (keys >> np.uint64(54)).astype(np.int64)
+        sizes[at : at + len(part)] = np.bincount(which, minlength=len(part))
+        place = which * SKETCH_BITS + (keys % np.uint64(SKETCH_BITS)).astype(np.int64)
+        odd = np.bincount(place, minlength=len(part) * SKETCH_BITS) & 1
+        bits[at : at + len(part)] = np.packbits(odd.astype(bool)).view(np.int64).reshape(len(part), -1)
+    return sizes, bits
+
+
+def _sketch(lines: Column) -> Column:
+    names = [f"bits{i}" for i in range(SKETCH_BITS // 64)]
+
+    @F.pandas_udf("size int, " + ", ".join(f"{name} bigint" for name in names))
+    def sketch(lines: pd.Series) -> pd.DataFrame:
+        sizes, bits = sketches(lines.tolist())
+        return pd.DataFrame({"size": sizes} | dict(zip(names, bits.T, strict=True)))
+
+    return sketch(lines)
+
+
+def _maybe_similar(a: Column, b: Column, similarity: float) -> Column:
+    """False only where the sketches prove that two lines are less similar than asked for.
+
+    Lines of m and n shingles that differ in d have the similarity (m + n - d) / (m + n + d).
+    """
+    differ = sum(
+        F.bit_count(a[f"bits{i}"].bitwiseXOR(b[f"bits{i}"])) for i in range(SKETCH_BITS // 64)
+    )
+    differ = F.greatest(differ, F.abs(a["size"] - b["size"]))
+    return differ * (1 + similarity) <= (a["size"] + b["size"]) * (1 - similarity) + 1e-6
+
+
 def _parts(lines: list[str]) -> Iterator[list[str]]:
     """Consecutive lines of some SIGNED_AT_ONCE characters, so that arrays stay in the cache."""
     part, size = [], 0
@@ -287,6 +336,29 @@ def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.where(similar("words_a", "words_b"))
 
 
+def _maybe_joined(similarity: float):
+    """For the block pairs of some buckets: the rows whose sketch allows a line of another component
+    to be near them. No other row can be in a link that joins components."""
+
+    def kept(rows: pd.DataFrame) -> pd.DataFrame:
+        key = ["band", "_one", "_two"]
+        rows = rows.sort_values(key, kind="stable")
+        bits = np.stack([rows[f"bits{i}"].to_numpy(np.int64) for i in range(SKETCH_BITS // 64)])
+        sizes, parts = rows["size"].to_numpy(np.int64), rows["component"].to_numpy()
+        values = rows[key].to_numpy()
+        edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        keep = np.zeros(len(rows), dtype=bool)
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+            for i in range(a, b):
+                differ = np.bitwise_count(bits[:, a:b] ^ bits[:, i : i + 1]).sum(axis=0, dtype=np.int64)
+                differ = np.maximum(differ, np.abs(sizes[a:b] - sizes[i]))
+                allowed = (sizes[a:b] + sizes[i]) * (1 - similarity) + 1e-6
+                keep[i] = ((differ * (1 + similarity) <= allowed) & (parts[a:b] != parts[i])).any()
+        return rows.loc[keep, ["band", "line", "component", "_one", "_two"]]
+
+    return kept
+
+
 def _joining(lines: np.ndarray, roots: np.ndarray, of: np.ndarray, shingled: Shingled):
     """Links between lines of different components, each joining two that were apart."""
     roots = roots.copy()
@@ -330,7 +402,7 @@ def line_components(
     """(node, component) of the lines, by hash, that have a line of another text near them.
 
     Lines that share a band are candidates. First each bucket's lines are held against one
-    of them; then, in buckets that are not one component yet, members of
+    of them, unless small sketches already prove them too different; then, in buckets that are not one component yet, members of
     different components against each other, in blocks of at most ``block`` lines, whose tasks
     pass on no more links than they join components.
     """
@@ -343,12 +415,21 @@ def line_components(
         .where(_maybe_in(keys, FILTER_BITS))
         # Copies of a common line are one before they are shuffled.
         .groupBy("line").agg(F.min("words").alias("words"))
-        .join(keys, "line", "left_semi"),
+        .join(keys, "line", "left_semi")
+        .select("line", "words", _sketch(F.col("words")).alias("sketch")),
         "lines-words",
     )
     pairs = met.where("line <> pivot").select(F.col("line").alias("a"), F.col("pivot").alias("b"))
-    texts = (
+    # Sketches are smaller than texts, which travel with the pairs that may be near alone.
+    maybe = (
         pairs.distinct()
+        .join(words.select(F.col("line").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        .join(words.select(F.col("line").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        .where(_maybe_similar(F.col("sketch_a"), F.col("sketch_b"), similarity))
+        .select("a", "b")
+    )
+    texts = (
+        maybe
         .join(words.select(F.col("line").alias("a"), F.col("words").alias("words_a")), "a")
         .join(words.select(F.col("line").alias("b"), F.col("words").alias("words_b")), "b")
     )
@@ -378,20 +459,29 @@ def line_components(
     blocks = F.ceil(F.col("members") / block)
     rows = mixed.agg(F.sum(F.col("members") * blocks)).first()[0] or 0
     slot = F.pmod(F.xxhash64("band", "_one", "_two"), F.lit(rows // SLOT_ROWS + 1))
-    more = (
+    close = (
         labelled.join(mixed, "band")
-        .join(words, "line")
+        .join(words.select("line", "sketch"), "line")
         .withColumn("_own", F.pmod(F.xxhash64("line", F.lit("block")), blocks))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
         .select(
-            "band", "line", "component", "words",
+            "band", "line", "component", "sketch.*",
             F.least("_own", "_other").alias("_one"), F.greatest("_own", "_other").alias("_two"),
         )
         .groupBy(slot.alias("_slot"))
+        .applyInPandas(
+            _maybe_joined(similarity),
+            "band bigint, line bigint, component bigint, _one bigint, _two bigint",
+        )
+    )
+    close = saved(close, "lines-close")
+    more = (
+        close.join(words.select("line", "words"), "line")
+        .groupBy(slot.alias("_slot"))
         .applyInPandas(_links_across(similarity), "a bigint, b bigint")
     )
     more = saved(more, "lines-more")
-    discard(met, words, labelled, mixed)
+    discard(met, words, labelled, mixed, close)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -400,32 +490,45 @@ def line_components(
     return linked
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that made them, as later ones read its saved table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def repeated_lines(
     docs: DataFrame, *, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(row_key, repeats): for documents with lines to remove, the places of these lines.
 
-    Lines are near each other if the Jaccard similarity of their shingles, of eight characters
+    Lines are near each other if the Jaccard similarity of their shingles, of four characters
     each, is ``similarity`` or more; a shorter line is one shingle. Of the lines that
     such links connect, the first stays: that of the least doc_id (null ids last), then of the
     least hash of the row, then the earliest in its text. Candidates are lines that agree in a
     band: at a similarity of exactly 0.8, 99.9 % of pairs do, the more similar the more.
     """
-    components = line_components(docs, similarity=similarity, doc_id=doc_id, text=text)
-    places = saved(_lines(docs, doc_id, text).drop("words"), "lines-places")
-    named = (
-        places.join(components.withColumnRenamed("node", "line"), "line", "left")
-        .withColumn("component", F.coalesce("component", "line"))
-        .withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key", "at"))
-    )
-    # A table of its own, so that the join on a common line's component can be split.
-    first = saved(
-        named.groupBy("component")
-        .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        .where("first <> last")
-        .select("component", "first"),
-        "lines-kept",
-    )
+    with _shuffles_removed(docs.sparkSession):
+        components = line_components(docs, similarity=similarity, doc_id=doc_id, text=text)
+        places = saved(_lines(docs, doc_id, text).drop("words"), "lines-places")
+        named = (
+            places.join(components.withColumnRenamed("node", "line"), "line", "left")
+            .withColumn("component", F.coalesce("component", "line"))
+            .withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key", "at"))
+        )
+        # A table of its own, so that the join on a common line's component can be split.
+        first = saved(
+            named.groupBy("component")
+            .agg(F.min("place").alias("first"), F.max("place").alias("last"))
+            .where("first <> last")
+            .select("component", "first"),
+            "lines-kept",
+        )
     return (
         named.join(first, "component")
         .where("place <> first")

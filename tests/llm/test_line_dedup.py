@@ -8,11 +8,13 @@ import __spark_entry__ as entry
 from anchorctx.llm.common import row_key
 from anchorctx.llm.line_dedup import (
     SHINGLE,
+    Shingled,
     _met,
     band_hashes,
     dedup_lines,
     line_components,
     shingle_ids,
+    sketches,
 )
 
 BLANK = " \t\v\f\r"
@@ -165,6 +167,54 @@ def test_recall_of_the_bands(length):
     assert met >= 0.97 * seen
 
 
+def edited(choices, line, edit):
+    """``line`` with one character, or one word of six letters, replaced in its inside."""
+    letter = lambda: choices.choice("uvwxyz")
+    if edit == "character":
+        at = choices.randrange(8, len(line) - 8)
+        return line[:at] + letter() + line[at + 1 :]
+    at = choices.randrange(2, len(line) // 7 - 2) * 7
+    return line[:at] + "".join(letter() for _ in range(6)) + line[at + 6 :]
+
+
+# One character is found from 40 characters on, one word of six letters from 84 on.
+EDITS = [("character", n) for n in (40, 60, 90, 160)] + [("word", n) for n in (90, 120, 160)]
+
+
+@pytest.mark.parametrize("edit, length", EDITS)
+def test_edits_inside_a_line_are_found(edit, length):
+    choices = random.Random(length)
+    found = 0
+    for _ in range(200):
+        words = ["".join(choices.choices("abcdefghijklmnopqrst", k=6)) for _ in range(length // 7 + 1)]
+        a = " ".join(words)[:length]
+        b = edited(choices, a, edit)
+        bands = band_hashes([a, b])
+        near = Shingled([a, b], 0.8).near(0, np.array([1]))[0]
+        found += bool(near and (bands[0] == bands[1]).any())
+    assert found >= 0.97 * 200
+
+
+def test_sketches_differ_in_no_more_bits_than_lines_in_shingles():
+    choices = random.Random(3)
+    lines = ["", "abc", "aaaaaaa"]
+    for n in [*range(4, 60), 300, 900] * 3:
+        line = "".join(choices.choices("abcd ", k=n))
+        lines += [line, line[: n // 2] + "x" + line[n // 2 + 1 :]]
+    sizes, bits = sketches(lines)
+    sets = [shingles(x) for x in lines]
+    assert sizes.tolist() == [len(x) for x in sets]
+    for i, j in zip(range(len(lines)), range(1, len(lines)), strict=False):
+        differ = sum((int(x) & (1 << 64) - 1).bit_count() for x in bits[i] ^ bits[j])
+        assert differ <= len(sets[i] ^ sets[j])
+
+
+def test_short_lines_with_a_typo_are_removed(spark):
+    line = "the quick brown fox jumps over a lazy dog"
+    rows = [(1, line), (2, line.replace("brown", "brawn"))]
+    assert measured(docs(spark, rows)) == [(1, line), (2, "")]
+
+
 def test_shingles_and_bands_of_odd_lines():
     lines = ["", "a", "漢字𝒳", "x" * 5000, "abcdefgh", "abcdefghi"]
     assert shingle_ids(lines)[1].tolist() == [1, 1, 1, 1, 1, 2]
