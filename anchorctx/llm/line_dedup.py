@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorctx.llm.common import (
@@ -18,6 +17,7 @@ from anchorctx.llm.common import (
     documents,
     row_key,
     saved,
+    shuffles_removed,
     text_or_empty,
 )
 
@@ -490,18 +490,6 @@ def line_components(
     return linked
 
 
-@contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go with the query that made them, as later ones read its saved table."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def repeated_lines(
     docs: DataFrame, *, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -513,7 +501,7 @@ def repeated_lines(
     least hash of the row, then the earliest in its text. Candidates are lines that agree in a
     band: at a similarity of exactly 0.8, 99.9 % of pairs do, the more similar the more.
     """
-    with _shuffles_removed(docs.sparkSession):
+    with shuffles_removed(docs.sparkSession):
         components = line_components(docs, similarity=similarity, doc_id=doc_id, text=text)
         places = saved(_lines(docs, doc_id, text).drop("words"), "lines-places")
         named = (

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import documents, held_out, saved
+from anchorctx.llm.common import documents, held_out, saved, shuffles_removed
 
 # Text of one chunk, the unit that is numbered, learned from and scored.
 CHUNK_BYTES = 8 << 20
@@ -322,7 +322,9 @@ def _trained(chunks: DataFrame, model: Model) -> Model:
             .groupBy("slab", "tasks").applyInPandas(added, schema)
             .groupBy("slab").applyInPandas(added, schema)
         )
-        for slab, _, seen, change in changes.collect():
+        found = changes.collect()
+        shared.destroy()
+        for slab, _, seen, change in found:
             at = slab * SLAB_ROWS
             total = np.frombuffer(zlib.decompress(change), np.float32).reshape(SLAB_ROWS, CLASSES)
             model.weights[at : at + SLAB_ROWS] += total / np.float32(seen)
@@ -445,13 +447,15 @@ def score_documents(
         uses.groupBy("word").agg(F.sum("uses").alias("total"), F.min("chunk").alias("first"))
         .where("total > 0")
     )
-    asked = saved(
-        uses.join(totals.hint("merge"), "word").select(
-            "chunk", "place", "total", F.when(F.col("chunk") == F.col("first"), F.col("word")).alias("word")
-        ),
-        "lm-asked",
-    )
-    model = _trained(chunks, _model(asked.where("word is not null").select("word", "total")))
+    with shuffles_removed(docs.sparkSession):
+        asked = saved(
+            uses.join(totals.hint("merge"), "word").select(
+                "chunk", "place", "total", F.when(F.col("chunk") == F.col("first"), F.col("word")).alias("word")
+            ),
+            "lm-asked",
+        )
+        model = _model(asked.where("word is not null").select("word", "total"))
+        model = _trained(chunks, model)
     told = asked.groupBy("chunk").agg(
         F.collect_list("place").alias("places"), F.collect_list("total").alias("totals")
     )
