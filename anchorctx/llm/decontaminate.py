@@ -99,7 +99,7 @@ class Block:
         # Zeros after each item stand for its end; no word has hash 0.
         self.longest = int(counts.max(initial=0))
         place = np.arange(len(hashes)) + item * window
-        self.words = np.zeros(len(hashes) + (len(texts) + 1) * max(window, self.longest), np.uint64)
+        self.words = np.zeros(len(hashes) + len(texts) * window + self.longest, np.uint64)
         self.words[place] = hashes
         self.starts = place[left >= length]
         self.lengths = length[left >= length]

@@ -7,7 +7,14 @@ import pytest
 from tables import AWKWARD, SF_DIR, docs, given
 
 import __spark_entry__ as entry
-from anchorctx.llm.decontaminate import benchmark_matches, decontaminate, suffix_array, word_hashes
+from anchorctx.llm.decontaminate import (
+    Block,
+    benchmark_matches,
+    decontaminate,
+    search,
+    suffix_array,
+    word_hashes,
+)
 
 PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
 ITEMS = [
@@ -131,3 +138,11 @@ def test_shards_of_one_task(spark, monkeypatch):
     found = module.search([t.encode() for _, t in ROWS], module.Block([1], [PASSAGE.encode()], 10))
     assert found["items"].tolist() == [["1"], [], [], ["1"], [], [], [], []]
     given(spark)
+
+
+def test_a_long_item_among_short_ones_takes_no_room_for_each():
+    texts = [b"w " * 20_000] + [b"a few words"] * 2_000
+    block = Block([*range(len(texts))], texts, 10)
+    assert len(block.words) <= 26_000 + 10 * len(texts) + 20_000
+    found = search([b"x a few words y " + b"w " * 12], block)
+    assert found["longest"].tolist() == [12] and len(found["items"][0]) == len(texts)
