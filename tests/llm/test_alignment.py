@@ -1,0 +1,142 @@
+"""Alignment against a token-by-token walk with counters of pairs."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+import tokenizers
+from tables import AWKWARD, SF_DIR, docs, given
+
+from anchorctx.llm import alignment
+
+FILES = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+
+
+@pytest.fixture(scope="module")
+def vocabularies():
+    a = tokenizers.Tokenizer.from_file(FILES[0])
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+    letter = alignment.byte_letters()
+    bytes_a = {i: bytes(letter[c] for c in token) for token, i in a.get_vocab().items() if i < 50256}
+    bytes_b = {
+        i: bytes([int(b.id_to_piece(i)[3:5], 16)])
+        if b.is_byte(i)
+        else b.id_to_piece(i).replace("▁", " ").encode()
+        for i in range(b.get_piece_size())
+    }
+    return a, b, bytes_a, bytes_b
+
+
+def test_byte_letters():
+    """A byte-level pre-tokenizer writes each byte as the same character."""
+    level = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letter = alignment.byte_letters()
+    assert len(letter) == 256 and sorted(letter.values()) == list(range(256))
+    text = "".join(map(chr, [*range(1, 0x250), 0x4E2D, 0x1F600]))
+    written = "".join(part for part, _ in level.pre_tokenize_str(text))
+    assert bytes(letter[c] for c in written) == text.encode()
+
+
+def brute(rows, vocabularies):
+    a, b, bytes_a, bytes_b = vocabularies
+    found, held = [], Counter()
+    for doc_id, text in rows:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        body = (" " + text).encode() if text else b""
+        if b"".join(bytes_a[i] for i in ids_a) != body or b"".join(bytes_b[i] for i in ids_b) != body:
+            ids_a, ids_b = [], []
+        groups, i, j, at, other = [], 0, 0, 0, 0
+        while i < len(ids_a):
+            group = [ids_a[i]], [ids_b[j]]
+            at, other = at + len(bytes_a[ids_a[i]]), other + len(bytes_b[ids_b[j]])
+            i, j = i + 1, j + 1
+            while at != other:
+                if at < other:
+                    group[0].append(ids_a[i])
+                    at, i = at + len(bytes_a[ids_a[i]]), i + 1
+                else:
+                    group[1].append(ids_b[j])
+                    other, j = other + len(bytes_b[ids_b[j]]), j + 1
+            groups.append(group)
+        pairs = [(x, y) for left, right in groups for x in left for y in right]
+        held.update(set(pairs))
+        found.append((doc_id, ids_a, ids_b, groups, pairs))
+    most = {}
+    for (x, _), n in held.items():
+        most[x] = max(most.get(x, 0), n)
+    return [
+        (
+            doc_id, len(ids_a), len(ids_b), len(groups), len(pairs),
+            sum(held[p] == most[p[0]] for p in pairs), sum(held[p] for p in pairs),
+            hashlib.sha256(
+                ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups).encode()
+            ).hexdigest() if groups else "",
+        )
+        for doc_id, ids_a, ids_b, groups, pairs in found
+    ]
+
+
+def check(spark, rows, vocabularies):
+    got = alignment.align_documents(docs(spark, rows), *FILES)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute(rows, vocabularies), key=str)
+
+
+def test_awkward_rows(spark, vocabularies):
+    check(spark, AWKWARD, vocabularies)
+
+
+def test_special_tokens_scripts_and_odd_bytes(spark, vocabularies):
+    texts = [
+        "<|endoftext|>", "a <s> b </s> <unk>", "▁ the real mark", "  two  spaces ", "\t\n\r\n x", "\x00\x01",
+        "漢字かな交じり文", "🙂🙃 👩‍👩‍👧", "é ﬁ Å", "مرحبا بالعالم", "=" * 700, " " * 999, "a b", "<0x41>",
+    ]
+    check(spark, [(i, t) for i, t in enumerate(texts * 2)], vocabularies)
+
+
+def test_given_documents(spark, vocabularies):
+    rows = [(r["doc_id"], r["text"]) for r in given(spark).collect()]
+    got = alignment.op12_alignment(spark, str(SF_DIR))
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, vocabularies))
+
+
+def test_several_chunks(spark, vocabularies, monkeypatch):
+    """Chunks, counted together, give what one chunk gives."""
+    rows = [(r["doc_id"], r["text"]) for r in given(spark).limit(60).collect()]
+    aligner = alignment.Aligner(*(open(f, "rb").read() for f in FILES))
+    monkeypatch.setattr(alignment, "CHUNK", 5000)
+    parts = list(alignment._parts([d for d, _ in rows], [t for _, t in rows]))
+    assert len(parts) > 10 and [d for ids, _ in parts for d in ids] == [d for d, _ in rows]
+    chunks = [alignment._chunk(aligner, str(i), *part) for i, part in enumerate(parts)]
+    table = spark.createDataFrame([{**c, "pairs": c["pairs"].tolist(), "held": c["held"].tolist()} for c in chunks], alignment.CHUNKS)
+    got = {(r["a"], r["b"]): (r["n"], r["best"]) for r in alignment.pair_counts(table).collect()}
+    held = Counter()
+    for c in chunks:
+        for p, n in zip(c["pairs"].tolist(), c["held"].tolist(), strict=True):
+            held[p >> 32, p & 0xFFFFFFFF] += n
+    assert {pair: n for pair, (n, _) in got.items()} == held
+    assert all(best == (n == max(m for (x, _), m in held.items() if x == a)) for (a, _), (n, best) in list(got.items())[:200])
+
+
+def test_large_groups_count_alike(monkeypatch):
+    chance = random.Random(3)
+    in_a, in_b = np.array([1, 70, 2, 90]), np.array([3, 80, 1, 66])
+    a = np.array([chance.randrange(9) for _ in range(in_a.sum())])
+    b = np.array([chance.randrange(9) for _ in range(in_b.sum())])
+    compact = alignment.links(a, b, in_a, in_b)
+    monkeypatch.setattr(alignment, "EXPANDED", 10**9)
+    expanded = alignment.links(a, b, in_a, in_b)
+    assert all((x == y).all() for x, y in zip(compact, expanded, strict=True))
+    assert compact[1].sum() == (in_a * in_b).sum()
+
+
+def test_megabytes_and_nothing(spark, vocabularies):
+    body = " ".join(r["text"] for r in given(spark).collect())
+    check(spark, [(1, body * 3), (2, None), (3, "one more")], vocabularies)
+    assert alignment.align_documents(docs(spark, AWKWARD).limit(0), *FILES).count() == 0
+    check(spark, [(1, None), (2, "")], vocabularies)

@@ -1,0 +1,159 @@
+"""Cross-parsing against plain substring search; languages by held-out rows."""
+
+import random
+
+import numpy as np
+import pytest
+from tables import AWKWARD, SF_DIR, docs, given
+
+from anchorctx.llm import language
+
+WORDS = {
+    "da": "og jeg det at en den til er som på de med han af for ikke der var mig sig".split(),
+    "it": "di che non il un per con sono una della questo come anche più essere suo loro".split(),
+    "pl": "nie jest się że na do to jak ale czy tak jego który przez może być tylko".split(),
+}
+
+
+def spoken(lang, chance, words):
+    return " ".join(chance.choices(WORDS[lang], k=words))
+
+
+def corpus(spark, rows_each=60):
+    chance = random.Random(11)
+    rows = [(lang, spoken(lang, chance, 40)) for lang in WORDS for _ in range(rows_each)]
+    chance.shuffle(rows)
+    return spark.createDataFrame(
+        [(i, text, lang) for i, (lang, text) in enumerate(rows)], "doc_id bigint, text string, lang string"
+    ).selectExpr("*", "'x' as score", "'y' as lang_pred", "1 as held_out", "'z' as hash", "'q' as passage")
+
+
+def test_the_automaton_has_all_substrings_and_no_others():
+    chance = random.Random(2)
+    body = bytes(chance.choices(b"abc", k=60))
+    following = language.suffix_automaton(body)
+    assert len(following) < 2 * len(body)
+
+    def accepts(word):
+        state = 0
+        for c in word:
+            if c not in following[state]:
+                return False
+            state = following[state][c]
+        return True
+
+    for _ in range(3000):
+        word = bytes(chance.choices(b"abcd", k=chance.randrange(1, 9)))
+        assert accepts(word) == (word in body)
+
+
+def phrases(learned: bytes, body: bytes) -> int:
+    """Longest matches by substring search, block by block."""
+    count = 0
+    for at in range(0, len(body), language.BLOCK):
+        block = body[at : at + language.BLOCK]
+        while block:
+            size = 1
+            while size < len(block) and block[: size + 1] in learned and block[:size] in learned:
+                size += 1
+            block, count = block[size:], count + 1
+    return count
+
+
+def test_phrases_by_substring_search():
+    chance = random.Random(7)
+    learned = {lang: spoken(lang, chance, 90).encode() for lang in WORDS}
+    models = language.Languages.of(learned)
+    texts = [spoken(chance.choice([*WORDS]), chance, chance.randrange(0, 700)) for _ in range(20)]
+    texts += ["", "漢字", "a", learned["it"].decode(), "x" * 3000, "Åß " * 600]
+    bodies = [language.plain_bytes(t) for t in texts]
+    want = [[phrases(learned[name], body.tobytes()) for name in models.names] for body in bodies]
+    assert models.phrases(bodies).tolist() == want
+
+
+def test_phrases_never_cross_the_separator():
+    models = language.Languages.of({"x": b"abc\0def"})
+    count = [models.phrases([np.frombuffer(b, np.uint8)])[0, 0] for b in (b"abc", b"cd", b"abcdef", b"c\0d")]
+    assert count == [1, 2, 2, 3]
+
+
+def test_plain_bytes():
+    assert language.plain_bytes("ÀB  c, 12-D\n").tobytes() == "àb c d ".encode()
+
+
+def test_languages_are_told_apart(spark):
+    table = corpus(spark)
+    got = language.identify_languages(table).collect()
+    truth = {r["doc_id"]: r["lang"] for r in table.select("doc_id", "lang").collect()}
+    assert len(got) == len(truth)
+    out = [r for r in got if r["held_out"]]
+    assert out and all(r["lang_pred"] == truth[r["doc_id"]] and 0 < r["score"] <= 1 for r in out)
+
+
+def test_held_out_rows_and_other_columns_change_nothing(spark):
+    table = corpus(spark)
+    before = language.learn_languages(table, 4, 2)
+    changed = table.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 4 = 2, 'zz', lang) as lang", "text")
+    after = language.learn_languages(changed, 4, 2)
+    assert before.names == after.names and (before.table == after.table).all()
+
+
+def test_what_is_learned_has_a_bound(spark, monkeypatch):
+    """More and longer texts, copies and languages leave the model at its size."""
+    chance = random.Random(4)
+    rows = [(i, spoken("it", chance, 4000), f"l{i % 50}") for i in range(200)] + [(500, "uno", "l0")] * 90
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language, "PASSAGES", 20)
+    monkeypatch.setattr(language, "LANGUAGES", 8)
+    drawn = language.learned_passages(table, 4, 2, "doc_id", "text", "lang")
+    sizes = [r["count"] for r in drawn.groupBy("lang").count().collect()]
+    assert len(sizes) == 8 and 20 <= min(sizes) and max(sizes) < 100
+
+
+def test_awkward_rows(spark):
+    known = corpus(spark).select("doc_id", "text", "lang")
+    table = docs(spark, AWKWARD)
+    got = language.identify_languages(known.unionByName(table, allowMissingColumns=True))
+    rows = [r for r in got.collect() if r["doc_id"] is None or r["doc_id"] < 11]
+    assert all(not r["held_out"] for r in rows if r["doc_id"] is None)
+    undecided = language.identify_languages(table).where("lang_pred = 'und' and score = 0").collect()
+    assert sorted(r["doc_id"] for r in undecided) == [1, 2, 4, 10]
+    assert language.identify_languages(table).count() == len(AWKWARD)
+
+
+def test_texts_without_letters_and_of_other_scripts(spark):
+    odd = [(1000, "12 34 !"), (1001, "漢字"), (1002, None), (1003, "Привет мир"), (1004, "_"), (1005, "٣٤")]
+    known = corpus(spark).select("doc_id", "text", "lang")
+    table = known.unionByName(docs(spark, odd).select("doc_id", "text").selectExpr("*", "cast(null as string) as lang"))
+    got = {r["doc_id"]: r for r in language.identify_languages(table).collect()}
+    assert [got[i]["lang_pred"] == "und" for i in range(1000, 1006)] == [True, False, True, False, True, True]
+    assert all(got[i]["score"] == 0 for i in (1000, 1002, 1004, 1005))
+
+
+def test_nothing_to_learn_from_and_no_rows(spark):
+    table = docs(spark, [(1, "some text"), (2, None)]).selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert [(r["lang_pred"], r["score"]) for r in language.identify_languages(table).collect()] == [("und", 0.0)] * 2
+    assert language.identify_languages(table.limit(0)).count() == 0
+
+
+def test_one_language_and_long_texts(spark):
+    chance = random.Random(9)
+    rows = [(1, spoken("pl", chance, 300_000), "pl"), (3, spoken("pl", chance, 20), "pl")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert [(r["lang_pred"], r["score"]) for r in language.identify_languages(table).collect()] == [("pl", 1.0)] * 2
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_held_out_accuracy(spark, sf):
+    folder = str(SF_DIR.parent / sf)
+    got = language.op13_language(spark, folder)
+    truth = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("doc_id as d", "lang")
+    right = got.where("held_out").join(truth, got.doc_id == truth.d).selectExpr("avg(int(lang_pred = lang)) as right")
+    assert right.first()["right"] >= 0.98
+    assert got.count() == truth.count()
+
+
+def test_given_rows_come_out(spark):
+    got = language.op13_language(spark, str(SF_DIR))
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in given(spark).collect())

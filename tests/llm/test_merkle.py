@@ -1,0 +1,171 @@
+"""The manifest against plain loops, and its statement."""
+
+import hashlib
+import random
+import zlib
+
+import duckdb
+import pytest
+from tables import AWKWARD, SF_DIR, docs
+
+from anchorctx.llm import merkle
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def fold(nodes, arity):
+    """Root of some digests, and for each the (left, right) siblings on its way."""
+    ways = [[] for _ in nodes]
+    members = [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        above, grouped = [], []
+        for start in range(0, len(nodes), arity):
+            run = nodes[start : start + arity]
+            for slot in range(len(run)):
+                for i in members[start + slot]:
+                    ways[i].append(("".join(run[:slot]), "".join(run[slot + 1 :])))
+            above.append(digest("".join(run)))
+            grouped.append([i for m in members[start : start + arity] for i in m])
+        nodes, members = above, grouped
+    return nodes[0], ways
+
+
+def brute(rows, arity=16, mod=5):
+    """Result rows for (doc_id, source, lang, n_chars, text) rows."""
+    hashed = []
+    for row in rows:
+        text = row[4]
+        if row[0] is not None and text is not None and zlib.crc32(str(row[0]).encode()) % mod == 0:
+            text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        leaves = [digest("".join(map(field, [*row[:4], t]))) for t in (row[4], text)]
+        hashed.append((row[1], row[0], *leaves))
+    groups = sorted({h[0] for h in hashed}, key=lambda g: (g is not None, (g or "").encode()))
+    members = {
+        g: sorted((h for h in hashed if h[0] == g), key=lambda h: (h[1] is not None, h[1] or 0, h[2]))
+        for g in groups
+    }
+    subroots = {g: fold([h[2] for h in members[g]], arity) for g in groups}
+    if not groups:
+        return []
+    root, upper = fold([subroots[g][0] for g in groups], arity)
+    found = []
+    for number, g in enumerate(groups):
+        for i, (_, doc_id, leaf, changed) in enumerate(members[g]):
+            way = subroots[g][1][i] + upper[number]
+            at = changed
+            for left, right in way:
+                at = digest(left + at + right)
+            proof = digest("".join(left + right for left, right in way))
+            found.append((doc_id, leaf, subroots[g][0], root, proof, at, at == root))
+    return found
+
+
+def result(table, arity=16):
+    changed = merkle.leaf_digest([*merkle.COLUMNS[:-1], merkle.tampered("text", "doc_id")])
+    rows = merkle.merkle_manifest(table, carry={"changed": changed}, arity=arity)
+    return [
+        (r["doc_id"], r["leaf"], r["subroot"], r["root"], r["p"], r["f"], r["f"] == r["root"])
+        for r in rows.select(
+            "*", merkle.proof_digest("proof").alias("p"), merkle.folded_root("changed", "proof").alias("f")
+        ).collect()
+    ]
+
+
+def by_value(rows):
+    return sorted(rows, key=str)
+
+
+def plain(table):
+    return [tuple(r) for r in table.select(*merkle.COLUMNS).collect()]
+
+
+def test_awkward_rows(spark):
+    table = docs(spark, AWKWARD)
+    assert by_value(result(table)) == by_value(brute(plain(table)))
+
+
+@pytest.mark.parametrize("arity", [2, 3, 16])
+def test_groups_of_all_sizes(spark, arity):
+    """Runs that are full, of one, and alone; null, empty and non-ASCII groups; one of half the rows."""
+    chance = random.Random(5)
+    sizes = {None: 3, "": 1, "é": 17, "z": 16, "Z": 33, "𝒳": 1, "hot": 300}
+    rows = [
+        (chance.randrange(10**6), group, None, i, f"Text {chance.random()}\nÄ")
+        for group, size in sizes.items()
+        for i in range(size)
+    ]
+    chance.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    assert by_value(result(table.repartition(7), arity)) == by_value(brute(rows, arity))
+
+
+def test_equal_rows_and_ties(spark):
+    """Rows of one id in one source, most of them equal, are spread and take all slots."""
+    rows = [(1, "s", "en", 4, "Same")] * 200 + [(1, "s", "en", 5, f"Other{i}") for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    assert by_value(result(table)) == by_value(brute(rows))
+
+
+def test_one_row_and_none(spark):
+    table = docs(spark, [(7, "A text")])
+    assert result(table) == brute(plain(table))
+    assert result(table.limit(0)) == []
+
+
+def test_a_lone_row_is_the_root(spark):
+    row = merkle.merkle_manifest(docs(spark, [(7, "A text")])).collect()[0]
+    assert row["leaf"] == row["subroot"] == row["root"] and row["proof"] == []
+
+
+def test_any_change_is_found(spark):
+    table = docs(spark, [(i, f"text {i}") for i in range(40)])
+    other = merkle.leaf_digest([*merkle.COLUMNS[:-1], merkle.F.concat("text", merkle.F.lit(" "))])
+    rows = merkle.merkle_manifest(table, carry={"other": other})
+    rows = rows.select(
+        merkle.folded_root("leaf", "proof").alias("kept"), merkle.folded_root("other", "proof").alias("lost"), "root"
+    )
+    assert rows.where("kept <> root or lost = root").isEmpty()
+
+
+def test_long_texts(spark):
+    table = docs(spark, [(1, "A long text " * 300_000), (2, "x")])
+    assert by_value(result(table)) == by_value(brute(plain(table)))
+
+
+def test_statement_on_awkward_rows(spark):
+    table = docs(spark, AWKWARD).select(*merkle.COLUMNS)
+    con = duckdb.connect()
+    con.register("documents", table.toArrow())
+    assert by_value(con.sql(merkle.ORACLE_SQL).fetchall()) == by_value(brute(plain(table)))
+
+
+def test_groups_are_numbered_by_ranges(spark):
+    """Rows of one group are spread over tasks, although a third of them share their id."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    rows = spark.range(6000).selectExpr("if(id % 3 = 0, 1, id) as doc_id", "'s' as source", "id as n_chars")
+    rows = merkle.saved(rows, "numbered")
+    found = merkle.numbered(rows, ["source"], ["doc_id"], "slot")
+    spark.conf.unset(coalesce)
+    got = found.orderBy("slot").collect()
+    assert [r["slot"] for r in got] == list(range(6000))
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted(ids)
+    assert len([f for f in found.inputFiles() if "merkle-order" in f]) == 4
+
+
+def test_query(spark):
+    from anchorctx.llm.merkle import op11_merkle
+
+    got = op11_merkle(spark, str(SF_DIR))
+    assert got.columns == [
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+    ]
+    rows = plain(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    assert by_value(map(tuple, got.collect())) == by_value(brute(rows))
