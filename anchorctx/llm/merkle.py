@@ -6,9 +6,10 @@ indices of their siblings, and the nodes in slot zero of a run emit its parent.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorctx.llm.common import discard, documents, saved, shuffles_removed
@@ -80,29 +81,43 @@ def _with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
 
     A node asks for the nodes of its run by their indices: its own index shifted to another
     slot (XOR 1 where runs are pairs). Offset 0 is the node itself, so a run of one is found too.
+    Nodes and questions are both dealt by the run, which decides where a sibling's index is.
     """
+    nodes = nodes.withColumn("run", F.expr(f"idx div {arity}")).repartition("grp", "run")
     if arity == 2:
         sibling = "idx ^ offset"
     else:
         sibling = f"idx - idx % {arity} + (idx % {arity} + offset) % {arity}"
     wanted = nodes.selectExpr(
-        "grp", "idx as of", f"explode(sequence(0, {arity - 1})) as offset"
-    ).selectExpr("grp", "of", f"{sibling.replace('idx', 'of')} as idx")
-    run = (
-        wanted.join(nodes, ["grp", "idx"])
-        .groupBy("grp", F.col("of").alias("idx"))
-        .agg(F.sort_array(F.collect_list(F.struct("idx", "digest"))).alias("run"))
+        "grp", "run", "idx as of", f"explode(sequence(0, {arity - 1})) as offset"
+    ).selectExpr("grp", "run", "of", f"{sibling.replace('idx', 'of')} as idx")
+    found = (
+        wanted.join(nodes, ["grp", "run", "idx"])
+        .groupBy("grp", "run", F.col("of").alias("idx"))
+        .agg(F.sort_array(F.collect_list(F.struct("idx", "digest"))).alias("all"))
     )
 
     def joined(comparison: str) -> str:
-        some = f"filter(run, x -> x.idx {comparison} idx)"
+        some = f"filter(all, x -> x.idx {comparison} idx)"
         return f"unhex(array_join(transform({some}, x -> hex(x.digest)), ''))"
 
-    return run.selectExpr(
+    return found.selectExpr(
         "grp", "idx", f"{joined('<')} as left", f"{joined('=')} as digest", f"{joined('>')} as right"
     ).withColumn("single", F.expr("idx = 0 and length(left) + length(right) = 0"))
 
 
+@contextmanager
+def partly_keyed(spark: SparkSession) -> Iterator[None]:
+    """Joins take inputs that are both dealt by some of the join's keys as they are."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _levels(nodes: DataFrame, arity: int) -> list[DataFrame]:
     """Saved tables of nodes with their siblings, from the leaves up until each group has one node.
 
@@ -110,7 +125,7 @@ def _levels(nodes: DataFrame, arity: int) -> list[DataFrame]:
     """
     found = []
     while True:
-        with shuffles_removed(nodes.sparkSession):
+        with shuffles_removed(nodes.sparkSession), partly_keyed(nodes.sparkSession):
             level = saved(_with_siblings(nodes, arity), "merkle-level")
         found.append(level)
         parents = level.where(f"not single and idx % {arity} = 0").selectExpr(
