@@ -99,6 +99,18 @@ def test_special_tokens_scripts_and_odd_bytes(spark, vocabularies):
     check(spark, [(i, t) for i, t in enumerate(texts * 2)], vocabularies)
 
 
+def test_both_ways_to_encode_agree(spark, vocabularies):
+    aligner = alignment.Aligner(*(open(f, "rb").read() for f in FILES))
+    chance = random.Random(1)
+    kinds = [range(1, 128), range(128, 0x600), range(0x600, 0xD000), range(0x1F000, 0x1FFFF), [32]]
+    odd = ["".join(chr(chance.choice(chance.choice(kinds))) for _ in range(300)) for _ in range(500)]
+    texts = odd + [r["html"] for r in given(spark, "pages").collect()]
+    for text in texts:
+        assert aligner.ranked.encode_ordinary(text) == vocabularies[0].encode(text).ids
+    spaces = "a" + " \n" * 300_000 + "b"
+    assert aligner._encode_a(spaces) == vocabularies[0].encode(spaces).ids
+
+
 def test_given_documents(spark, vocabularies):
     rows = [(r["doc_id"], r["text"]) for r in given(spark).collect()]
     got = alignment.op12_alignment(spark, str(SF_DIR))
