@@ -24,6 +24,7 @@ CHUNK = 1 << 20
 # A group with more links than this counts its distinct ids before it pairs them.
 EXPANDED = 4096
 WORD_START = "▁"
+MARKS = ";,|"
 # The pattern that cuts texts walks back over white space; runs of that length go another way.
 LONG_SPACE = re.compile(r"\s{500}")
 # How a byte-level vocabulary that cuts texts by public_tokenizers.PATTERN says so.
@@ -74,11 +75,11 @@ class Aligner:
         self.bytes_b = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
         self.size_a = np.array(list(map(len, self.bytes_a)))
         self.size_b = np.array(list(map(len, self.bytes_b)))
-        # How an id is written behind the end of a group, behind an id of A, and so on.
-        self.texts = {
-            mark: np.array([f"{mark}{i}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))], object)
-            for mark in ";,|"
-        }
+        # Ids as they are written behind each mark, a row each, filled up with zeros.
+        self.count = max(len(self.bytes_a), len(self.bytes_b))
+        width = len(str(self.count)) + 1
+        rows = [f"{mark}{i}".encode().ljust(width, b"\0") for mark in MARKS for i in range(self.count)]
+        self.digits = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, width)
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -107,7 +108,7 @@ class Aligner:
             return self.a.encode(text, add_special_tokens=False).ids
         return self.ranked.encode_ordinary(text)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of each text by A, behind a space, and by B; None where their bytes differ from it."""
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             if not text:
@@ -115,10 +116,10 @@ class Aligner:
                 continue
             body = (" " + text).encode()
             a = self._encode_a(" " + text)
-            same = (
-                b"".join(map(self.bytes_a.__getitem__, a)) == body
-                and b"".join(map(self.bytes_b.__getitem__, b)) == body
-            )
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            # A byte-level vocabulary can write every byte, and nothing else than the text.
+            same = self.size_a[a].sum() == len(body) == self.size_b[b].sum()
+            same = same and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == body
             yield (a, b) if same else None
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,16 +135,17 @@ class Aligner:
         cut_b = np.fromiter(map(index_b.__getitem__, common), np.int64, len(common))
         return np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
 
-    def written(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> str:
+    def written(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-        group_a, group_b = (np.repeat(np.arange(len(n)), n) for n in (in_a, in_b))
         start_a, start_b = (np.cumsum(n) - n for n in (in_a, in_b))
-        parts = np.empty(len(a) + len(b), object)
-        of_a, of_b = self.texts[","][a], self.texts[","][b]
-        of_a[start_a], of_b[start_b] = self.texts[";"][a[start_a]], self.texts["|"][b[start_b]]
-        parts[np.arange(len(a)) + start_b[group_a]] = of_a
-        parts[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = of_b
-        return "".join(parts)[1:]
+        of_a, of_b = (ids + MARKS.index(",") * self.count for ids in (a, b))
+        of_a[start_a] = a[start_a] + MARKS.index(";") * self.count
+        of_b[start_b] = b[start_b] + MARKS.index("|") * self.count
+        row = np.empty(len(a) + len(b), np.int64)
+        row[np.arange(len(a)) + np.repeat(start_b, in_a)] = of_a
+        row[np.arange(len(b)) + np.repeat(start_a + in_a, in_b)] = of_b
+        found = self.digits[row].ravel()
+        return found[found != 0][1:].tobytes()
 
 
 def links(
@@ -198,10 +200,9 @@ def _chunk(aligner: Aligner, name: str, ids: list, texts: list[str]) -> dict:
             rows.append((doc_id, 0, 0, 0, 0, ""))
             pairs = times = np.zeros(0, np.int64)
         else:
-            a, b = (np.array(x, np.int64) for x in both)
+            a, b = both
             in_a, in_b = aligner.groups(a, b)
-            text = aligner.written(a, b, in_a, in_b)
-            digest = hashlib.sha256(text.encode()).hexdigest()
+            digest = hashlib.sha256(aligner.written(a, b, in_a, in_b)).hexdigest()
             rows.append((doc_id, len(a), len(b), len(in_a), int((in_a * in_b).sum()), digest))
             pairs, times = links(a, b, in_a, in_b)
         found.append(pairs)
