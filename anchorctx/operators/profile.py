@@ -25,6 +25,8 @@ DIMS = ("status_code", "error_code")
 
 # Blocks of a level are this many times as long as those of the level below.
 BASE = 8
+# Levels that only tell which blocks have events, and that of what needs no second look.
+_ANY, _DONE = 100, -2
 
 
 def _marginals(counts: DataFrame, key: Sequence[str], dims: Sequence[str]) -> DataFrame:
@@ -64,17 +66,6 @@ def keep_all_anchors(
     )
 
 
-def event_counts(
-    anchors: Anchors, activity: DataFrame, event_time: str, dims: Sequence[str]
-) -> DataFrame:
-    """(key, ``_chunk``, ``_at``, dims, ``_n``): copies are added up before they are shuffled."""
-    return (
-        anchors.dated(activity, event_time, *dims)
-        .groupBy(*anchors.key, "_chunk", "_at", *dims)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-
-
 def _levels(periods: Sequence[Period]) -> range:
     """Blocks have BASE ** level seconds; none is longer than the longest period."""
     longest = max(period.seconds for period in periods)
@@ -84,23 +75,43 @@ def _levels(periods: Sequence[Period]) -> range:
     return range(level + 1)
 
 
-def _blocks(anchors: Anchors, counts: DataFrame, levels: range, dims: Sequence[str]) -> DataFrame:
+def event_blocks(
+    anchors: Anchors,
+    activity: DataFrame,
+    event_time: str,
+    dims: Sequence[str],
+    periods: Sequence[Period],
+) -> DataFrame:
     """(key, ``_level``, ``_block``, ``_exact``, dims, ``_n``): events added up in blocks.
 
-    On level -1 a block is a second whose events keep their times, for the anchors in it.
+    On level -1 a block is a second whose events keep their times, for the anchors in it. On level
+    _ANY + n is one row for each block of level n that has events, without dims, if periods are first
+    cut by level n. Events are added up before they are shuffled, copies and those of a block alike.
     """
-    second = seconds_sql("_at", anchors.ntz)
-    sums = ", ".join(
-        f"struct({level} as _level, cast(floor(_second / {BASE**level}) as bigint) as _block,"
-        " null as _exact)"
-        for level in levels
-    )
-    exact = "struct(-1 as _level, _second as _block, _at as _exact)"
+    key, levels = list(map(quoted, anchors.key)), _levels(periods)
+    by_dims = [*map(quoted, dims)]
+    no_dims = [f"null as {dim}" for dim in by_dims]
+
+    def struct(*fields: str) -> str:
+        return f"struct({', '.join(fields)})"
+
+    def block(number: int, level: int, split: list[str]) -> str:
+        at = f"coalesce(floor(_second / {BASE**level}), 0)"
+        return struct(f"{number} as _level", f"{at} as _block", "null as _exact", *split)
+
+    coarse = sorted({_coarse(period, levels) for period in periods})
+    rows = [struct("-1 as _level", "_second as _block", "_at as _exact", *by_dims)]
+    rows += [block(level, level, by_dims) for level in levels]
+    rows += [block(_ANY + level, level, no_dims) for level in coarse]
     return (
-        counts.selectExpr("*", f"{second} as _second")
-        .selectExpr(*map(quoted, [*anchors.key, *dims]), "_n", f"inline(array({exact}, {sums}))")
+        anchors.dated(activity, event_time, *dims)
+        # Never NULL to Spark, so that a null check of a join does not make this a second aggregation.
+        .selectExpr(
+            *key, *map(quoted, dims), "_at", f"coalesce({seconds_sql('_at', anchors.ntz)}, 0) as _second"
+        )
+        .selectExpr(*key, f"inline(array({', '.join(rows)}))")
         .groupBy(*anchors.key, "_level", "_block", "_exact", *dims)
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
 
 
@@ -109,114 +120,115 @@ def _run(first: str, end: str) -> str:
 
 
 def _coarse(period: Period, levels: range) -> int:
-    """The level whose blocks a period is first cut into: some two to sixteen of them."""
-    return max(level for level in levels if level == 0 or BASE**level <= period.seconds / 2)
+    """The level whose blocks a period is first cut into: one or two, on the top level a few more."""
+    return max(level for level in levels if level == 0 or BASE**level <= 4 * period.seconds)
 
 
-def _wanted(
-    anchors: Anchors, counts: DataFrame, periods: Sequence[Period], levels: range
-) -> DataFrame:
-    """(key, ``_at``, ``_period``, ``_level``, ``_block``): the blocks that make up periods.
+def _parts(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataFrame:
+    """(key, ``_at``, ``_period``, ``_level``, ``_block``, ``_low``, ``_high``, ``_whole``): what periods
+    are first cut into.
 
-    The full seconds of a period, ``_low`` up to but without ``_high``, are cut by the blocks
-    of its coarse level. Where one is cut off and has any events, the rest of it is
-    put together from smaller blocks: on each level those from ``_first`` to ``_end`` that are
-    not in a whole block of the level above. The second of the anchor itself is a block
-    of level -1.
+    The full seconds of a period are cut by the blocks of its coarse level, and a part is the
+    seconds from ``_low`` up to but without ``_high`` of a block. The second of the anchor itself is a
+    whole block of level -1; what is less than its block asks on level _ANY + n for any events.
     """
-    key, on = list(map(quoted, anchors.key)), [*anchors.key, "_level", "_block"]
-    choices = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("_period"),
-                F.lit(period.direction == "before").alias("_before"),
-                F.lit(period.seconds).cast("bigint").alias("_length"),
-                F.lit(_coarse(period, levels)).alias("_level"),
-                F.lit(BASE ** _coarse(period, levels)).cast("bigint").alias("_size"),
-            )
-            for number, period in enumerate(periods)
-        ]
+    key = list(map(quoted, anchors.key))
+    choices = ", ".join(
+        f"struct({number} as _period, {str(period.direction == 'before').lower()} as _before,"
+        f" {period.seconds}L as _length, {_coarse(period, levels)} as _coarse,"
+        f" {BASE ** _coarse(period, levels)}L as _size)"
+        for number, period in enumerate(periods)
+    )
+    cut = (
+        "transform(if(_low < _high, sequence(floor(_low / _size), floor((_high - 1) / _size)), array()),"
+        " b -> struct(_coarse as _level, b as _block, greatest(_low, b * _size) as _low,"
+        " least(_high, (b + 1) * _size) as _high))"
     )
-    spans = (
-        anchors.moments.select(*anchors.key, "_at", F.inline(choices))
-        .selectExpr("*", f"{seconds_sql('_at', anchors.ntz)} as _second")
+    own = "array(struct(-1 as _level, _second as _block, _second as _low, _second + _size as _high))"
+    return (
+        anchors.moments.selectExpr(
+            *key, "_at", f"{seconds_sql('_at', anchors.ntz)} as _second", f"inline(array({choices}))"
+        )
         .selectExpr(
-            *key, "_at", "_period", "_level", "_size", "_second",
+            *key, "_at", "_period", "_coarse", "_size", "_second",
             "if(_before, _second - _length, _second + 1) as _low",
             "if(_before, _second, _second + _length + 1) as _high",
         )
-    )
-    # Never NULL to Spark, so that no null check makes this read the moments anew.
-    own = spans.selectExpr(*key, "_at", "_period", "-1 as _level", "coalesce(_second, 0) as _block")
-    parts = spans.where("_low < _high").selectExpr(
-        "*", "explode(sequence(floor(_low / _size), floor((_high - 1) / _size))) as _block"
-    ).selectExpr(
-        *key, "_at", "_period", "_level", "_block", "_size",
-        "greatest(_low, _block * _size) as _low",
-        "least(_high, (_block + 1) * _size) as _high",
-    )
-    whole = parts.where("_high - _low = _size").select(*anchors.key, "_at", *own.columns[-3:])
+        .selectExpr(*key, "_at", "_period", "_size", f"inline(concat({own}, {cut}))")
+        .selectExpr("*", "_high - _low = _size as _whole")
+        .withColumn("_level", F.expr(f"if(_whole, _level, _level + {_ANY})"))
+        .drop("_size")
+    )
 
-    coarse = ", ".join(
-        f"struct({level} as _level, cast(floor(_second / {BASE**level}) as bigint) as _block)"
-        for level in sorted({_coarse(period, levels) for period in periods})
-    )
-    # Reading `_n` makes this the same aggregation of the activity as that of the blocks.
-    with_events = (
-        counts.where("_n > 0")
-        .selectExpr(*key, f"{seconds_sql('_at', anchors.ntz)} as _second")
-        .selectExpr(*key, f"inline(array({coarse}))")
-        .distinct()
-    )
-    cut = parts.where("_high - _low < _size").join(with_events, on, "left_semi")
-    ends = [
-        expression
-        for level in levels
-        for expression in (
-            f"cast(-floor(-_low / {BASE**level}) as bigint) as _first{level}",
-            f"cast(floor(_high / {BASE**level}) as bigint) as _end{level}",
-        )
-    ]
+
+def _finer(levels: range) -> str:
+    """The fewest blocks below a part's level that make up its seconds, as an array of structs.
+
+    On each level those from ``first`` to ``end`` that are not in a whole block of the level above.
+    """
     taken = []
     for level in levels:
-        first, end = f"_first{level}", f"_end{level}"
+        first, end = f"cast(-floor(-_low / {BASE**level}) as bigint)", f"cast(floor(_high / {BASE**level}) as bigint)"
+        run = _run(first, end)
         if level + 1 in levels:
-            inner, outer = f"{BASE} * _first{level + 1}", f"{BASE} * _end{level + 1}"
-            run = (
-                f"if({inner} < {outer}, concat({_run(first, inner)}, {_run(outer, end)}),"
-                f" {_run(first, end)})"
-            )
-        else:
-            run = _run(first, end)
+            size = BASE ** (level + 1)
+            inner = f"{BASE} * cast(-floor(-_low / {size}) as bigint)"
+            outer = f"{BASE} * cast(floor(_high / {size}) as bigint)"
+            run = f"if({inner} < {outer}, concat({_run(first, inner)}, {_run(outer, end)}), {run})"
         taken.append(f"transform({run}, b -> struct({level} as _level, b as _block))")
-    fine = cut.selectExpr(*key, "_at", "_period", *ends).selectExpr(
-        *key, "_at", "_period", f"inline(concat({', '.join(taken)}))"
-    )
-    return own.unionByName(whole).unionByName(fine)
+    return f"concat({', '.join(taken)})"
 
 
-def profile_of(
-    anchors: Anchors, counts: DataFrame, periods: Sequence[Period], dims: Sequence[str]
+def _per_moment(
+    anchors: Anchors,
+    blocks: DataFrame,
+    periods: Sequence[Period],
+    dims: Sequence[str],
 ) -> DataFrame:
-    """``period_counts`` over the result of ``event_counts``."""
-    key, levels = anchors.key, _levels(periods)
-    blocks = _blocks(anchors, counts, levels, dims)
+    """(key, ``_at``, ``_period``, dims, ``_n``): joint counts of each period of each moment.
+
+    Parts of periods meet the blocks that have events. A whole block's counts are taken as they are; a
+    part that is less than its block is put together from smaller ones, which meet the
+    blocks once more. All of it is one chain of joins, and both read the same exchange of the blocks.
+    """
+    key, levels = list(map(quoted, anchors.key)), _levels(periods)
+    on = [*anchors.key, "_level", "_block"]
     before = F.array(*[F.lit(period.direction == "before") for period in periods])
     inside = F.when(F.get(before, F.col("_period")), F.col("_exact") <= F.col("_at")).otherwise(
         F.col("_exact") >= F.col("_at")
     )
-    per_moment = (
-        _wanted(anchors, counts, periods, levels)
-        .join(blocks, [*key, "_level", "_block"])
+    known, counted = [f"_dim{i}" for i in range(len(dims))], [*map(quoted, dims), "_n"]
+    met = (
+        _parts(anchors, periods, levels)
+        .join(blocks, on)
         .where(F.col("_exact").isNull() | inside)
-        .select(*key, "_at", "_period", *dims, "_n")
-        .repartition(*key, "_at")
-        .groupBy(*key, "_at", "_period", *dims)
+        .selectExpr(
+            *key, "_at", "_period",
+            *[f"if(_whole, {d}, null) as {k}" for d, k in zip(counted, [*known, "_known"], strict=True)],
+            f"inline(if(_whole, array(struct({_DONE} as _level, _block)), {_finer(levels)}))",
+        )
+    )
+    return (
+        # Reading `_exact` once more makes both joins read one exchange.
+        met.join(blocks, on, "left")
+        .where("(_known is not null or _n is not null) and _exact is null")
+        .selectExpr(
+            *key, "_at", "_period",
+            *[f"if(_known is null, {d}, {k}) as {d}" for d, k in zip(counted, [*known, "_known"], strict=True)],
+        )
+        .repartition(*anchors.key, "_at")
+        .groupBy(*anchors.key, "_at", "_period", *dims)
         .agg(F.sum("_n").alias("_n"))
-    )
+    )
+
+
+def profile_of(
+    anchors: Anchors, blocks: DataFrame, periods: Sequence[Period], dims: Sequence[str]
+) -> DataFrame:
+    """``period_counts`` over the result of ``event_blocks``."""
     named = F.get(F.array(*[F.lit(period.name) for period in periods]), F.col("_period"))
     per_anchor = (
-        anchors.with_results(per_moment)
+        anchors.with_results(_per_moment(anchors, blocks, periods, dims))
         .groupBy(anchors.id, named.alias(PERIOD), *dims)
         .agg(F.sum("_n").alias("_n"))
     )
@@ -240,7 +252,8 @@ def period_counts(
     """
     dims, periods = names(dims), check_periods(periods)
     asked = Anchors.against(activity, event_time, anchors, key, anchor_id, anchor_time)
-    return profile_of(asked, event_counts(asked, activity, event_time, dims), periods, dims)
+    blocks = event_blocks(asked, activity, event_time, dims, periods)
+    return profile_of(asked, blocks, periods, dims)
 
 
 def each_period(ids: DataFrame, periods: Sequence[Period]) -> DataFrame:

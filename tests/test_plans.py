@@ -47,8 +47,8 @@ def test_each_history_is_scanned_once_in_the_report(plan):
     scans = [line for line in plan("context_report").splitlines() if "FileScan" in line]
     assert sum("(view,click,error)" in line for line in scans) == 1
     assert sum("(signup,error)" in line for line in scans) == 1
-    # Distinct moments, the rows that have one, those that have none, those without id.
-    assert sum("purchase" in line for line in scans) == 4
+    # Distinct moments, the rows that have one, those that have none.
+    assert sum("purchase" in line for line in scans) == 3
     for line in scans:
         assert "IsNotNull(event_type)" in line or "In(event_type" in line
         assert "props" not in re.search(r"ReadSchema: (\S+)", line).group(1)

@@ -102,7 +102,7 @@ def test_neighbours_and_state(spark, tables):
 def test_no_group_of_the_windows_grows_with_copies(tables):
     """What a window partition holds is bounded by the moments of a chunk."""
     from anchorctx.operators.asof import Anchors
-    from anchorctx.operators.profile import event_counts
+    from anchorctx.operators.profile import event_blocks
 
     anchors, activity, _ = tables
     asked = Anchors.against(
@@ -115,24 +115,28 @@ def test_no_group_of_the_windows_grows_with_copies(tables):
         600,
     )
     dims = ["status_code", "error_code"]
-    counts = event_counts(asked, activity, "polling_creation_time", dims)
-    largest = counts.groupBy("device_id", "_chunk").count().agg(F.max("count")).first()[0]
+    periods = [ac.Period("p", "before", 600)]
+    counts = event_blocks(asked, activity, "polling_creation_time", dims, periods).where("_level = -1")
+    hours = F.expr("_block div 600")
+    largest = counts.groupBy("device_id", hours).count().agg(F.max("count")).first()[0]
     assert largest <= 600 * 4
     assert counts.agg(F.sum("_n")).first()[0] == activity.count()
     assert asked.moments.groupBy("device_id", "_chunk").count().agg(F.max("count")).first()[0] <= 600
 
 
 def met_rows(spark, anchors, activity, periods, dims):
-    """Block rows that the profile's join of anchors and activity meets, and the largest group."""
+    """Block rows that the profile's joins of anchors and activity meet, and the largest group."""
     from anchorctx.operators import profile
     from anchorctx.operators.asof import Anchors
 
     asked = Anchors.against(activity, "t", anchors, "device_id", "id", "t")
     levels = profile._levels(periods)
-    counts = profile.event_counts(asked, activity, "t", dims)
-    blocks = profile._blocks(asked, counts, levels, dims)
-    wanted = profile._wanted(asked, counts, periods, levels)
+    blocks = profile.event_blocks(asked, activity, "t", dims, periods)
+    parts = profile._parts(asked, periods, levels)
     key = ["device_id", "_level", "_block"]
+    cut = parts.where("not _whole").join(blocks, key, "left_semi")
+    finer = cut.selectExpr("device_id", "_at", "_period", f"inline({profile._finer(levels)})")
+    wanted = parts.select(*finer.columns).unionByName(finer)
     return (
         wanted.join(blocks, key).count(),
         wanted.groupBy(*key).count().agg(F.max("count")).first()[0],
