@@ -20,9 +20,8 @@ from anchorctx.sources.paths import scratch_folder
 
 try:
     import anchorctx.llm.queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("anchorctx.llm", "anchorctx.llm.queries", "corpus_pipeline"):
-        raise
+except ImportError:
+    # The optional subpackage, its pipeline, or a library that only they need is not there.
     llm = None
 
 NARROW = {"before": 180, "after": 180, "before_long": 3600}

@@ -139,12 +139,17 @@ def _parts(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataFr
         f" {BASE ** _coarse(period, levels)}L as _size)"
         for number, period in enumerate(periods)
     )
+    # A block's first second and the one behind its last, as far as they lie in the period.
+    low, high = "greatest(_low, b * _size)", "least(_high, (b + 1) * _size)"
     cut = (
         "transform(if(_low < _high, sequence(floor(_low / _size), floor((_high - 1) / _size)), array()),"
-        " b -> struct(_coarse as _level, b as _block, greatest(_low, b * _size) as _low,"
-        " least(_high, (b + 1) * _size) as _high))"
+        f" b -> struct(if({high} - {low} = _size, _coarse, _coarse + {_ANY}) as _level, b as _block,"
+        f" {low} as _low, {high} as _high, {high} - {low} = _size as _whole))"
+    )
+    own = (
+        "array(struct(-1 as _level, _second as _block, _second as _low, _second + 1 as _high,"
+        " true as _whole))"
     )
-    own = "array(struct(-1 as _level, _second as _block, _second as _low, _second + _size as _high))"
     return (
         anchors.moments.selectExpr(
             *key, "_at", f"{seconds_sql('_at', anchors.ntz)} as _second", f"inline(array({choices}))"
@@ -154,10 +159,7 @@ def _parts(anchors: Anchors, periods: Sequence[Period], levels: range) -> DataFr
             "if(_before, _second - _length, _second + 1) as _low",
             "if(_before, _second, _second + _length + 1) as _high",
         )
-        .selectExpr(*key, "_at", "_period", "_size", f"inline(concat({own}, {cut}))")
-        .selectExpr("*", "_high - _low = _size as _whole")
-        .withColumn("_level", F.expr(f"if(_whole, _level, _level + {_ANY})"))
-        .drop("_size")
+        .selectExpr(*key, "_at", "_period", f"inline(concat({own}, {cut}))")
     )
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from anchorctx.sources.paths import publish, remove
+
 # The layout of times, with all their digits.
 TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -20,12 +24,19 @@ def export_csv(
     Empty strings look like NULLs in the files. Times are written in the session's zone to the
     microsecond; ``"yyyy-MM-dd'T'HH:mm:ss.SSSXXX"`` cuts them to milliseconds.
 
-    What is at ``path`` is replaced, by Spark's own committer: it is removed when the run
-    starts to write, so a run that fails later leaves no result. To keep the old one until
-    the new one is whole, write to a new name.
+    The folder is written under another name beside ``path`` and renamed when it is whole. What is
+    at ``path`` stays until then and is removed last, so a run that fails leaves the old result as
+    it is. Where a store has no rename of folders, readers may see neither for a moment.
     """
-    (
-        df.write.option("timestampFormat", timestamp_format)
-        .option("timestampNTZFormat", timestamp_ntz_format)
-        .csv(path, header=True, emptyValue="", mode="overwrite")
-    )
+    spark, target = df.sparkSession, path.rstrip("/")
+    parent, _, name = target.rpartition("/")
+    staged = f"{parent}{'/' if '/' in target else ''}_{name}-{uuid.uuid4().hex}"
+    try:
+        (
+            df.write.option("timestampFormat", timestamp_format)
+            .option("timestampNTZFormat", timestamp_ntz_format)
+            .csv(staged, header=True, emptyValue="")
+        )
+        publish(spark, staged, target)
+    finally:
+        remove(spark, staged)

@@ -4,6 +4,8 @@ from datetime import datetime
 from pathlib import Path
 from types import SimpleNamespace
 
+import pytest
+
 import anchorctx as ac
 from anchorctx.sources.paths import scratch_folder
 
@@ -97,3 +99,38 @@ def test_scratch_folder_without_the_setting_is_in_the_warehouse():
     settings = {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}
     session = SimpleNamespace(conf=settings)
     assert scratch_folder(session, "x").startswith("hdfs://store/warehouse/_scratch/x-")
+
+
+def test_a_failed_write_leaves_the_old_result(spark, tmp_path):
+    target = tmp_path / "report.csv"
+    ac.export_csv(spark.sql("select 1 as n"), str(target))
+    failing = spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('stop'), id) as n")
+    with pytest.raises(Exception, match="stop"):
+        ac.export_csv(failing, str(target))
+    assert lines(target) == [["n", "1"]]
+    assert files(target.parent) == ["report.csv"]
+
+
+def test_a_result_that_cannot_be_published_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    from anchorctx.sources import csv_export
+
+    target = tmp_path / "report.csv"
+    ac.export_csv(spark.sql("select 1 as n"), str(target))
+    publish = csv_export.publish
+    # The new folder is gone when it is to be renamed.
+    monkeypatch.setattr(
+        csv_export, "publish", lambda s, new, path: (csv_export.remove(s, new), publish(s, new, path))
+    )
+    with pytest.raises(OSError, match="rename"):
+        ac.export_csv(spark.sql("select 2 as n"), str(target))
+    assert lines(target) == [["n", "1"]]
+    assert files(target.parent) == ["report.csv"]
+
+
+def test_scratch_folder_of_one_machine_is_refused_on_a_cluster():
+    session = SimpleNamespace(
+        conf={"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"},
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session, "x")

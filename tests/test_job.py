@@ -165,3 +165,28 @@ def test_other_schemas(spark, tmp_path):
         dims=["page"],
     ).where("period_of_time = 'THREE_MINUTES_BEFORE'").first()
     assert (row.order_id, row.page, row.count_page) == ("x1", "home", 1)
+
+
+def test_each_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    """The report reads tables; the files are read by three writes, and the tables are gone afterwards."""
+    from pathlib import Path
+
+    from anchorctx.plans import job
+
+    data = write(
+        tmp_path / "data",
+        ",t,id,d\n1,2021-05-04 08:00:00,1,a\n",
+        ",t,d,e,s\n1,2021-05-04 07:59:00,a,,200\n",
+        ",t,s,d\n1,2021-05-04 07:00:00,ONLINE,a\n",
+    )
+    seen = {}
+
+    def exported(report, path):
+        seen["plan"] = report._jdf.queryExecution().executedPlan().toString()
+        seen["files"] = report.inputFiles()
+
+    monkeypatch.setattr(job, "export_csv", exported)
+    job.run(spark, data, str(tmp_path / "results"))
+    assert "FileScan csv" not in seen["plan"] and "FileScan parquet" in seen["plan"]
+    folders = {Path(f.removeprefix("file:")).parent for f in seen["files"]}
+    assert len(folders) == 3 and not any(f.exists() for f in folders)

@@ -1,5 +1,7 @@
 """Every registered query against its SQL statement in DuckDB, on the given tables."""
 
+import importlib.util
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -53,3 +55,16 @@ def test_query(spark, oracle, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 606
+
+
+def test_a_library_that_only_the_optional_part_needs_may_be_missing(monkeypatch):
+    for name in list(sys.modules):
+        if name.startswith("anchorctx.llm") or name == "corpus_pipeline":
+            monkeypatch.delitem(sys.modules, name)
+    for name in ("public_tokenizers", "xxhash", "regex"):
+        monkeypatch.setitem(sys.modules, name, None)
+    spec = importlib.util.spec_from_file_location("entry_alone", entry.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert alone.llm is None
+    assert set(alone.queries()) == set(alone.oracle_sql()) >= {"context_report", "context_job"}
