@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,13 +44,20 @@ def publish(spark: SparkSession, new: str, path: str) -> None:
     Both lie in one file system. Should the folder not get its name, the old one gets its own back.
     """
     files, named = file_system(spark, path)
+
+    def renamed(one: str, other: str) -> bool:
+        try:
+            return files.rename(named(one), named(other))
+        except Py4JJavaError:
+            return False
+
     old = f"{new}-replaced"
     replaces = files.exists(named(path))
-    if replaces and not files.rename(named(path), named(old)):
+    if replaces and not renamed(path, old):
         raise OSError(f"cannot rename {path}")
-    if not files.rename(named(new), named(path)):
+    if not renamed(new, path):
         if replaces:
-            files.rename(named(old), named(path))
+            renamed(old, path)
         raise OSError(f"cannot rename {new} to {path}")
     if replaces:
         files.delete(named(old), True)
