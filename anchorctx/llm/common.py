@@ -95,6 +95,9 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
     of its component, which has none itself. Each round is a table in the scratch folder, and
     only whether another is needed reaches the driver. The rounds grow with the logarithm of the
     longest chain. Edges with a null end are ignored.
+
+    The least nodes are tables of their own: a node with most of the edges is dealt to one task by
+    its key, and Spark splits such a join only if neither side is an aggregate.
     """
     current = saved(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -104,13 +107,14 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         nearest = both.groupBy("a").agg(F.min("b").alias("_least"))
-        nearest = nearest.select("a", F.least("a", "_least").alias("_least"))
+        nearest = saved(nearest.select("a", F.least("a", "_least").alias("_least")), f"{purpose}-least")
         large = (
             both.where("b > a").join(nearest, "a")
             .select(F.col("b").alias("a"), F.col("_least").alias("b"))
             .where("a <> b").distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("_least"))
+        large = saved(large, f"{purpose}-large")
+        least = saved(large.groupBy("a").agg(F.min("b").alias("_least")), f"{purpose}-least")
         small = (
             large.join(least, "a")
             .select(
@@ -120,7 +124,7 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
             .where("a <> b").distinct()
         )
         older, current = current, saved(small, f"{purpose}-edges")
-        discard(older)
+        discard(older, nearest, large, least)
         ends = current.select(
             F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("head")
         ).unionByName(

@@ -129,7 +129,10 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int, block: int = 4096) -
         .agg(F.count("*").alias("members"), F.min("fp").alias("least"))
         .where("members > 1")
     )
+    # A table of its own, so that Spark may split the join at a large bucket.
+    shared = saved(shared, "simhash-shared")
     met = saved(bucketed.join(shared, ["table", "bucket"]), "simhash-met")
+    discard(shared)
     stars = (
         met.where(F.col("fp") != F.col("least"))
         .where(_bits_apart("fp", "least") <= max_bits)
@@ -143,11 +146,12 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int, block: int = 4096) -
         .withColumn("component", F.coalesce("component", "fp"))
     )
     labelled = saved(labelled, "simhash-labelled")
-    mixed = (
+    mixed = saved(
         labelled.groupBy("table", "bucket")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
         .where("_low <> _high")
-        .select("table", "bucket")
+        .select("table", "bucket"),
+        "simhash-mixed",
     )
     blocks = F.ceil(F.col("members") / block)
     own = F.pmod(F.xxhash64("fp", F.lit("block")), blocks)
@@ -163,7 +167,7 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int, block: int = 4096) -
         .applyInPandas(_links_across(max_bits), "a bigint, b bigint")
     )
     more = saved(more, "simhash-more")
-    discard(met, labelled)
+    discard(met, labelled, mixed)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -199,12 +203,15 @@ def simhash_groups(
         per_fp.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
         .withColumn("component", F.coalesce("component", "fp"))
     )
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = saved(named, "simhash-named")
+    least = saved(
+        named.groupBy("component").agg(F.min("least_id").alias("component_id")), "simhash-least"
+    )
     component = saved(
         named.join(least, "component").select("fp", "component", "component_id"),
         "simhash-components",
     )
-    discard(per_fp, linked)
+    discard(per_fp, linked, named, least)
     return rows.join(component, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
