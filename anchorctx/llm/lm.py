@@ -18,20 +18,23 @@ from pyspark.sql import functions as F
 from anchorctx.llm.common import documents, held_out, saved, shuffles_removed
 
 # Text of one chunk, the unit that is numbered, learned from and scored.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 # Tokens whose probabilities are worked out at a time.
 TOKENS_AT_ONCE = 1 << 13
 # The end of a text as a word; no word is empty.
 END = b""
-TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = 31, 64, 32
-CLASSES = 1 + TOP_WORDS + TOP_PREFIXES + OTHER_CLASSES
+# Outcomes of each of the three softmaxes: groups, classes of a group, buckets of a class.
+WIDTH = 32
+CLASSES = WIDTH * WIDTH
+LEAVES = CLASSES * WIDTH
+TOP_WORDS, TOP_PREFIXES, OTHER_CLASSES = CLASSES // 4 - 1, CLASSES // 2, CLASSES // 4
 PREFIX = 3
 FEATURES = 4
 # Rows of the weight table: as many as distinct features, between these two.
-TABLE_ROWS, MOST_ROWS = 1 << 13, 1 << 16
-SLAB_ROWS = 256
+TABLE_ROWS, MOST_ROWS = 1 << 13, 1 << 18
+SLAB_ROWS = 1 << 12
 ROUNDS = 3
-RATE = 0.3
+RATE, DAMPING = 0.3, 0.1
 # Tasks whose changes are added up first, so that no task gets those of all.
 TASKS_ADDED = 128
 
@@ -115,18 +118,29 @@ def _chunks(docs: DataFrame, doc_id: str, text: str, mod: int, remainder: int) -
 
 @dataclass
 class Classes:
-    """A word's class: the end, a frequent word, a frequent beginning, or a hash of the beginning."""
+    """A word's class: the end, a frequent word, a frequent beginning, or a hash of the beginning.
+
+    Classes of neighbouring numbers are a group; a bucket is a hash of the word.
+    """
 
     words: dict[bytes, int]
     prefixes: dict[bytes, int]
 
-    def of(self, vocab: list[bytes]) -> np.ndarray:
-        words, prefixes = self.words, self.prefixes
+    @property
+    def single(self) -> int:
+        """Classes below have one word, thus no buckets."""
+        return len(self.words)
+
+    def leaves(self, vocab: list[bytes]) -> np.ndarray:
+        """class * WIDTH + bucket of each word."""
+        words, prefixes, digest = self.words, self.prefixes, xxhash.xxh32_intdigest
         return np.fromiter(
             (
-                c if (c := words.get(w)) is not None
-                else c if (c := prefixes.get(w[:PREFIX])) is not None
-                else CLASSES - 1 - xxhash.xxh32_intdigest(w[:PREFIX]) % OTHER_CLASSES
+                c * WIDTH if (c := words.get(w)) is not None
+                else WIDTH * (
+                    c if (c := prefixes.get(w[:PREFIX])) is not None
+                    else CLASSES - 1 - digest(w[:PREFIX]) % OTHER_CLASSES
+                ) + digest(w) % WIDTH
                 for w in vocab
             ),
             np.int64,
@@ -139,20 +153,24 @@ class Model:
     classes: Classes
     total: int  # training tokens
     distinct: int  # distinct training tokens
-    class_counts: np.ndarray  # training tokens of each class
-    class_words: np.ndarray  # distinct training words of each class
-    weights: np.ndarray  # table_rows() x CLASSES
+    leaf_counts: np.ndarray  # training tokens of each bucket
+    leaf_words: np.ndarray  # distinct training words of each bucket
+    weights: np.ndarray  # table_rows() x WIDTH
 
     @property
     def bias(self) -> np.ndarray:
-        return np.log((self.class_counts + 0.5) / (self.total + 0.5 * CLASSES)).astype(np.float32)
-
-    def in_class(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """log10 of a word's share of its class; one unit of each class is kept for new words."""
+        """Logarithms of shares by counts: a line for the groups, one per group, one per class."""
+        classes = self.leaf_counts.reshape(-1, WIDTH)
+        groups = classes.sum(axis=1).reshape(-1, WIDTH)
+        counts = np.concatenate([groups.sum(axis=1)[None], groups, classes]) + 0.5
+        return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    def in_leaf(self, counts: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """log10 of a word's share of its bucket; one unit of each bucket is kept for new words."""
         share = np.log10(
-            (counts + 0.5) / (self.class_counts[classes] + 0.5 * (self.class_words[classes] + 1))
+            (counts + 0.5) / (self.leaf_counts[leaves] + 0.5 * (self.leaf_words[leaves] + 1))
         )
-        return np.where(classes <= len(self.classes.words) - 1, 0.0, share)
+        return np.where(leaves < self.classes.single * WIDTH, 0.0, share)
 
 
 def table_rows(total: int, distinct: int) -> int:
@@ -161,10 +179,8 @@ def table_rows(total: int, distinct: int) -> int:
     return min(max(TABLE_ROWS, 1 << (features - 1).bit_length()), MOST_ROWS)
 
 
-def _features(
-    hashes: np.ndarray, classes: np.ndarray, first: np.ndarray, size: int = TABLE_ROWS
-) -> np.ndarray:
-    """Rows of the weight table for each token: the words one and two before, the classes one and
+def _features(hashes: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashed features of each token: the words one and two before, the classes one and
     two before, and the classes one and three before. Texts begin with no words before."""
     n = len(hashes)
     back_words, back_classes = [], []
@@ -178,99 +194,129 @@ def _features(
         back_classes.append(c)
     pairs = [(back_classes[0], back_classes[1]), (back_classes[0], back_classes[2])]
     keys = back_words[:2] + [a * np.uint64(CLASSES + 1) + b for a, b in pairs]
-    rows = np.empty((FEATURES, n), dtype=np.int64)
+    found = np.empty((FEATURES, n), dtype=np.uint64)
     for f, key in enumerate(keys):
         mixed = (key + np.uint64(f + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        rows[f] = (mixed >> np.uint64(40)).astype(np.int64) % size
-    return rows
+        found[f] = mixed ^ (mixed >> np.uint64(31))
+    return found
+
+
+def _rows(features: np.ndarray, lines: np.ndarray, size: int) -> np.ndarray:
+    """Rows of the weight table for features of a softmax, which its line of the bias names."""
+    mixed = features + lines.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(40)).astype(np.int64) & (size - 1)
+
+
+def _levels(features: np.ndarray, leaves: np.ndarray, single: int, size: int):
+    """For each of the three softmaxes its tokens, rows, lines of the bias and outcomes.
+
+    A token whose class has one word takes no part in the last.
+    """
+    everything = np.arange(len(leaves))
+    classes = leaves // WIDTH
+    groups = classes // WIDTH
+    lines = np.zeros(len(leaves), dtype=np.int64)
+    yield everything, _rows(features, lines, size), lines, groups
+    yield everything, _rows(features, 1 + groups, size), 1 + groups, classes % WIDTH
+    some = np.flatnonzero(classes >= single)
+    lines = 1 + WIDTH + classes[some]
+    yield some, _rows(features[:, some], lines, size), lines, leaves[some] % WIDTH
 
 
 class Coded:
     """A chunk row as arrays over its tokens."""
 
-    def __init__(self, row, classes: Classes, table: int = TABLE_ROWS):
-        self.table = table
+    def __init__(self, row, classes: Classes):
         self.sizes = np.asarray(row.sizes, dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.tokens = _unpack(row.tokens)
         vocab = _unpack_words(row.vocab)
         digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(w) for w in vocab), np.uint64, len(vocab))
-        self.word_classes = classes.of(vocab)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.classes = self.word_classes[self.tokens]
-        self.hashes = hashes[self.tokens]
-        self.first = np.repeat(self.starts, self.sizes)
+        self.word_hashes = np.fromiter((digest(w) for w in vocab), np.uint64, len(vocab))
+        self.word_leaves = classes.leaves(vocab)
 
     def parts(self, texts: np.ndarray | None = None):
-        """Rows and classes of TOKENS_AT_ONCE tokens at a time, of the given texts or all."""
-        wanted = np.ones(len(self.tokens), bool) if texts is None else np.repeat(texts, self.sizes)
+        """Features and leaves of TOKENS_AT_ONCE tokens at a time, of the given texts or all."""
+        first = np.repeat(self.starts.astype(np.int32), self.sizes)
+        wanted = None if texts is None else np.repeat(texts, self.sizes)
         for at in range(0, len(self.tokens), TOKENS_AT_ONCE):
             # Three more tokens before, for the features that look back.
             low, high = max(0, at - 3), min(len(self.tokens), at + TOKENS_AT_ONCE)
-            rows = _features(
-                self.hashes[low:high], self.classes[low:high], self.first[low:high] - low, self.table
-            )[:, at - low :]
-            use = wanted[at:high]
-            if use.any():
-                yield at, rows[:, use], self.classes[at:high][use]
-
-
-def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The classes' exponents, one line per token."""
-    scores = weights.take(rows[0], axis=0)
-    for r in rows[1:]:
+            tokens = self.tokens[low:high]
+            leaves = self.word_leaves[tokens]
+            features = _features(self.word_hashes[tokens], leaves // WIDTH, first[low:high] - low)
+            features, leaves = features[:, at - low :], leaves[at - low :]
+            if wanted is None:
+                yield at, features, leaves
+            elif (use := wanted[at:high]).any():
+                yield at, features[:, use], leaves[use]
+
+
+def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """The outcomes' exponents, one line per token."""
+    scores = bias.take(lines, axis=0)
+    for r in rows:
         scores += weights.take(r, axis=0)
-    scores += bias
     # Far beyond what weights reach; keeps the exponentials finite without a pass for the maximum.
     return np.clip(scores, -60, 60, out=scores)
 
 
-def log_probabilities(weights, bias, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probabilities of one class for each token."""
-    scores = _scores(weights, bias, rows)
-    chosen = scores[np.arange(len(classes)), classes].astype(np.float64)
-    return chosen - np.log(np.exp(scores, out=scores).sum(axis=1))
+def log_probabilities(
+    weights: np.ndarray, bias: np.ndarray, features: np.ndarray, leaves: np.ndarray, single: int
+) -> np.ndarray:
+    """Natural logarithms of the probabilities of one bucket, or class of one word, for each token."""
+    found, ones = np.zeros(len(leaves)), np.ones(weights.shape[1], dtype=np.float32)
+    for some, rows, lines, chosen in _levels(features, leaves, single, len(weights)):
+        scores = _scores(weights, bias, rows, lines)
+        found[some] += scores[np.arange(len(some)), chosen]
+        found[some] -= np.log(np.exp(scores, out=scores) @ ones)
+    return found
 
 
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows`` and the sums of their lines of ``values``.
-
-    Sorted by row, neighbours of one row are added in pairs until each row has one line.
-    """
+    """The distinct ``rows`` and the sums of their lines of ``values``."""
     order = np.argsort(rows)
-    rows, values = rows[order], values.take(order, axis=0)
-    while True:
-        place = np.arange(len(rows))
-        new = np.ones(len(rows), dtype=bool)
-        new[1:] = rows[1:] != rows[:-1]
-        if new.all():
-            return rows, values
-        place -= np.maximum.accumulate(np.where(new, place, 0))
-        odd = np.flatnonzero(place & 1)
-        values[odd - 1] += values.take(odd, axis=0)
-        even = np.flatnonzero(place & 1 == 0)
-        rows, values = rows[even], values.take(even, axis=0)
-
-
-def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias) -> int:
+    rows = rows[order]
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    sums = values.take(order[starts], axis=0)
+    # Most rows have one line; only the others are added up.
+    sizes = np.diff(np.append(starts, len(rows)))
+    several = sizes > 1
+    if several.any():
+        lines = values.take(order[np.repeat(several, sizes)], axis=0)
+        sizes = sizes[several]
+        sums[several] = np.add.reduceat(lines, np.cumsum(sizes) - sizes, axis=0)
+    return rows[starts], sums
+
+
+def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias, single: int) -> int:
     """Steps of gradient ascent over a chunk's training texts; returns the tokens seen."""
-    seen = 0
-    for _, rows, classes in coded.parts(learned):
-        n = len(classes)
-        gradient = _scores(weights, bias, rows)
-        np.exp(gradient, out=gradient)
-        gradient *= (-1 / gradient.sum(axis=1))[:, None]
-        gradient[np.arange(n), classes] += 1
-        for r in rows:
-            row, sums = _sums(r, gradient)
-            squares[row] += np.square(sums).mean(axis=1)
-            weights[row] += (RATE / np.sqrt(squares[row] + 1.0))[:, None] * sums
-        seen += n
+    seen, ones = 0, np.ones(WIDTH, dtype=np.float32)
+    for _, features, leaves in coded.parts(learned):
+        for some, rows, lines, chosen in _levels(features, leaves, single, len(weights)):
+            if not len(some):
+                continue
+            gradient = _scores(weights, bias, rows, lines)
+            np.exp(gradient, out=gradient)
+            gradient *= (-1 / (gradient @ ones))[:, None]
+            gradient[np.arange(len(some)), chosen] += 1
+            for r in rows:
+                row, sums = _sums(r, gradient)
+                squares[row] += np.einsum("ij,ij->i", sums, sums) / WIDTH
+                weights[row] += (RATE / np.sqrt(squares[row] + DAMPING))[:, None] * sums
+        seen += len(leaves)
     return seen
 
 
+def _pack_change(change: np.ndarray) -> bytes:
+    return zlib.compress(change.astype(np.float16).tobytes(), 1)
+
+
+def _unpack_change(change: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(change), np.float16).reshape(SLAB_ROWS, WIDTH)
+
+
 def _trained(chunks: DataFrame, model: Model) -> Model:
     """Rounds of updates: tasks learn from their chunks, and their changes are averaged by tokens.
 
@@ -290,28 +336,27 @@ def _trained(chunks: DataFrame, model: Model) -> Model:
                 for row in batch.itertuples(index=False):
                     learned = ~np.asarray(row.held, dtype=bool)
                     if learned.any():
-                        coded = Coded(row, model.classes, len(weights))
-                        seen += _learn(coded, learned, weights, squares, bias)
-            if seen:
-                weights -= model.weights
-                weights *= np.float32(seen)
-                slabs = weights.reshape(-1, SLAB_ROWS, CLASSES)
+                        coded = Coded(row, model.classes)
+                        seen += _learn(coded, learned, weights, squares, bias, model.classes.single)
+            for at in range(0, len(weights) if seen else 0, SLAB_ROWS):
+                change = weights[at : at + SLAB_ROWS] - model.weights[at : at + SLAB_ROWS]
                 yield pd.DataFrame(
                     {
-                        "slab": np.arange(len(slabs)),
+                        "slab": [at // SLAB_ROWS],
                         "tasks": TaskContext.get().partitionId() // TASKS_ADDED,
                         "seen": float(seen),
-                        "change": [zlib.compress(s.tobytes(), 1) for s in slabs],
+                        "change": [_pack_change(change)],
                     }
                 )
 
-        def added(rows: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(SLAB_ROWS * CLASSES, dtype=np.float64)
-            for change in rows["change"]:
-                total += np.frombuffer(zlib.decompress(change), dtype=np.float32)
+        def averaged(rows: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros((SLAB_ROWS, WIDTH), dtype=np.float32)
+            share = rows["seen"] / rows["seen"].sum()
+            for part, change in zip(share, rows["change"], strict=True):
+                total += np.float32(part) * _unpack_change(change)
             found = rows.iloc[:1].copy()
             found["seen"] = rows["seen"].sum()
-            found["change"] = [zlib.compress(total.astype(np.float32).tobytes(), 1)]
+            found["change"] = [_pack_change(total)]
             return found
 
         schema = "slab int, tasks int, seen double, change binary"
@@ -319,47 +364,42 @@ def _trained(chunks: DataFrame, model: Model) -> Model:
             chunks.where(F.pmod(F.col("chunk"), F.lit(ROUNDS)) == round_)
             .select("held", "sizes", "tokens", "vocab")
             .mapInPandas(run, schema)
-            .groupBy("slab", "tasks").applyInPandas(added, schema)
-            .groupBy("slab").applyInPandas(added, schema)
+            .groupBy("slab", "tasks").applyInPandas(averaged, schema)
+            .groupBy("slab").applyInPandas(averaged, schema)
         )
         found = changes.collect()
         shared.destroy()
-        for slab, _, seen, change in found:
-            at = slab * SLAB_ROWS
-            total = np.frombuffer(zlib.decompress(change), np.float32).reshape(SLAB_ROWS, CLASSES)
-            model.weights[at : at + SLAB_ROWS] += total / np.float32(seen)
+        for slab, _, _, change in found:
+            model.weights[slab * SLAB_ROWS : (slab + 1) * SLAB_ROWS] += _unpack_change(change)
     return model
 
 
 def _scored(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(chunk: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         m = model.value
+        row = next(chunk.itertuples(index=False))
+        coded = Coded(row, m.classes)
+        counts = np.zeros(len(coded.word_leaves), dtype=np.int64)
+        counts[told["place"].to_numpy()] = told["total"].to_numpy()
+        base = np.log10((counts + 0.5) / (m.total + 0.5 * (m.distinct + 1)))
+        score = m.in_leaf(counts, coded.word_leaves)[coded.tokens]
         bias = m.bias
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                coded = Coded(row, m.classes, len(m.weights))
-                counts = np.zeros(len(coded.word_classes), dtype=np.int64)
-                if row.places is not None:
-                    counts[np.asarray(row.places)] = np.asarray(row.totals)
-                base = np.log10((counts + 0.5) / (m.total + 0.5 * (m.distinct + 1)))
-                inside = m.in_class(counts, coded.word_classes)
-                score = inside[coded.tokens]
-                for at, rows, classes in coded.parts():
-                    found = log_probabilities(m.weights, bias, rows, classes)
-                    score[at : at + len(classes)] += found / np.log(10)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.arrays.IntegerArray(
-                            np.asarray(row.doc_ids, dtype=np.int64), np.asarray(row.no_id, bool)
-                        ),
-                        "held_out": np.asarray(row.held, dtype=bool),
-                        "n_tokens": coded.sizes,
-                        "n_known": np.add.reduceat((counts > 0)[coded.tokens], coded.starts, dtype=np.int64),
-                        "train_tokens": m.total,
-                        "base_score": np.add.reduceat(base[coded.tokens], coded.starts),
-                        "score": np.add.reduceat(score, coded.starts),
-                    }
-                )
+        for at, features, leaves in coded.parts():
+            found = log_probabilities(m.weights, bias, features, leaves, m.classes.single)
+            score[at : at + len(leaves)] += found / np.log(10)
+        return pd.DataFrame(
+            {
+                "doc_id": pd.arrays.IntegerArray(
+                    np.asarray(row.doc_ids, dtype=np.int64), np.asarray(row.no_id, bool)
+                ),
+                "held_out": np.asarray(row.held, dtype=bool),
+                "n_tokens": coded.sizes,
+                "n_known": np.add.reduceat((counts > 0)[coded.tokens], coded.starts, dtype=np.int64),
+                "train_tokens": m.total,
+                "base_score": np.add.reduceat(base[coded.tokens], coded.starts),
+                "score": np.add.reduceat(score, coded.starts),
+            }
+        )
 
     return run
 
@@ -404,16 +444,16 @@ def _model(totals: DataFrame) -> Model:
     classes = _classes(totals)
 
     @F.pandas_udf("int")
-    def class_of(words: pd.Series) -> pd.Series:
-        return pd.Series(classes.of([bytes(w) for w in words]).astype(np.int32))
+    def leaf(words: pd.Series) -> pd.Series:
+        return pd.Series(classes.leaves([bytes(w) for w in words]).astype(np.int32))
 
-    counts, words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for c, total, distinct in (
-        totals.groupBy(class_of("word")).agg(F.sum("total"), F.count("*")).collect()
+    counts, words = np.zeros(LEAVES), np.zeros(LEAVES)
+    for at, total, distinct in (
+        totals.groupBy(leaf("word")).agg(F.sum("total"), F.count("*")).toLocalIterator()
     ):
-        counts[c], words[c] = total, distinct
+        counts[at], words[at] = total, distinct
     rows = table_rows(int(counts.sum()), int(words.sum()))
-    weights = np.zeros((rows, CLASSES), dtype=np.float32)
+    weights = np.zeros((rows, WIDTH), dtype=np.float32)
     return Model(classes, int(counts.sum()), int(words.sum()), counts, words, weights)
 
 
@@ -426,41 +466,34 @@ def score_documents(
     others, and those without an id, teach. Tokens are words between ASCII white space, A-Z in
     lower case, and one end. ``base_score`` adds up log10((c + 0.5) / (N + 0.5 * (V + 1))) with c
     the token's count, N all and V the distinct tokens of training texts. ``score`` adds up the
-    model's log10 P(class | words before) and log10 P(word | class).
-
-    A class is the end, a frequent word, a frequent beginning of words or a hash of the beginning.
-    P(class | words before) is a softmax of weights of hashed features (the words one and two
-    before, and the pairs of classes one and two, and one and three before); P(word | class) goes by
-    counts. Every
-    training text is learned from: tasks go through their chunks in small steps from a common
-    table of weights, whose changes are averaged. The table has a row for each distinct feature, up to
-    MOST_ROWS, beyond which features share rows; so it may be collected and broadcast; words, counts and texts stay distributed.
+    model's log10 P(group | before) + log10 P(class | group, before) + log10 P(bucket | class,
+    before) + log10 P(word | bucket).
+
+    A class is the end, a frequent word, a frequent beginning of words or a hash of the beginning;
+    WIDTH classes are a group, and the words of a class are dealt to WIDTH buckets by their hash.
+    The first three factors are softmaxes of weights of the same hashed features (the words one and two
+    before, and the pairs of classes one and two, and one and three before), so words before
+    also shift probability between the words of a class. A bucket is one of LEAVES; only within it do
+    words go by counts. Every training text is learned from: tasks go through their chunks in small
+    steps from a common table of weights, whose changes are averaged. The table has a row for each
+    distinct feature, up to MOST_ROWS, beyond which features share rows; so it may be collected and
+    broadcast; words, counts and texts stay distributed.
 
     A null text is empty and has the end alone. Null ids, repeated rows and an empty table come out
-    as they are. Without training texts N and V are 0. Other columns are not read.
+    as they are. Without training texts N and V are 0. Other columns are not read. A chunk is as long
+    as its longest text, if that is beyond CHUNK_BYTES.
     """
     chunks = saved(_chunks(docs, doc_id, text, mod, remainder), "lm-chunks")
-    # One exchange by word serves the totals and the uses that ask for them. Of the uses of a word
-    # one keeps the word itself, so that the table also lists the words.
-    uses = _words(chunks).repartition("word")
-    totals = (
-        uses.groupBy("word").agg(F.sum("uses").alias("total"), F.min("chunk").alias("first"))
-        .where("total > 0")
-    )
     with shuffles_removed(docs.sparkSession):
-        asked = saved(
-            uses.join(totals.hint("merge"), "word").select(
-                "chunk", "place", "total", F.when(F.col("chunk") == F.col("first"), F.col("word")).alias("word")
-            ),
-            "lm-asked",
+        # A table, so that the join meets no aggregate: Spark splits the rows of a word of all chunks.
+        totals = saved(
+            _words(chunks).groupBy("word").agg(F.sum("uses").alias("total")).where("total > 0"),
+            "lm-totals",
         )
-        model = _model(asked.where("word is not null").select("word", "total"))
-        model = _trained(chunks, model)
-    told = asked.groupBy("chunk").agg(
-        F.collect_list("place").alias("places"), F.collect_list("total").alias("totals")
-    )
+        model = _trained(chunks, _model(totals))
+    told = _words(chunks).join(totals.hint("merge"), "word").select("chunk", "place", "total")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return chunks.drop("counts").join(told, "chunk", "left").mapInPandas(
+    return chunks.drop("counts").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
         _scored(shared),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
         " base_score double, score double",
