@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,11 +13,13 @@ from pyspark.sql import functions as F
 
 from anchorctx.llm.common import documents, row_key, saved
 
-# Text that one suffix array covers, and benchmark words searched for in one pass.
+# Text that one suffix array covers, and benchmark words of one block.
 SHARD_BYTES = 4 << 20
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 # Occurrences whose lengths are found at a time.
 AT_ONCE = 1 << 16
+# Bytes of an item that are hashed at a time.
+STRETCH = 4 << 20
 
 SPANS = "array<struct<start:int,end:int>>"
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -86,27 +89,33 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Block:
-    """Benchmark items whose windows are searched for together."""
+    """Benchmark items, or a piece of one, whose windows are searched for together.
 
-    def __init__(self, item_ids: list, texts: list[bytes], window: int):
-        hashes, item = word_hashes(texts)
-        counts = np.bincount(item, minlength=len(texts))
-        ends = np.cumsum(counts)
-        left = ends[item] - np.arange(len(hashes))
+    A long item is cut into pieces with ``window`` - 1 words in common, so that each of its windows
+    is in one piece. ``before`` is the word before the piece, 0 at the beginning of items;
+    ``cut`` tells that the item goes on in the next block.
+    """
+
+    def __init__(
+        self, item_ids: list, words: list[np.ndarray], window: int, before: int = 0, cut: bool = False
+    ):
+        hashes = np.concatenate([np.zeros(0, np.uint64), *words])
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        item = np.repeat(np.arange(len(words)), counts)
+        left = np.cumsum(counts)[item] - np.arange(len(hashes))
         length = np.minimum(counts[item], window)
-        self.window = window
+        self.window, self.before, self.cut = window, before, cut
         self.item_ids = [None if i is None else str(i) for i in item_ids]
-        # Zeros after each item stand for its end; no word has hash 0.
-        self.longest = int(counts.max(initial=0))
-        place = np.arange(len(hashes)) + item * window
-        self.words = np.zeros(len(hashes) + len(texts) * window + self.longest, np.uint64)
-        self.words[place] = hashes
+        # Zeros around each item stand for its ends; no word has hash 0.
+        place = 1 + np.arange(len(hashes)) + item * window
+        self.words = np.zeros(1 + len(hashes) + (len(words) + 1) * window, np.uint64)
+        self.words[0], self.words[place] = before, hashes
+        self.end = 1 + len(hashes)  # of the item, where it is the only one
         self.starts = place[left >= length]
-        self.lengths = length[left >= length]
+        lengths = length[left >= length]
         self.items = item[left >= length]
-        self.left = left[left >= length]
         rows = self.words[self.starts[:, None] + np.arange(window)]
-        rows[np.arange(window) >= self.lengths[:, None]] = 0
+        rows[np.arange(window) >= lengths[:, None]] = 0
         # Equal windows are searched for once: by_window lists the starts of each.
         self.patterns, which = np.unique(rows, axis=0, return_inverse=True)
         which = which.reshape(-1)
@@ -145,103 +154,190 @@ def _expanded(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return which, np.arange(len(which)) - begin[which] + first[which]
 
 
-def search(texts: list[bytes], block: Block) -> pd.DataFrame:
-    """One row per text: its words, and spans, items and the longest match found in it."""
+def _lengths(words: np.ndarray, at: np.ndarray, other: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many words from ``at`` on equal those of ``other`` from ``start`` on; both end in zeros."""
+    length = np.zeros(len(at), dtype=np.int64)
+    going, step = np.arange(len(at)), 16
+    while len(going):
+        columns = np.arange(step)
+        here = words[np.minimum((at[going] + length[going])[:, None] + columns, len(words) - 1)]
+        there = other[np.minimum((start[going] + length[going])[:, None] + columns, len(other) - 1)]
+        same = (here == there) & (here != 0)
+        run = np.where(same.all(axis=1), step, same.argmin(axis=1))
+        length[going] += run
+        going = going[run == step]
+        step = max(16, min(2 * step, AT_ONCE * 16 // max(1, len(going))))
+    return length
+
+
+def search(texts: list[bytes], blocks: Iterable[Block], window: int) -> pd.DataFrame:
+    """One row per text: its words, and spans, items and the longest match found in it.
+
+    The suffix array is made once for all blocks. A longest match begins where the
+    words before differ, so only such occurrences are followed to their ends, from piece to piece of an item.
+    """
     hashes, text = word_hashes(texts)
     counts = np.bincount(text, minlength=len(texts))
     offsets = np.cumsum(counts + 1) - counts - 1
-    place = np.arange(len(hashes)) + text
     size = len(hashes) + len(texts)
     # A zero after each text, and enough at the end for every comparison.
-    words = np.zeros(size + block.window + block.longest + 1, dtype=np.uint64)
-    words[place] = hashes
+    words = np.zeros(size + window + 1, dtype=np.uint64)
+    words[np.arange(len(hashes)) + text] = hashes
     of = np.repeat(np.arange(len(texts)), counts + 1)
-    out = pd.DataFrame({"n_words": counts.astype(np.int64)})
-    empty = [[] for _ in texts]
-    out["spans"], out["items"] = empty, empty
-    out["longest"] = out["longest_at"] = 0
-    out["longest_item"] = None
-    if not len(hashes) or not len(block.patterns):
-        return out
-    order = suffix_array(words[:size], block.longest)
-    low, high = _bounds(words, order, block)
-    window, member = _expanded(low, high - low)
-    if not len(window):
-        return out
-    position = order[member]
-
+    order = suffix_array(words[:size], window) if len(hashes) else np.zeros(0, np.int64)
     cover = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(cover, position, 1)
-    np.add.at(cover, position + block.pattern_lengths[window], -1)
-    edges = np.flatnonzero(np.diff(np.cumsum(cover) > 0, prepend=False))
+    named: list[list] = [[] for _ in texts]
+    longest = np.zeros(len(texts), dtype=np.int64)
+    longest_at = np.zeros(len(texts), dtype=np.int64)
+    longest_item: list = [None] * len(texts)
+    # Matches up to the end of a piece: where they began, and how long they are so far.
+    open_at = open_length = np.zeros(0, dtype=np.int64)
+
+    def met(block: Block, at: np.ndarray, length: np.ndarray, item: np.ndarray) -> None:
+        """Of a text's matches the longest counts, of equal ones the first."""
+        best = np.lexsort((at, -length))
+        t, first = np.unique(of[at[best]], return_index=True)
+        best = best[first]
+        better = length[best] > longest[t]
+        t, best = t[better], best[better]
+        longest[t], longest_at[t] = length[best], at[best] - offsets[t]
+        for one, i in zip(t.tolist(), item[best].tolist(), strict=True):
+            longest_item[one] = block.item_ids[i]
+
+    for block in blocks:
+        if not len(hashes) or not len(block.patterns):
+            continue
+        going_at, going_length = [], []
+        if len(open_at):
+            # The pieces have these words in common.
+            start = np.full(len(open_at), 1 + window - 1)
+            more = _lengths(words, open_at + open_length, block.words, start)
+            met(block, open_at, open_length + more, np.zeros(len(open_at), np.int64))
+            on = (start + more == block.end) & block.cut
+            going_at.append(open_at[on])
+            going_length.append((open_length + more)[on])
+        low, high = _bounds(words, order, block)
+        found, member = _expanded(low, high - low)
+        position = order[member]
+        np.add.at(cover, position, 1)
+        np.add.at(cover, position + block.pattern_lengths[found], -1)
+        seen, items = len(block.patterns), len(block.item_ids)
+        each = np.diff(block.first)
+        pairs = np.unique(of[position].astype(np.int64) * seen + found)
+        line, entry = _expanded(block.first[pairs % seen], each[pairs % seen])
+        pairs = np.unique((pairs // seen)[line] * items + block.items[block.by_window[entry]])
+        for t, i in zip((pairs // items).tolist(), (pairs % items).tolist(), strict=True):
+            if block.item_ids[i] is not None:
+                named[t].append(block.item_ids[i])
+        # Parts of some AT_ONCE pairs of an occurrence and a place in the benchmark.
+        part = (np.cumsum(each[found]) - each[found]) // AT_ONCE
+        edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+        for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            line, entry = _expanded(block.first[found[begin:end]], each[found[begin:end]])
+            which = block.by_window[entry]
+            at, start = position[begin:end][line], block.starts[which]
+            # The word before the first text is the zero at the end.
+            back = words[at - 1]
+            maximal = (back == 0) | (back != block.words[start - 1])
+            at, start, item = at[maximal], start[maximal], block.items[which[maximal]]
+            length = _lengths(words, at, block.words, start)
+            met(block, at, length, item)
+            on = (start + length == block.end) & block.cut
+            going_at.append(at[on])
+            going_length.append(length[on])
+        none = [np.zeros(0, np.int64)]
+        open_at, open_length = (np.concatenate(none + x) for x in (going_at, going_length))
+
     spans: list[list] = [[] for _ in texts]
+    edges = np.flatnonzero(np.diff(np.cumsum(cover) > 0, prepend=False))
     for start, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
         t = of[start]
         spans[t].append({"start": int(start - offsets[t]), "end": int(end - offsets[t])})
+    return pd.DataFrame(
+        {
+            "n_words": counts.astype(np.int64),
+            "spans": spans,
+            "items": named,
+            "longest": longest,
+            "longest_at": longest_at,
+            "longest_item": longest_item,
+        }
+    )
 
-    seen, items = len(block.patterns), len(block.item_ids)
-    met = np.unique(of[position].astype(np.int64) * seen + window)
-    line, entry = _expanded(block.first[met % seen], np.diff(block.first)[met % seen])
-    pairs = np.unique((met // seen)[line] * items + block.items[block.by_window[entry]])
-    named: list[list] = [[] for _ in texts]
-    for t, i in zip((pairs // items).tolist(), (pairs % items).tolist(), strict=True):
-        if block.item_ids[i] is not None:
-            named[t].append(block.item_ids[i])
 
-    longest = np.zeros(len(texts), dtype=np.int64)
-    longest_at = np.zeros(len(texts), dtype=np.int64)
-    longest_item = np.zeros(len(texts), dtype=np.int64)
-    steps = np.arange(block.longest + 1)
-    rows = max(1, AT_ONCE * block.window // len(steps))
-    for at in range(0, len(window), rows):
-        line, entry = _expanded(block.first[window[at : at + rows]],
-                                np.diff(block.first)[window[at : at + rows]])
-        here, start = position[at : at + rows][line], block.by_window[entry]
-        for part in range(0, len(here), rows):
-            p, s = here[part : part + rows], start[part : part + rows]
-            same = words[p[:, None] + steps] == block.words[block.starts[s][:, None] + steps]
-            same &= steps < block.left[s][:, None]
-            length = np.where(same.all(axis=1), len(steps), same.argmin(axis=1))
-            best = np.lexsort((-p, length))
-            t = of[p[best]]
-            better = length[best] > longest[t]
-            t, best = t[better], best[better]
-            longest[t], longest_at[t] = length[best], p[best] - offsets[t]
-            longest_item[t] = block.items[s[best]]
-    out["spans"], out["items"] = spans, named
-    out["longest"], out["longest_at"] = longest, longest_at
-    out["longest_item"] = [
-        block.item_ids[i] if n else None
-        for i, n in zip(longest_item.tolist(), longest.tolist(), strict=True)
-    ]
-    return out
+def _item_words(body: bytes) -> np.ndarray:
+    """Hashes of an item's words, some megabytes at a time, cut between words."""
+    found, at = [], 0
+    while at < len(body):
+        end = min(at + STRETCH, len(body))
+        while end < len(body) and IN_WORD[LOWER[body[end]]]:
+            end += 1
+        found.append(word_hashes([body[at:end]])[0])
+        at = end
+    return np.concatenate([np.zeros(0, np.uint64), *found])
+
+
+def item_blocks(items: Iterable[tuple], window: int, block_words: int) -> Iterator[Block]:
+    """Blocks of some ``block_words`` words from items (id, text); longer items are cut."""
+    ids, held, size = [], [], 0
+    for item, body in items:
+        words = _item_words(body)
+        if len(words) <= max(block_words, window):
+            ids.append(item)
+            held.append(words)
+            size += len(words)
+            if size < block_words:
+                continue
+        if ids:
+            yield Block(ids, held, window)
+            ids, held, size = [], [], 0
+        if len(words) > max(block_words, window):
+            starts = len(words) - window + 1
+            for at in range(0, starts, block_words):
+                end = min(at + block_words, starts) + window - 1
+                before = words[at - 1] if at else 0
+                yield Block([item], [words[at:end]], window, before, end < len(words))
+    if ids:
+        yield Block(ids, held, window)
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int):
-    """The benchmark in blocks of a bounded number of bytes, one in the driver at a time."""
-    rows = benchmark.select(F.col(item_id), F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    ids, texts, size = [], [], 0
-    for item, body in rows.toLocalIterator():
-        ids.append(item)
-        texts.append(bytes(body))
-        size += len(body) // 2 + 1  # no fewer than its words
-        if size >= block_words:
-            yield Block(ids, texts, window)
-            ids, texts, size = [], [], 0
-    yield Block(ids, texts, window)
-
-
-def _searched(rows: DataFrame, block: Block) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(block)
+    """The benchmark's blocks, made by tasks; one task's are in the driver at a time."""
+    rows = benchmark.select(
+        F.col(item_id).cast("string").alias("item"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"),
+    )
+    # A word and what is around it have two bytes or more.
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        for block in item_blocks(items, window, block_words):
+            yield pd.DataFrame({"block": [pickle.dumps(block, protocol=5)]})
+
+    # Few items in each of many partitions would be as many blocks.
+    made = rows.coalesce(size // 2 // block_words + 1).mapInPandas(run, "block binary")
+    for (block,) in made.toLocalIterator():
+        yield benchmark.sparkSession.sparkContext.broadcast(bytes(block))
+
+
+def _searched(rows: DataFrame, blocks: list, window: int) -> DataFrame:
+    def loaded() -> Iterator[Block]:
+        """The blocks one after the other; the worker keeps none of them but a single one."""
+        for shared in blocks:
+            yield pickle.loads(shared.value)
+            if len(blocks) > 1:
+                vars(shared).pop("_value", None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = list(loaded()) if len(blocks) == 1 else None
         for batch in batches:
             batch = batch.reset_index(drop=True)
             sizes = np.cumsum(batch["body"].str.len().to_numpy())
             shard = (sizes - 1).clip(0) // SHARD_BYTES
             for _, part in batch.groupby(shard, sort=True):
                 part = part.reset_index(drop=True)
-                found = search(part["body"].tolist(), shared.value)
+                found = search(part["body"].tolist(), loaded() if kept is None else kept, window)
                 yield pd.concat([part.drop(columns="body"), found], axis=1)
 
     return rows.mapInPandas(
@@ -287,9 +383,12 @@ def benchmark_matches(
     once), n_hit, and the longest verbatim match: its words, first word and item.
 
     Each batch of documents, some megabytes, gets a suffix array over hashes of its words, in
-    which every suffix of the benchmark is looked up by binary search. The benchmark is gone
-    through in blocks of at most ``block_words`` words or one item; only a block at a
-    time is sent to the executors. Words are told apart by 64-bit hashes.
+    which every suffix of the benchmark is looked up by binary search. Tasks make blocks of some
+    ``block_words`` words of the benchmark and cut longer items; a task over documents goes through all blocks, one
+    in memory at a time, so the documents are read and their suffixes sorted once. Each block is
+    broadcast by itself, its size bounded by ``block_words``; together they take some 100 bytes a
+    benchmark word of an executor's disk. Words are told apart by 64-bit hashes. Of longest matches of equal length
+    the first in the text counts, then the first in the benchmark's blocks.
 
     Null texts have no words, an item without id hits words but is not listed, ids in several
     items count once, repeated documents come out as often as they came in, and an empty
@@ -300,40 +399,22 @@ def benchmark_matches(
         row_key(doc_id, text).alias("row_key"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"),
     )
-    result, more = None, []
-    for block in _blocks(benchmark, item_id, item_text, window, block_words):
-        if result is None:
-            result = saved(_searched(rows, block), "benchmark-hits")
-        else:
-            hits = _searched(rows, block).where(F.size("spans") > 0).drop("doc_id", "n_words")
-            more.append(saved(hits.dropDuplicates(["row_key"]), "benchmark-hits"))
-    if more:
-        found = result.where(F.size("spans") > 0).drop("doc_id", "n_words")
-        found = found.dropDuplicates(["row_key"])
-        for hits in more:
-            found = found.unionByName(hits)
-        merged = found.groupBy("row_key").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-            F.max(F.struct("longest", "longest_at", "longest_item")).alias("best"),
-        )
-        merged = merged.select("row_key", "spans", "items", "best.*")
-        plain = result.select("doc_id", "row_key", "n_words")
-        result = plain.join(merged, "row_key", "left").withColumns(
-            {
-                "spans": F.coalesce("spans", F.from_json(F.lit("[]"), SPANS)),
-                "items": F.coalesce("items", F.array().cast("array<string>")),
-                "longest": F.coalesce("longest", F.lit(0)),
-                "longest_at": F.coalesce("longest_at", F.lit(0)),
-            }
-        )
+    blocks = list(_blocks(benchmark, item_id, item_text, window, block_words))
+    result = saved(_searched(rows, blocks, window), "benchmark-hits")
+    for block in blocks:
+        block.destroy()
     return result.withColumn("items", F.array_sort(F.array_distinct("items"))).withColumn(
         "n_hit", _covered("spans")
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents in which a benchmark passage occurs."""
+    """``docs`` without the documents in which a benchmark passage occurs.
+
+    All columns are kept as they are; columns of other names, such as those of the benchmark or of
+    the matches, may occur in ``docs``. Documents without text or words stay, rows equal in id and text
+    stay or go together, null ids are ids like any other, and an empty benchmark keeps everything.
+    """
     key = row_key(options.get("doc_id", "doc_id"), options.get("text", "text"))
     hit = benchmark_matches(docs, benchmark, **options).where("n_hit > 0")
     hit = hit.select(F.col("row_key").alias("_row_key")).distinct()

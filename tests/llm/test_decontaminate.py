@@ -11,6 +11,7 @@ from anchorctx.llm.decontaminate import (
     Block,
     benchmark_matches,
     decontaminate,
+    item_blocks,
     search,
     suffix_array,
     word_hashes,
@@ -73,6 +74,10 @@ def measured(table, benchmark, **options):
     return sorted((tuple(r) for r in rows), key=str)
 
 
+def hashed(texts):
+    return [word_hashes([t.encode()])[0] for t in texts]
+
+
 def items(spark, rows=ITEMS):
     return spark.createDataFrame(rows, "item_id bigint, text string")
 
@@ -135,14 +140,63 @@ def test_shards_of_one_task(spark, monkeypatch):
     import anchorctx.llm.decontaminate as module
 
     monkeypatch.setattr(module, "SHARD_BYTES", 50)
-    found = module.search([t.encode() for _, t in ROWS], module.Block([1], [PASSAGE.encode()], 10))
+    block = module.Block([1], hashed([PASSAGE]), 10)
+    found = module.search([t.encode() for _, t in ROWS], [block], 10)
     assert found["items"].tolist() == [["1"], [], [], ["1"], [], [], [], []]
     given(spark)
 
 
 def test_a_long_item_among_short_ones_takes_no_room_for_each():
-    texts = [b"w " * 20_000] + [b"a few words"] * 2_000
-    block = Block([*range(len(texts))], texts, 10)
+    texts = ["w " * 20_000] + ["a few words"] * 2_000
+    block = Block([*range(len(texts))], hashed(texts), 10)
     assert len(block.words) <= 26_000 + 10 * len(texts) + 20_000
-    found = search([b"x a few words y " + b"w " * 12], block)
+    found = search([b"x a few words y " + b"w " * 12], [block], 10)
     assert found["longest"].tolist() == [12] and len(found["items"][0]) == len(texts)
+
+
+@pytest.mark.parametrize("block_words", [1, 7, 64])
+def test_long_items_in_pieces(block_words):
+    """Matches that go on from piece to piece, with repeated words and several diagonals."""
+    choices = random.Random(block_words)
+    long = [" ".join(choices.choices(["u", "v"], weights=[9, 1], k=150)) for _ in range(2)]
+    rows = [(i, f"x {long[i % 2][a : a + 2 * n]} y {long[0][:40]}") for i, (a, n) in enumerate(
+        [(0, 150), (30, 100), (31, 60), (200, 90), (280, 20), (10, 9), (0, 4)])]
+    listed = [(1, long[0]), (2, "u v u"), (3, long[1])]
+    made = list(item_blocks([(i, t.encode()) for i, t in listed], 10, block_words))
+    assert len(made) > 3
+    found = search([t.encode() for _, t in rows], made, 10)
+    got = [
+        (d, f.n_words, sum(s["end"] - s["start"] for s in f.spans), sorted(set(f.items)), f.longest)
+        for (d, _), f in zip(rows, found.itertuples(), strict=True)
+    ]
+    assert got == expected(rows, listed)
+
+
+def test_a_benchmark_of_many_blocks_reads_the_documents_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    choices = random.Random(3)
+    rows = [(i, " ".join(choices.choices("abcdefgh", k=30))) for i in range(40)]
+    listed = [(i, t) for i, t in rows[:20]]
+    table = docs(spark, rows)
+    found = measured(table.mapInPandas(counted, table.schema), items(spark, listed), block_words=30)
+    assert read.value == len(rows)
+    assert found == expected(rows, listed)
+
+
+def test_an_item_of_ten_megabytes():
+    choices = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    book = " ".join(choices.choices(vocabulary, k=1_900_000))
+    assert len(book) > 10_000_000
+    part = book[3_000_000:5_500_000]
+    n = len(part.split()) - 2
+    blocks = item_blocks([(1, book.encode())], 10, 1 << 18)
+    row = search([b"begin " + part.split(" ", 1)[1].rsplit(" ", 1)[0].encode() + b" end"], blocks, 10).iloc[0]
+    assert (row.n_words, row.longest, row.longest_at, row["items"][0]) == (n + 2, n, 1, "1")
+    assert row.spans == [{"start": 1, "end": n + 1}]
