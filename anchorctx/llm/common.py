@@ -82,6 +82,21 @@ def row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """The name, or one like it that is no column of ``docs``."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is among ``keys``; columns of any names stay as they are."""
+    name = unused("_row_key", docs)
+    gone = keys.select(F.col("row_key").alias(name)).distinct()
+    return docs.withColumn(name, row_key(doc_id, text)).join(gone, name, "left_anti").drop(name)
+
+
 def held_out(doc_id: str, mod: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % mod == remainder, F.lit(False))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import documents, row_key, saved
+from anchorctx.llm.common import documents, row_key, saved, without_keys
 
 # Text that one suffix array covers, and benchmark words of one block.
 SHARD_BYTES = 4 << 20
@@ -415,14 +415,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     the matches, may occur in ``docs``. Documents without text or words stay, rows equal in id and text
     stay or go together, null ids are ids like any other, and an empty benchmark keeps everything.
     """
-    key = row_key(options.get("doc_id", "doc_id"), options.get("text", "text"))
     hit = benchmark_matches(docs, benchmark, **options).where("n_hit > 0")
-    hit = hit.select(F.col("row_key").alias("_row_key")).distinct()
-    return (
-        docs.withColumn("_row_key", key)
-        .join(hit, "_row_key", "left_anti")
-        .select(*docs.columns)
-    )
+    return without_keys(docs, hit, options.get("doc_id", "doc_id"), options.get("text", "text"))
 
 
 def op10_benchmark_hits(spark, sf_dir):

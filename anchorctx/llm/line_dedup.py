@@ -19,6 +19,7 @@ from anchorctx.llm.common import (
     saved,
     shuffles_removed,
     text_or_empty,
+    unused,
 )
 
 # Characters of a shingle, a power of two. Four, so that a character changed inside a line of forty
@@ -563,22 +564,23 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     table gives an empty result; other columns are passed on.
     """
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
+    key, places = unused("_row_key", docs), unused("_repeats", docs)
     repeats = repeated_lines(docs, **options).select(
-        F.col("row_key").alias("_row_key"), F.col("repeats").alias("_repeats")
+        F.col("row_key").alias(key), F.col("repeats").alias(places)
     )
     kept = F.array_join(
         F.filter(
             F.split(F.col(text), "\n"),
-            lambda line, at: ~F.array_contains(F.col("_repeats"), at),
+            lambda line, at: ~F.array_contains(F.col(places), at),
         ),
         "\n",
     )
-    cleaned = F.when(F.col("_repeats").isNull(), F.col(text)).otherwise(kept)
+    cleaned = F.when(F.col(places).isNull(), F.col(text)).otherwise(kept)
     return (
-        docs.withColumn("_row_key", row_key(doc_id, text))
-        .join(repeats, "_row_key", "left")
+        docs.withColumn(key, row_key(doc_id, text))
+        .join(repeats, key, "left")
         .withColumn(text, cleaned)
-        .select(*docs.columns)
+        .drop(key, places)
     )
 
 

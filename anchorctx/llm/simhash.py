@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import connected_components, discard, documents, row_key, saved
+from anchorctx.llm.common import connected_components, discard, documents, row_key, saved, unused
 
 BITS = 64
 SEED = 42
@@ -225,22 +225,23 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of ``simhash_groups``: one of the least id.
 
     Null ids come last; of rows with that id, the one whose text has the least hash stays, once.
-    Columns are kept.
+    Columns are kept as they are, whatever their names.
     """
+    name, copy = unused("_row_key", docs), unused("_copy", docs)
     key = row_key(options.get("doc_id", "doc_id"), options.get("text", "text"))
     stays = (
         simhash_groups(docs, **options)
         .groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("_first"))
-        .select(F.col("_first.row_key").alias("_row_key"))
+        .select(F.col("_first.row_key").alias(name))
     )
-    copies = Window.partitionBy("_row_key").orderBy("_row_key")
+    copies = Window.partitionBy(name).orderBy(name)
     return (
-        docs.withColumn("_row_key", key)
-        .join(stays, "_row_key", "left_semi")
-        .withColumn("_copy", F.row_number().over(copies))
-        .where("_copy = 1")
-        .select(*docs.columns)
+        docs.withColumn(name, key)
+        .join(stays, name, "left_semi")
+        .withColumn(copy, F.row_number().over(copies))
+        .where(F.col(copy) == 1)
+        .drop(name, copy)
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorctx.llm.common import documents, held_out, row_key, saved
+from anchorctx.llm.common import documents, held_out, saved, without_keys
 from anchorctx.llm.training import byte_shares, labelled_sample, with_statistics
 
 # Labelled rows learned from, at most; a part of them calibrates.
@@ -198,14 +198,14 @@ def _fitted(known: DataFrame):
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that ``score_toxicity`` predicts to be toxic; columns are kept."""
-    key = row_key(options.get("doc_id", "doc_id"), options.get("text", "text"))
+    """``docs`` without the rows that ``score_toxicity`` predicts to be toxic.
+
+    All columns are kept as they are, whatever their names. Rows equal in id and text stay or go
+    together, null and empty texts are scored as empty ones, null ids are ids like any other. Where the
+    labels are of one kind or missing, all texts have one score, and an empty table gives an empty one.
+    """
     toxic = score_toxicity(docs, labels, **options).where("predicted = 1")
-    return (
-        docs.withColumn("_row_key", key)
-        .join(toxic.select(F.col("row_key").alias("_row_key")).distinct(), "_row_key", "left_anti")
-        .select(*docs.columns)
-    )
+    return without_keys(docs, toxic, options.get("doc_id", "doc_id"), options.get("text", "text"))
 
 
 def op7_toxicity(spark, sf_dir):
