@@ -40,9 +40,10 @@ SIGNED_AT_ONCE = 1 << 16
 SLOT_ROWS = 1024
 SLOT_CHARACTERS = 1 << 20
 PAIRS_AT_ONCE = 256
-# Lines whose sketches are made at a time, and bits of a sketch.
+# Lines whose sketches are made, and pairs of rows whose sketches are compared, at a time; bits of a sketch.
 SKETCHED_AT_ONCE = 512
-SKETCH_BITS = 256
+COMPARED_AT_ONCE = 1 << 14
+SKETCH_BITS = 512
 # Bits of the filter that spares lines without candidates a shuffle, and words of a slab of it.
 FILTER_BITS = 1 << 27
 SLAB = 1 << 13
@@ -170,17 +171,6 @@ def sketches(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return sizes, bits
 
 
-def _sketch(lines: Column) -> Column:
-    names = [f"bits{i}" for i in range(SKETCH_BITS // 64)]
-
-    @F.pandas_udf("size int, " + ", ".join(f"{name} bigint" for name in names))
-    def sketch(lines: pd.Series) -> pd.DataFrame:
-        sizes, bits = sketches(lines.tolist())
-        return pd.DataFrame({"size": sizes} | dict(zip(names, bits.T, strict=True)))
-
-    return sketch(lines)
-
-
 def _maybe_similar(a: Column, b: Column, similarity: float) -> Column:
     """False only where the sketches prove that two lines are less similar than asked for.
 
@@ -206,47 +196,69 @@ def _parts(lines: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def _banded(docs: DataFrame, text: str) -> DataFrame:
-    """(line, band): the bands of each distinct line of a stretch of documents.
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Hashes and texts of the distinct lines, not blank, of stretches of documents.
 
     A line that occurred in the task's latest stretches is left out; copies that remain do no harm.
     """
+    known: set[int] = set()
+    for batch in batches:
+        held: dict[str, None] = {}
+        size = 0
+        for text in [*batch.column(0).to_pylist(), None]:
+            if text is not None:
+                lines = text.split("\n")
+                held.update(dict.fromkeys(x for x in lines if x.strip(" \t\v\f\r")))
+                size += len(text)
+            if held and (text is None or size >= TEXT_AT_ONCE):
+                named = {xxhash.xxh64_intdigest(x.encode(), SEED): x for x in held}
+                held, size = {}, 0
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                for key in named.keys() & known:
+                    del named[key]
+                known.update(named)
+                if named:
+                    yield np.array(list(named), dtype=np.uint64).view(np.int64), list(named.values())
+
+
+def _banded(docs: DataFrame, text: str) -> DataFrame:
+    """(line, band): the bands of each distinct line of a stretch of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
-        for batch in batches:
-            held: dict[str, None] = {}
-            size = 0
-            for text in [*batch.column(0).to_pylist(), None]:
-                if text is not None:
-                    lines = text.split("\n")
-                    held.update(dict.fromkeys(x for x in lines if x.strip(" \t\v\f\r")))
-                    size += len(text)
-                if held and (text is None or size >= TEXT_AT_ONCE):
-                    named = {xxhash.xxh64_intdigest(x.encode(), SEED): x for x in held}
-                    held, size = {}, 0
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    for key in named.keys() & known:
-                        del named[key]
-                    known.update(named)
-                    if not named:
-                        continue
-                    lines, keys = list(named.values()), np.array(list(named), dtype=np.uint64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(keys, BANDS).view(np.int64)),
-                            pa.array(
-                                np.concatenate([band_hashes(part) for part in _parts(lines)])
-                                .reshape(-1).view(np.int64)
-                            ),
-                        ],
-                        ["line", "band"],
-                    )
+        for keys, lines in _stretches(batches):
+            bands = np.concatenate([band_hashes(part) for part in _parts(lines)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(keys, BANDS)), pa.array(bands.reshape(-1).view(np.int64))],
+                ["line", "band"],
+            )
 
     return docs.select(F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, "line bigint, band bigint")
 
 
+def _sketched(docs: DataFrame, text: str, among: Filter) -> DataFrame:
+    """(line, sketch) of the lines that may be among those of a filter, each once."""
+    names = ["size", *[f"bits{i}" for i in range(SKETCH_BITS // 64)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, lines in _stretches(batches):
+            wanted = np.flatnonzero(among.holds(keys))
+            sizes, bits = sketches([lines[i] for i in wanted.tolist()])
+            columns = [keys[wanted], sizes.astype(np.int64), *bits.T]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(x)) for x in columns], ["line", *names]
+            )
+
+    schema = ", ".join(f"{name} bigint" for name in ["line", *names])
+    return (
+        docs.select(F.coalesce(F.col(text), F.lit("")))
+        .mapInArrow(run, schema)
+        # Copies of a line have one sketch, so any of each number will do.
+        .groupBy("line").agg(*[F.max(name).alias(name) for name in names])
+        .select("line", F.struct(*names).alias("sketch"))
+    )
+
+
 def _met(banded: DataFrame) -> DataFrame:
     """(band, line, pivot): the lines of bands that several share, with one of them, the pivot.
 
@@ -299,48 +311,71 @@ def _filter_places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [mixed % np.uint64(bits), (mixed >> np.uint64(20)) * ODD[5] % np.uint64(bits)]
 
 
-def _maybe_in(keys: DataFrame, bits: int) -> Column:
-    """Whether ``line`` may be among ``keys``: a Bloom filter of ``bits`` bits, whatever the data.
+class Filter:
+    """A Bloom filter of ``bits`` bits for the ``line`` column of ``keys``, whatever the data.
 
     Tasks put its words together to slabs of bytes, and the driver has a few hundred of these.
     """
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            places = np.concatenate(_filter_places(batch["line"].to_numpy(), bits))
-            yield pd.DataFrame(
-                {
-                    "word": (places >> np.uint64(6)).astype(np.int64),
-                    "bits": (np.uint64(1) << (places & np.uint64(63))).view(np.int64),
-                }
-            )
+    def __init__(self, keys: DataFrame, bits: int = FILTER_BITS):
+        self.bits = bits
+
+        def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                places = np.concatenate(_filter_places(batch["line"].to_numpy(), bits))
+                yield pd.DataFrame(
+                    {
+                        "word": (places >> np.uint64(6)).astype(np.int64),
+                        "bits": (np.uint64(1) << (places & np.uint64(63))).view(np.int64),
+                    }
+                )
+
+        def slab(rows: pd.DataFrame) -> pd.DataFrame:
+            word = rows["word"].to_numpy(np.int64)
+            held = np.zeros(SLAB, dtype=np.int64)
+            held[word % SLAB] = rows["bits"].to_numpy(np.int64)
+            return pd.DataFrame({"slab": [word[0] // SLAB], "held": [held.tobytes()]})
+
+        slabs = (
+            keys.mapInPandas(words, "word bigint, bits bigint")
+            .groupBy("word").agg(F.bit_or("bits").alias("bits"))
+            .groupBy(F.expr(f"word div {SLAB}")).applyInPandas(slab, "slab bigint, held binary")
+        )
+        table = np.zeros(bits // 64, dtype=np.uint64)
+        for row in slabs.collect():
+            at = row["slab"] * SLAB
+            table[at : at + SLAB] = np.frombuffer(row["held"], np.uint64)
+        self.shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    def holds(self, lines: np.ndarray) -> np.ndarray:
+        """Which of the lines may be among the keys."""
+        yes = np.ones(len(lines), dtype=bool)
+        for places in _filter_places(lines, self.bits):
+            held = self.shared.value[(places >> np.uint64(6)).astype(np.int64)]
+            yes &= (held >> (places & np.uint64(63))) & np.uint64(1) == 1
+        return yes
 
-    def slab(rows: pd.DataFrame) -> pd.DataFrame:
-        word = rows["word"].to_numpy(np.int64)
-        held = np.zeros(SLAB, dtype=np.int64)
-        held[word % SLAB] = rows["bits"].to_numpy(np.int64)
-        return pd.DataFrame({"slab": [word[0] // SLAB], "held": [held.tobytes()]})
+    def column(self) -> Column:
+        """The same for the column ``line``."""
 
-    slabs = (
-        keys.mapInPandas(words, "word bigint, bits bigint")
-        .groupBy("word").agg(F.bit_or("bits").alias("bits"))
-        .groupBy(F.expr(f"word div {SLAB}")).applyInPandas(slab, "slab bigint, held binary")
-    )
-    table = np.zeros(bits // 64, dtype=np.uint64)
-    for row in slabs.collect():
-        at = row["slab"] * SLAB
-        table[at : at + SLAB] = np.frombuffer(row["held"], np.uint64)
-    shared = keys.sparkSession.sparkContext.broadcast(table)
+        @F.pandas_udf("boolean")
+        def maybe(lines: pd.Series) -> pd.Series:
+            return pd.Series(self.holds(lines.to_numpy(dtype=np.int64)))
 
-    @F.pandas_udf("boolean")
-    def maybe(lines: pd.Series) -> pd.Series:
-        yes = np.ones(len(lines), dtype=bool)
-        for places in _filter_places(lines.to_numpy(dtype=np.int64), bits):
-            held = shared.value[(places >> np.uint64(6)).astype(np.int64)]
-            yes &= (held >> (places & np.uint64(63))) & np.uint64(1) == 1
-        return pd.Series(yes)
+        return maybe(F.col("line"))
 
-    return maybe(F.col("line"))
+
+def _words(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(line, words): the texts of the lines ``keys``, as a table."""
+    return saved(
+        _lines(docs, doc_id, text)
+        .select("line", "words")
+        .where(Filter(keys).column())
+        # Copies of a common line are one before they are shuffled.
+        .groupBy("line").agg(F.min("words").alias("words"))
+        .join(keys, "line", "left_semi"),
+        "lines-words",
+    )
 
 
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -374,13 +409,24 @@ def _maybe_joined(similarity: float):
         sizes, parts = rows["size"].to_numpy(np.int64), rows["component"].to_numpy()
         values = rows[key].to_numpy()
         edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        starts = np.concatenate([[0], edges])
+        counts = np.diff(np.append(starts, len(rows)))
         keep = np.zeros(len(rows), dtype=bool)
-        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
-            for i in range(a, b):
-                differ = np.bitwise_count(bits[:, a:b] ^ bits[:, i : i + 1]).sum(axis=0, dtype=np.int64)
-                differ = np.maximum(differ, np.abs(sizes[a:b] - sizes[i]))
-                allowed = (sizes[a:b] + sizes[i]) * (1 - similarity) + 1e-6
-                keep[i] = ((differ * (1 + similarity) <= allowed) & (parts[a:b] != parts[i])).any()
+        # Buckets of one number of rows are compared together, some COMPARED_AT_ONCE pairs of rows at a time.
+        for n in np.unique(counts).tolist():
+            of_size = starts[counts == n]
+            step, rows_at_once = max(1, COMPARED_AT_ONCE // (n * n)), max(1, COMPARED_AT_ONCE // n)
+            for at in range(0, len(of_size), step):
+                all_ = of_size[at : at + step, None] + np.arange(n)
+                for low in range(0, n, rows_at_once):
+                    some = all_[:, low : low + rows_at_once]
+                    one, two = some[:, :, None], all_[:, None, :]
+                    differ = np.abs(sizes[one] - sizes[two])
+                    bits_differ = np.bitwise_count(bits[:, one] ^ bits[:, two]).sum(axis=0, dtype=np.int64)
+                    differ = np.maximum(differ, bits_differ)
+                    allowed = (sizes[one] + sizes[two]) * (1 - similarity) + 1e-6
+                    near = (differ * (1 + similarity) <= allowed) & (parts[one] != parts[two])
+                    keep[some] = near.any(axis=2)
         return rows.loc[keep, ["band", "line", "component", "_one", "_two"]]
 
     return kept
@@ -435,26 +481,19 @@ def line_components(
     """
     sorted_bands = _banded(docs, text).repartition("band").sortWithinPartitions("band")
     met = saved(_met(sorted_bands.select("band", "line")), "lines-met")
-    keys = met.select("line").distinct()
-    words = saved(
-        _lines(docs, doc_id, text)
-        .select("line", "words")
-        .where(_maybe_in(keys, FILTER_BITS))
-        # Copies of a common line are one before they are shuffled.
-        .groupBy("line").agg(F.min("words").alias("words"))
-        .join(keys, "line", "left_semi")
-        .select("line", "words", _sketch(F.col("words")).alias("sketch")),
-        "lines-words",
-    )
+    sketch = saved(_sketched(docs, text, Filter(met.select("line").distinct())), "lines-sketches")
     pairs = met.where("line <> pivot").select(F.col("line").alias("a"), F.col("pivot").alias("b"))
-    # Sketches are smaller than texts, which travel with the pairs that may be near alone.
-    maybe = (
+    # Sketches are smaller than texts, which are fetched for lines that may be near another alone.
+    maybe = saved(
         pairs.distinct()
-        .join(words.select(F.col("line").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        .join(words.select(F.col("line").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        .join(sketch.select(F.col("line").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        .join(sketch.select(F.col("line").alias("b"), F.col("sketch").alias("sketch_b")), "b")
         .where(_maybe_similar(F.col("sketch_a"), F.col("sketch_b"), similarity))
-        .select("a", "b")
+        .select("a", "b"),
+        "lines-maybe",
     )
+    ends = maybe.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    words = _words(docs, ends, doc_id, text)
     texts = (
         maybe
         .join(words.select(F.col("line").alias("a"), F.col("words").alias("words_a")), "a")
@@ -462,6 +501,7 @@ def line_components(
     )
     stars = _verified(texts, similarity).select("a", "b")
     first = saved(connected_components(stars, "lines"), "lines-first")
+    discard(maybe, words)
 
     labelled = saved(
         met.select("band", "line").distinct()
@@ -488,7 +528,7 @@ def line_components(
     slot = F.pmod(F.xxhash64("band", "_one", "_two"), F.lit(rows // SLOT_ROWS + 1))
     close = (
         labelled.join(mixed, "band")
-        .join(words.select("line", "sketch"), "line")
+        .join(sketch, "line")
         .withColumn("_own", F.pmod(F.xxhash64("line", F.lit("block")), blocks))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
         .select(
@@ -503,16 +543,17 @@ def line_components(
     )
     close = saved(close, "lines-close")
     # Lines of any length: as many slots as their characters ask for, too.
-    sizes = close.join(words.select("line", "sketch.size"), "line").agg(F.count("*"), F.sum("size")).first()
+    sizes = close.join(sketch, "line").agg(F.count("*"), F.sum("sketch.size")).first()
     slots = (sizes[0] or 0) // SLOT_ROWS + (sizes[1] or 0) // SLOT_CHARACTERS + 1
     slot = F.pmod(F.xxhash64("band", "_one", "_two"), F.lit(slots))
+    words = _words(docs, close.select("line").distinct(), doc_id, text)
     more = (
-        close.join(words.select("line", "words"), "line")
+        close.join(words, "line")
         .groupBy(slot.alias("_slot"))
         .applyInPandas(_links_across(similarity), "a bigint, b bigint")
     )
     more = saved(more, "lines-more")
-    discard(met, words, labelled, mixed, close)
+    discard(met, sketch, words, labelled, mixed, close)
     if more.isEmpty():
         return first
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
