@@ -405,7 +405,8 @@ def _maybe_joined(similarity: float):
     def kept(rows: pd.DataFrame) -> pd.DataFrame:
         key = ["band", "_one", "_two"]
         rows = rows.sort_values(key, kind="stable")
-        bits = np.stack([rows[f"bits{i}"].to_numpy(np.int64) for i in range(SKETCH_BITS // 64)])
+        # Unsigned: of a negative number, the bits of its absolute value would be counted.
+        bits = np.stack([rows[f"bits{i}"].to_numpy(np.int64) for i in range(SKETCH_BITS // 64)]).view(np.uint64)
         sizes, parts = rows["size"].to_numpy(np.int64), rows["component"].to_numpy()
         values = rows[key].to_numpy()
         edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1

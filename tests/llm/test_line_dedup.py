@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from tables import AWKWARD, SF_DIR, docs, given
 
@@ -9,6 +10,7 @@ from anchorctx.llm.common import row_key
 from anchorctx.llm.line_dedup import (
     SHINGLE,
     Shingled,
+    _maybe_joined,
     _met,
     band_hashes,
     dedup_lines,
@@ -209,6 +211,33 @@ def test_sketches_differ_in_no_more_bits_than_lines_in_shingles():
         assert differ <= len(sets[i] ^ sets[j])
 
 
+def test_rows_near_another_component_are_all_kept():
+    """Buckets of all sizes against plain loops over sets; no sketch may rule out a near line."""
+    choices = random.Random(5)
+    rows, near = [], set()
+    for band in range(60):
+        base = "".join(choices.choices("abcdefgh ", k=choices.randrange(60, 700)))
+        lines = [base]
+        for _ in range(choices.choice([1, 2, 5, 40])):
+            line = list(base)
+            for _ in range(choices.randrange(1, 12)):
+                line[choices.randrange(len(line))] = choices.choice("xyz")
+            lines.append("".join(line))
+        sizes, bits = sketches(lines)
+        sets = [shingles(x) for x in lines]
+        for i in range(len(lines)):
+            rows.append((band, len(rows), i % 3, 0, 0, int(sizes[i]), *bits[i].tolist()))
+            if any(
+                i % 3 != j % 3 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+                for j in range(len(lines))
+            ):
+                near.add(rows[-1][1])
+    names = ["band", "line", "component", "_one", "_two", "size"]
+    table = pd.DataFrame(rows, columns=names + [f"bits{i}" for i in range(bits.shape[1])])
+    kept = set(_maybe_joined(0.8)(table.sample(frac=1, random_state=1))["line"])
+    assert near and near <= kept
+
+
 def test_short_lines_with_a_typo_are_removed(spark):
     line = "the quick brown fox jumps over a lazy dog"
     rows = [(1, line), (2, line.replace("brown", "brawn"))]
