@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from anchorctx.llm.common import documents, held_out, saved, shuffles_removed
@@ -21,6 +21,8 @@ from anchorctx.llm.common import documents, held_out, saved, shuffles_removed
 CHUNK_BYTES = 2 << 20
 # Tokens whose probabilities are worked out at a time.
 TOKENS_AT_ONCE = 1 << 13
+# Of these, tokens whose outcomes are worked out at a time, so that arrays stay in the cache.
+OUTCOMES_AT_ONCE = 1 << 11
 # The end of a text as a word; no word is empty.
 END = b""
 # Outcomes of each of the three softmaxes: groups, classes of a group, buckets of a class.
@@ -44,22 +46,30 @@ CHUNK_SCHEMA = (
 )
 
 
+def _squeezed(data: bytes, level: int = 3) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", level).compress(data, asbytes=True)
+
+
+def _unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Byte planes, compressed; small numbers leave the high planes empty."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return _squeezed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_unsqueezed(data), dtype=np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
 def _pack_words(words: list[bytes]) -> bytes:
-    return zlib.compress(b"\n".join(words), 1)
+    return _squeezed(b"\n".join(words))
 
 
 def _unpack_words(data: bytes) -> list[bytes]:
-    return zlib.decompress(data).split(b"\n")
+    return _unsqueezed(data).split(b"\n")
 
 
 def _chunk(number: int, docs: list[tuple]) -> pa.RecordBatch:
@@ -133,19 +143,17 @@ class Classes:
 
     def leaves(self, vocab: list[bytes]) -> np.ndarray:
         """class * WIDTH + bucket of each word."""
-        words, prefixes, digest = self.words, self.prefixes, xxhash.xxh32_intdigest
-        return np.fromiter(
-            (
-                c * WIDTH if (c := words.get(w)) is not None
-                else WIDTH * (
-                    c if (c := prefixes.get(w[:PREFIX])) is not None
-                    else CLASSES - 1 - digest(w[:PREFIX]) % OTHER_CLASSES
-                ) + digest(w) % WIDTH
-                for w in vocab
-            ),
-            np.int64,
-            len(vocab),
-        )
+        digest, n = xxhash.xxh32_intdigest, len(vocab)
+        beginnings = [w[:PREFIX] for w in vocab]
+        # Many words have one beginning.
+        classes = {
+            b: self.prefixes[b] if b in self.prefixes else CLASSES - 1 - digest(b) % OTHER_CLASSES
+            for b in set(beginnings)
+        }
+        found = np.fromiter(map(classes.__getitem__, beginnings), np.int64, n) * WIDTH
+        found += np.fromiter(map(digest, vocab), np.int64, n) % WIDTH
+        frequent = np.fromiter(map(self.words.get, vocab, repeat(-1)), np.int64, n)
+        return np.where(frequent < 0, found, frequent * WIDTH)
 
 
 @dataclass
@@ -232,8 +240,7 @@ class Coded:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.tokens = _unpack(row.tokens)
         vocab = _unpack_words(row.vocab)
-        digest = xxhash.xxh64_intdigest
-        self.word_hashes = np.fromiter((digest(w) for w in vocab), np.uint64, len(vocab))
+        self.word_hashes = np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab))
         self.word_leaves = classes.leaves(vocab)
 
     def parts(self, texts: np.ndarray | None = None):
@@ -253,13 +260,21 @@ class Coded:
                 yield at, features[:, use], leaves[use]
 
 
-def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """The outcomes' exponents, one line per token."""
-    scores = bias.take(lines, axis=0)
-    for r in rows:
-        scores += weights.take(r, axis=0)
-    # Far beyond what weights reach; keeps the exponentials finite without a pass for the maximum.
-    return np.clip(scores, -60, 60, out=scores)
+def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, lines: np.ndarray):
+    """The outcomes' exponents, one line per token, of OUTCOMES_AT_ONCE tokens at a time.
+
+    The arrays are overwritten by the next ones.
+    """
+    kept, added = np.empty((2, min(len(lines), OUTCOMES_AT_ONCE), weights.shape[1]), dtype=np.float32)
+    for at in range(0, len(lines), OUTCOMES_AT_ONCE):
+        part = slice(at, min(at + OUTCOMES_AT_ONCE, len(lines)))
+        n = part.stop - at
+        # Rows are never outside; another mode than "clip" would copy once more.
+        scores = bias.take(lines[part], axis=0, out=kept[:n], mode="clip")
+        for r in rows[:, part]:
+            scores += weights.take(r, axis=0, out=added[:n], mode="clip")
+        # Far beyond what weights reach; keeps the exponentials finite without a pass for the maximum.
+        yield part, np.clip(scores, -60, 60, out=scores)
 
 
 def log_probabilities(
@@ -268,18 +283,23 @@ def log_probabilities(
     """Natural logarithms of the probabilities of one bucket, or class of one word, for each token."""
     found, ones = np.zeros(len(leaves)), np.ones(weights.shape[1], dtype=np.float32)
     for some, rows, lines, chosen in _levels(features, leaves, single, len(weights)):
-        scores = _scores(weights, bias, rows, lines)
-        found[some] += scores[np.arange(len(some)), chosen]
-        found[some] -= np.log(np.exp(scores, out=scores) @ ones)
+        for part, scores in _scores(weights, bias, rows, lines):
+            found[some[part]] += scores[np.arange(len(scores)), chosen[part]]
+            found[some[part]] -= np.log(np.exp(scores, out=scores) @ ones)
     return found
 
 
-def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows`` and the sums of their lines of ``values``."""
-    order = np.argsort(rows)
-    rows = rows[order]
+def _sums(rows: np.ndarray, values: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and the sums of their lines of ``values``, in ``out`` if there is one."""
+    # The row and the number of its line in one, as sorting numbers is faster than arranging them.
+    bits = (len(rows) - 1).bit_length()
+    keys = (rows << bits) | np.arange(len(rows))
+    if int(rows.max()) >> (32 - bits) == 0:
+        keys = keys.astype(np.uint32)
+    keys.sort()
+    rows, order = keys >> bits, keys & ((1 << bits) - 1)
     starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    sums = values.take(order[starts], axis=0)
+    sums = values.take(order[starts], axis=0, out=None if out is None else out[: len(starts)], mode="clip")
     # Most rows have one line; only the others are added up.
     sizes = np.diff(np.append(starts, len(rows)))
     several = sizes > 1
@@ -287,34 +307,44 @@ def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         lines = values.take(order[np.repeat(several, sizes)], axis=0)
         sizes = sizes[several]
         sums[several] = np.add.reduceat(lines, np.cumsum(sizes) - sizes, axis=0)
-    return rows[starts], sums
+    return rows[starts].astype(np.int64), sums
 
 
 def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias, single: int) -> int:
     """Steps of gradient ascent over a chunk's training texts; returns the tokens seen."""
     seen, ones = 0, np.ones(WIDTH, dtype=np.float32)
+    # A row of weights as one value, which is put back at once.
+    whole = weights.view(np.dtype((np.void, weights.itemsize * WIDTH)))[:, 0]
+    # Arrays for all steps.
+    gradients, added, before = np.empty((3, TOKENS_AT_ONCE, WIDTH), dtype=np.float32)
     for _, features, leaves in coded.parts(learned):
         for some, rows, lines, chosen in _levels(features, leaves, single, len(weights)):
             if not len(some):
                 continue
-            gradient = _scores(weights, bias, rows, lines)
-            np.exp(gradient, out=gradient)
-            gradient *= (-1 / (gradient @ ones))[:, None]
+            gradient = gradients[: len(some)]
+            for part, scores in _scores(weights, bias, rows, lines):
+                np.exp(scores, out=scores)
+                np.multiply(scores, (-1 / (scores @ ones))[:, None], out=gradient[part])
             gradient[np.arange(len(some)), chosen] += 1
             for r in rows:
-                row, sums = _sums(r, gradient)
-                squares[row] += np.einsum("ij,ij->i", sums, sums) / WIDTH
-                weights[row] += (RATE / np.sqrt(squares[row] + DAMPING))[:, None] * sums
+                row, sums = _sums(r, gradient, added)
+                found = squares.take(row) + np.vecdot(sums, sums) / WIDTH
+                squares[row] = found
+                sums *= (RATE / np.sqrt(found + DAMPING))[:, None]
+                sums += weights.take(row, axis=0, out=before[: len(row)], mode="clip")
+                whole[row] = sums.view(whole.dtype)[:, 0]
         seen += len(leaves)
     return seen
 
 
 def _pack_change(change: np.ndarray) -> bytes:
-    return zlib.compress(change.astype(np.float16).tobytes(), 1)
+    """Byte planes: only the upper ones, of signs and exponents, can be compressed."""
+    return _squeezed(change.astype("<f2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
 
 
 def _unpack_change(change: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(change), np.float16).reshape(SLAB_ROWS, WIDTH)
+    planes = np.frombuffer(_unsqueezed(change), dtype=np.uint8).reshape(2, -1)
+    return np.ascontiguousarray(planes.T).view("<f2").reshape(SLAB_ROWS, WIDTH)
 
 
 def _trained(chunks: DataFrame, model: Model) -> Model:
@@ -425,6 +455,24 @@ def _words(chunks: DataFrame) -> DataFrame:
     )
 
 
+def _told(chunks: DataFrame) -> DataFrame:
+    """(chunk, place, total, word): the words of each chunk with their uses in all training texts.
+
+    Only the first chunk of a word has the word itself. Words without such uses are left out. A word
+    has one row per chunk, so that the rows of the most common are no more than the chunks.
+    """
+    same = Window.partitionBy("word")
+    return (
+        _words(chunks)
+        .select(
+            "chunk", "place", "word",
+            F.sum("uses").over(same).alias("total"), F.min("chunk").over(same).alias("first"),
+        )
+        .where("total > 0")
+        .select("chunk", "place", "total", F.when(F.col("chunk") == F.col("first"), F.col("word")).alias("word"))
+    )
+
+
 def _classes(totals: DataFrame) -> Classes:
     frequent = totals.where(F.length("word") > 0).orderBy(F.desc("total"), "word").limit(TOP_WORDS)
     words = {END: 0}
@@ -485,13 +533,9 @@ def score_documents(
     """
     chunks = saved(_chunks(docs, doc_id, text, mod, remainder), "lm-chunks")
     with shuffles_removed(docs.sparkSession):
-        # A table, so that the join meets no aggregate: Spark splits the rows of a word of all chunks.
-        totals = saved(
-            _words(chunks).groupBy("word").agg(F.sum("uses").alias("total")).where("total > 0"),
-            "lm-totals",
-        )
-        model = _trained(chunks, _model(totals))
-    told = _words(chunks).join(totals.hint("merge"), "word").select("chunk", "place", "total")
+        told = saved(_told(chunks), "lm-told")
+        model = _trained(chunks, _model(told.where("word is not null").select("word", "total")))
+    told = told.select("chunk", "place", "total")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return chunks.drop("counts").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
         _scored(shared),

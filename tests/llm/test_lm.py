@@ -250,3 +250,52 @@ def test_the_table_grows_with_the_features():
     assert lm.table_rows(0, 0) == lm.TABLE_ROWS
     assert lm.table_rows(10_000, 4_000) == 1 << 15
     assert lm.table_rows(10**6, 10**6) == lm.MOST_ROWS
+
+
+def test_words_of_all_chunks_meet_their_totals_once(spark, monkeypatch):
+    """The chunks' words pass one exchange by word; each word itself is kept once."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 40)
+    rows = [(i, f"the word{i % 5} of the\ttext{i % 3} {'x' * (i % 4)}") for i in range(40)]
+    chunks = lm.saved(lm._chunks(docs(spark, rows).coalesce(2), "doc_id", "text", 5, 1), "lm-chunks")
+    found = lm._told(chunks)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(word") == 1
+    counts, wanted, kept = Counter(), Counter(), Counter()
+    for d, t in rows:
+        if not held(d):
+            counts.update((x or "").encode() for x in tokens(t))
+    vocab = {r.chunk: lm._unpack_words(bytes(r.vocab)) for r in chunks.collect()}
+    for words in vocab.values():
+        wanted.update((w, counts[w]) for w in words if counts[w])
+    told = found.collect()
+    assert Counter((vocab[r.chunk][r.place], r.total) for r in told) == wanted
+    for r in told:
+        if r.word is not None:
+            assert bytes(r.word) == vocab[r.chunk][r.place]
+            kept[bytes(r.word)] += 1
+    assert kept == Counter(list(counts))
+
+
+def test_query_makes_the_words_of_the_chunks_once(spark, monkeypatch):
+    calls, words = [], lm._words
+    monkeypatch.setattr(lm, "_words", lambda chunks: calls.append(1) or words(chunks))
+    lm.score_documents(docs(spark, AWKWARD)).collect()
+    assert len(calls) == 1
+
+
+def test_sums_of_rows_beyond_32_bits():
+    rows = np.array([2**40, 5, 2**40 + 1, 2**40])
+    values = np.arange(4 * lm.WIDTH, dtype=np.float32).reshape(4, lm.WIDTH)
+    found, sums = lm._sums(rows, values)
+    assert found.tolist() == [5, 2**40, 2**40 + 1]
+    assert (sums[1] == values[0] + values[3]).all()
+
+
+def test_changes_take_less_than_by_deflate():
+    """Signs and exponents are apart from the digits that nothing can compress."""
+    import zlib
+
+    change = np.random.default_rng(4).normal(scale=0.2, size=(lm.SLAB_ROWS, lm.WIDTH)).astype(np.float32)
+    packed = lm._pack_change(change)
+    assert (lm._unpack_change(packed) == change.astype(np.float16)).all()
+    assert len(packed) < 0.95 * len(zlib.compress(change.astype(np.float16).tobytes(), 1))
