@@ -34,14 +34,17 @@ BLANK = r"^[\x20\t\x0B\f\r]*$"
 TEXT_AT_ONCE = 2 << 20
 # Lines that a task remembers to have passed on, so that common lines are not passed on by each stretch.
 REMEMBERED = 1 << 18
-SIGNED_AT_ONCE = 1 << 16
+SIGNED_AT_ONCE = 1 << 15
+# Bands travel in rows of a bucket and a stretch; a task has a bucket's bands, this many new ones at a time.
+BUCKET_BITS = 12
+BANDS_AT_ONCE = 1 << 20
 # Rows of buckets, and pairs, that are compared in one call, so that arrays stay in the cache,
 # and characters of the lines of such rows.
 SLOT_ROWS = 1024
 SLOT_CHARACTERS = 1 << 20
 PAIRS_AT_ONCE = 256
 # Lines whose sketches are made, and pairs of rows whose sketches are compared, at a time; bits of a sketch.
-SKETCHED_AT_ONCE = 512
+SKETCHED_AT_ONCE = 128
 COMPARED_AT_ONCE = 1 << 14
 SKETCH_BITS = 512
 # Bits of the filter that spares lines without candidates a shuffle, and words of a slab of it.
@@ -222,18 +225,40 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
                     yield np.array(list(named), dtype=np.uint64).view(np.int64), list(named.values())
 
 
+def _binaries(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Consecutive numbers as binary values, each from one of the ``starts`` to the next."""
+    offsets = (np.append(starts, len(values)) * 8).astype(np.int32)
+    data = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+    )
+
+
 def _banded(docs: DataFrame, text: str) -> DataFrame:
-    """(line, band): the bands of each distinct line of a stretch of documents."""
+    """(bucket, bands, lines): the bands of the distinct lines of stretches of documents.
+
+    A bucket is a range of bands. A row has those of one stretch, sorted, and the line of each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, lines in _stretches(batches):
-            bands = np.concatenate([band_hashes(part) for part in _parts(lines)])
+            bands = np.concatenate([band_hashes(part) for part in _parts(lines)]).reshape(-1)
+            order = np.argsort(bands)
+            bands = bands[order]
+            bucket = (bands >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(keys, BANDS)), pa.array(bands.reshape(-1).view(np.int64))],
-                ["line", "band"],
+                [
+                    pa.array(bucket[starts]),
+                    _binaries(bands.view(np.int64), starts),
+                    _binaries(keys[order // BANDS], starts),
+                ],
+                ["bucket", "bands", "lines"],
             )
 
-    return docs.select(F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, "line bigint, band bigint")
+    return docs.select(F.coalesce(F.col(text), F.lit(""))).mapInArrow(
+        run, "bucket int, bands binary, lines binary"
+    )
 
 
 def _sketched(docs: DataFrame, text: str, among: Filter) -> DataFrame:
@@ -259,6 +284,24 @@ def _sketched(docs: DataFrame, text: str, among: Filter) -> DataFrame:
     )
 
 
+def _shared(band: np.ndarray, line: np.ndarray, met: np.ndarray):
+    """Of rows sorted by band: where bands start, whether others than the first line, the pivot, have been
+    met, and the batch of rows of bands that several share. ``met`` says so of rows before these."""
+    starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+    pivot = np.repeat(line[starts], np.diff(np.append(starts, len(band))))
+    shown = line != pivot
+    several = np.add.reduceat(shown, starts) > 0
+    # The pivot is shown once, with the first other line.
+    shown[starts] = several & ~met[starts]
+    found = pa.RecordBatch.from_arrays(
+        [pa.array(x[shown]) for x in (band, line, pivot)], ["band", "line", "pivot"]
+    )
+    return starts, several | met[starts], found
+
+
+MET_SCHEMA = "band bigint, line bigint, pivot bigint"
+
+
 def _met(banded: DataFrame) -> DataFrame:
     """(band, line, pivot): the lines of bands that several share, with one of them, the pivot.
 
@@ -272,26 +315,51 @@ def _met(banded: DataFrame) -> DataFrame:
             band, line = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
             if not len(band):
                 continue
-            met = False
+            met = np.zeros(len(band) + (held is not None), dtype=bool)
             if held is not None:
                 band, line = np.append(held[0], band), np.append(held[1], line)
-                met = held[2]
-            starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
-            sizes = np.diff(np.append(starts, len(band)))
-            pivot = np.repeat(line[starts], sizes)
-            others = line != pivot
-            several = np.add.reduceat(others, starts) > 0
-            shown = others.copy()
-            # The pivot is shown once, with the first other line.
-            shown[starts] = several
-            shown[0] &= not met
-            several[0] |= met
-            held = (band[-1], pivot[-1], bool(several[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[shown]) for x in (band, line, pivot)], ["band", "line", "pivot"]
-            )
+                met[0] = held[2]
+            starts, several, found = _shared(band, line, met)
+            held = (band[-1], line[starts[-1]], several[-1])
+            yield found
+
+    return banded.mapInArrow(run, MET_SCHEMA)
 
-    return banded.mapInArrow(run, "band bigint, line bigint, pivot bigint")
+
+def _met_in_buckets(banded: DataFrame) -> DataFrame:
+    """The same of rows of ``_banded``, which arrive bucket by bucket.
+
+    Of a bucket's rows that have passed by, each band's pivot is kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        last, kept, rows, size = None, none, [], 0
+
+        def shared():
+            band, line = (np.frombuffer(b"".join(x), np.int64) for x in zip(*rows, strict=True))
+            band, line = np.append(kept[0], band), np.append(kept[1], line)
+            met = np.append(kept[2], np.zeros(len(band) - len(kept[2]), dtype=bool))
+            # Stable, which takes longer, only where there are pivots, which have to stay first.
+            order = np.argsort(band, kind="stable" if len(kept[0]) else None)
+            band, line = band[order], line[order]
+            starts, several, found = _shared(band, line, met[order])
+            return (band[starts], line[starts], several), found
+
+        for batch in batches:
+            for bucket, bands, lines in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and (bucket != last or size >= BANDS_AT_ONCE):
+                    kept, found = shared()
+                    rows, size = [], 0
+                    yield found
+                if bucket != last:
+                    last, kept = bucket, none
+                rows.append((bands, lines))
+                size += len(bands) // 8
+        if rows:
+            yield shared()[1]
+
+    return banded.mapInArrow(run, MET_SCHEMA)
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -355,22 +423,20 @@ class Filter:
             yes &= (held >> (places & np.uint64(63))) & np.uint64(1) == 1
         return yes
 
-    def column(self) -> Column:
-        """The same for the column ``line``."""
-
-        @F.pandas_udf("boolean")
-        def maybe(lines: pd.Series) -> pd.Series:
-            return pd.Series(self.holds(lines.to_numpy(dtype=np.int64)))
 
-        return maybe(F.col("line"))
+def _words(docs: DataFrame, keys: DataFrame, text: str) -> DataFrame:
+    """(line, words): the texts of the lines ``keys``, as a table."""
+    among = Filter(keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, lines in _stretches(batches):
+            wanted = np.flatnonzero(among.holds(hashes))
+            found = pa.array([lines[i] for i in wanted.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[wanted]), found], ["line", "words"])
 
-def _words(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(line, words): the texts of the lines ``keys``, as a table."""
     return saved(
-        _lines(docs, doc_id, text)
-        .select("line", "words")
-        .where(Filter(keys).column())
+        docs.select(F.coalesce(F.col(text), F.lit("")))
+        .mapInArrow(run, "line bigint, words string")
         # Copies of a common line are one before they are shuffled.
         .groupBy("line").agg(F.min("words").alias("words"))
         .join(keys, "line", "left_semi"),
@@ -470,8 +536,7 @@ def _links_across(similarity: float):
 
 
 def line_components(
-    docs: DataFrame, *, similarity: float = SIMILARITY, text: str = "text",
-    doc_id: str = "doc_id", block: int = 512,
+    docs: DataFrame, *, similarity: float = SIMILARITY, text: str = "text", block: int = 512
 ) -> DataFrame:
     """(node, component) of the lines, by hash, that have a line of another text near them.
 
@@ -480,8 +545,8 @@ def line_components(
     different components against each other, in blocks of at most ``block`` lines, whose tasks
     pass on no more links than they join components.
     """
-    sorted_bands = _banded(docs, text).repartition("band").sortWithinPartitions("band")
-    met = saved(_met(sorted_bands.select("band", "line")), "lines-met")
+    buckets = _banded(docs, text).repartition("bucket").sortWithinPartitions("bucket")
+    met = saved(_met_in_buckets(buckets), "lines-met")
     sketch = saved(_sketched(docs, text, Filter(met.select("line").distinct())), "lines-sketches")
     pairs = met.where("line <> pivot").select(F.col("line").alias("a"), F.col("pivot").alias("b"))
     # Sketches are smaller than texts, which are fetched for lines that may be near another alone.
@@ -494,7 +559,7 @@ def line_components(
         "lines-maybe",
     )
     ends = maybe.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    words = _words(docs, ends, doc_id, text)
+    words = _words(docs, ends, text)
     texts = (
         maybe
         .join(words.select(F.col("line").alias("a"), F.col("words").alias("words_a")), "a")
@@ -547,7 +612,7 @@ def line_components(
     sizes = close.join(sketch, "line").agg(F.count("*"), F.sum("sketch.size")).first()
     slots = (sizes[0] or 0) // SLOT_ROWS + (sizes[1] or 0) // SLOT_CHARACTERS + 1
     slot = F.pmod(F.xxhash64("band", "_one", "_two"), F.lit(slots))
-    words = _words(docs, close.select("line").distinct(), doc_id, text)
+    words = _words(docs, close.select("line").distinct(), text)
     more = (
         close.join(words, "line")
         .groupBy(slot.alias("_slot"))
@@ -575,7 +640,7 @@ def repeated_lines(
     band: at a similarity of exactly 0.8, 98.6 % of pairs do, the more similar the more.
     """
     with shuffles_removed(docs.sparkSession):
-        components = line_components(docs, similarity=similarity, doc_id=doc_id, text=text)
+        components = line_components(docs, similarity=similarity, text=text)
         places = saved(_lines(docs, doc_id, text).drop("words"), "lines-places")
         named = (
             places.join(components.withColumnRenamed("node", "line"), "line", "left")

@@ -271,3 +271,41 @@ def test_buckets_across_batches(spark, rows):
     assert {(r.band, r.line) for r in found} == wanted
     pivots = {(r.band, r.pivot) for r in found}
     assert len(pivots) == len({b for b, _ in wanted}) and pivots <= wanted
+
+
+@pytest.mark.parametrize("bands_at_once", [1, 5, 1 << 20])
+def test_lines_meet_in_buckets_as_row_by_row(spark, monkeypatch, bands_at_once):
+    """Rows of a bucket and a stretch, many to a task; a bucket may come in parts."""
+    from anchorctx.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "BANDS_AT_ONCE", bands_at_once)
+    monkeypatch.setattr(line_dedup, "TEXT_AT_ONCE", 100)
+    monkeypatch.setattr(line_dedup, "BUCKET_BITS", 3)
+    monkeypatch.setattr(line_dedup, "REMEMBERED", 4)
+    choices = random.Random(7)
+    lines = [LINE % choices.choice(["one", "two", "three"]) + "!" * choices.randrange(3) for _ in range(40)]
+    rows = [(i, "\n".join(choices.choices(lines, k=3))) for i in range(30)]
+    banded = line_dedup._banded(docs(spark, rows).coalesce(2), "text")
+    buckets = {}
+    for r in banded.collect():
+        bands, keys_ = (np.frombuffer(x, np.int64) for x in (r.bands, r.lines))
+        assert (bands.view(np.uint64) >> np.uint64(61) == r.bucket).all()
+        for b, x in zip(bands.tolist(), keys_.tolist(), strict=True):
+            buckets.setdefault(b, set()).add(x)
+    assert len({x for m in buckets.values() for x in m}) == len({x for _, t in rows for x in t.split("\n")})
+    found = line_dedup._met_in_buckets(banded.repartition("bucket").sortWithinPartitions("bucket")).collect()
+    wanted = {(b, x) for b, m in buckets.items() if len(m) > 1 for x in m}
+    assert wanted and {(r.band, r.line) for r in found} == wanted
+    pivots = {(r.band, r.pivot) for r in found}
+    assert len(pivots) == len({b for b, _ in wanted}) and pivots <= wanted
+    assert sum(r.line == r.pivot for r in found) == len(pivots)
+
+
+def test_bands_travel_in_few_rows(spark):
+    """Not one row per band and line, whatever the number of lines."""
+    from anchorctx.llm import line_dedup
+
+    rows = [(i, "\n".join(f"line {j} of text {i}" for j in range(100))) for i in range(200)]
+    banded = line_dedup._banded(docs(spark, rows).coalesce(1), "text")
+    found = banded.selectExpr("count(*)", "sum(length(lines)) div 8").first()
+    assert found[1] == 200 * 100 * line_dedup.BANDS and found[0] * 10 < found[1]
