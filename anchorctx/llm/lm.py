@@ -291,13 +291,8 @@ def log_probabilities(
 
 def _sums(rows: np.ndarray, values: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` and the sums of their lines of ``values``, in ``out`` if there is one."""
-    # The row and the number of its line in one, as sorting numbers is faster than arranging them.
-    bits = (len(rows) - 1).bit_length()
-    keys = (rows << bits) | np.arange(len(rows))
-    if int(rows.max()) >> (32 - bits) == 0:
-        keys = keys.astype(np.uint32)
-    keys.sort()
-    rows, order = keys >> bits, keys & ((1 << bits) - 1)
+    order = np.argsort(rows)
+    rows = rows[order]
     starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     sums = values.take(order[starts], axis=0, out=None if out is None else out[: len(starts)], mode="clip")
     # Most rows have one line; only the others are added up.
@@ -307,7 +302,7 @@ def _sums(rows: np.ndarray, values: np.ndarray, out: np.ndarray | None = None) -
         lines = values.take(order[np.repeat(several, sizes)], axis=0)
         sizes = sizes[several]
         sums[several] = np.add.reduceat(lines, np.cumsum(sizes) - sizes, axis=0)
-    return rows[starts].astype(np.int64), sums
+    return rows[starts], sums
 
 
 def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias, single: int) -> int:
@@ -328,7 +323,7 @@ def _learn(coded: Coded, learned: np.ndarray, weights, squares, bias, single: in
             gradient[np.arange(len(some)), chosen] += 1
             for r in rows:
                 row, sums = _sums(r, gradient, added)
-                found = squares.take(row) + np.vecdot(sums, sums) / WIDTH
+                found = squares.take(row) + np.einsum("ij,ij->i", sums, sums) / WIDTH
                 squares[row] = found
                 sums *= (RATE / np.sqrt(found + DAMPING))[:, None]
                 sums += weights.take(row, axis=0, out=before[: len(row)], mode="clip")
